@@ -11,7 +11,6 @@ import zlib
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from subscope.operators import conform, enrich, kpi, rollup, scoring, star
 from subscope.session import work_dir
@@ -70,6 +69,7 @@ class Warehouse:
         builders = {
             "dim_customer": (lambda: star.dim_customer(self.silver("customers_clean")), ()),
             "dim_network_location": (lambda: lookups.locations(self.spark), ()),
+            "fact_days": (self._fact_days, ()),
             "dim_date": (self._dim_date, ()),
             "fact_billing": (
                 lambda: star.fact_billing(self.silver("billing_clean"), self.gold("dim_customer")),
@@ -137,17 +137,19 @@ class Warehouse:
         build, partition_by = builders[name]
         return self._table("gold", name, build, partition_by)
 
-    def _dim_date(self) -> DataFrame:
-        facts = [
-            (self.gold("fact_billing"), "billing_month"),
-            (self.gold("fact_billing"), "payment_date"),
-            (self.gold("fact_complaints"), "opened_at"),
-            (self.gold("fact_network_events"), "event_timestamp"),
-        ]
-        return calendars.date_dimension(calendars.spine_over(facts)).withColumn(
-            "full_date", F.col("full_date").cast("date")
+    def _fact_days(self) -> DataFrame:
+        return calendars.fact_days(
+            {
+                "billing": (self.gold("fact_billing"), "billing_month"),
+                "payment": (self.gold("fact_billing"), "payment_date"),
+                "complaints": (self.gold("fact_complaints"), "opened_at"),
+                "network": (self.gold("fact_network_events"), "event_timestamp"),
+            }
         )
 
+    def _dim_date(self) -> DataFrame:
+        return calendars.date_dimension(calendars.spine_over([(self.gold("fact_days"), "day")]))
+
 
 _open: dict[tuple[str, str], Warehouse] = {}
 

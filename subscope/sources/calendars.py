@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,17 @@ def spine_over(frames: list[tuple[DataFrame, str]]) -> DataFrame:
     )
 
 
+def fact_days(facts: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """The days on which each fact has rows: bounded by the calendar, however large the facts."""
+    parts = [
+        df.groupBy(F.to_date(c).alias("day"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(name).alias("fact"), "day", "rows")
+        for name, (df, c) in facts.items()
+    ]
+    return reduce(DataFrame.unionByName, parts).filter(F.col("day").isNotNull())
+
+
 def calendar_for(df: DataFrame, date_column: str) -> DataFrame:
     """Whole-year calendar around one date column, with its drill hierarchy."""
     years = span([(df, date_column)])

@@ -84,7 +84,7 @@ def customers_raw(customer: DataFrame) -> DataFrame:
         _pick(k % 4, PAYMENT_METHODS).alias("PaymentMethod"),
         (charge_cents / 100).alias("MonthlyCharges"),
         F.when(k % 11 != 0, charge_cents * tenure / 100).alias("TotalCharges"),
-        F.when(k % 97 == 0, F.lit(None)).otherwise(_yes_no(k % 4 == 0)).alias("Churn"),
+        F.when(k % 97 != 0, _yes_no(_cents("c_acctbal") % 4 == 0)).alias("Churn"),
         F.lit("2024-01-01").cast("date").alias("_ingestion_timestamp"),
     )
 
