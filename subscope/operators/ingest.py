@@ -36,3 +36,8 @@ def add_metadata(
             "_record_hash": C.record_hash(columns or df.columns),
         }
     )
+
+
+def stamped(df: DataFrame, name: str) -> DataFrame:
+    """Processing time of the batch (P7); replaces an earlier stamp of the same name."""
+    return df.withColumn(name, F.current_timestamp())

@@ -37,14 +37,19 @@ def payment_date(status: Column, paid_on: Column) -> Column:
 
 
 def sequential_ids(
-    df: DataFrame, order: Sequence[str], pattern: str, name: str, slots: int = 1024
+    df: DataFrame,
+    order: Sequence[str],
+    pattern: str,
+    name: str,
+    slots: int = 1024,
+    bucket_method: str = "xxhash64",
 ) -> DataFrame:
     """Gap-free ids 1..n in key order, formatted by ``pattern``.
 
     Rows are ranked inside hash slots of the unique key and shifted by the slot's offset, so
     no single task numbers the whole table. Numbers follow slot, then key, order.
     """
-    placed = df.withColumn("_slot", C.hash_bucket(list(order), slots))
+    placed = df.withColumn("_slot", C.hash_bucket(list(order), slots, bucket_method))
     sizes = placed.groupBy("_slot").agg(F.count(F.lit(1)).alias("_n"))
     before = W.orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(

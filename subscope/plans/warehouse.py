@@ -11,13 +11,41 @@ import zlib
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subscope.operators import conform, enrich, kpi, rollup, scoring, star
+from subscope.operators import conform, enrich, ingest, kpi, rollup, scoring, star
+from subscope.plans import churn
 from subscope.session import work_dir
 from subscope.sources import calendars, lookups, tables
 from subscope.store import LayerStore
 
 
+# When a table was processed, in the column its readers know. Summaries carry no stamp, so that
+# joining them to a stamped table leaves one stamp.
+_SILVER, _GOLD = "_silver_processed_at", "_gold_created_at"
+STAMPS = {
+    "customers_clean": _SILVER,
+    "billing_clean": _SILVER,
+    "complaints_clean": _SILVER,
+    "network_events_clean": _SILVER,
+    "customer_360": "_customer_360_created_at",
+    "dim_customer": _GOLD,
+    "fact_billing": _GOLD,
+    "fact_complaints": _GOLD,
+    "fact_network_events": _GOLD,
+    "fact_network_cabinets": _GOLD,
+    "fact_network_cities": _GOLD,
+    "customer_churn_analytics": _GOLD,
+    "customer_churn_predictions": "prediction_timestamp",
+    "high_risk_customers": _GOLD,
+    "customer_ml_features": "_feature_created_at",
+    "executive_kpis": _GOLD,
+    "revenue_risk_by_segment": _GOLD,
+    "network_performance_by_region": _GOLD,
+    "network_performance_by_cabinet": _GOLD,
+}
+
+
 class Warehouse:
     def __init__(
         self,
@@ -29,6 +57,7 @@ class Warehouse:
         self.spark, self.raw_sources, self.store = spark, raw, store.create_layers()
         self.bucket_method = bucket_method
         self._built: set[tuple[str, str]] = set()
+        self._runs: list[dict] = []
 
     def raw(self, name: str) -> DataFrame:
         """A raw source as it arrives, not copied."""
@@ -36,7 +65,10 @@ class Warehouse:
 
     def _table(self, layer, name, build, partition_by=()):
         if (layer, name) not in self._built:
-            self.store.write(build(), layer, name, partition_by)
+            df = build()
+            if name in STAMPS:
+                df = ingest.stamped(df, STAMPS[name])
+            self.store.write(df, layer, name, partition_by)
             self._built.add((layer, name))
         return self.store.read(layer, name)
 
@@ -120,7 +152,12 @@ class Warehouse:
                 lambda: rollup.ml_features(self.gold("customer_churn_analytics")),
                 (),
             ),
-            "executive_kpis": (lambda: kpi.executive(self.gold("customer_churn_analytics")), ()),
+            "executive_kpis": (
+                lambda: kpi.executive(self.gold("customer_churn_analytics")).withColumn(
+                    "snapshot_date", F.current_date()
+                ),
+                (),
+            ),
             "revenue_risk_by_segment": (
                 lambda: kpi.by_segment(self.gold("customer_churn_analytics")),
                 (),
@@ -137,6 +174,22 @@ class Warehouse:
         build, partition_by = builders[name]
         return self._table("gold", name, build, partition_by)
 
+    def models(self, trees: int = 300, depth: int = 12, max_iter: int = 1000) -> dict[str, DataFrame]:
+        """Train the churn models once and return the published tables, read back."""
+        published = {
+            "ml_runs": lambda: churn.run_table(self.spark, self._runs),
+            "ml_model_performance": lambda: churn.performance(self.spark, self._runs),
+            "ml_predictions": lambda: churn.publish(churn.best(self._runs), features),
+            "ml_feature_importance": lambda: churn.importance(
+                self.spark, churn.best(self._runs), features
+            ),
+        }
+        features = self.gold("customer_ml_features")
+        if not self._runs:
+            folder = work_dir(self.spark, "models")
+            self._runs, _ = churn.train_all(features, folder, trees, depth, max_iter)
+        return {n: self._table("gold", n, build) for n, build in published.items()}
+
     def _fact_days(self) -> DataFrame:
         return calendars.fact_days(
             {
