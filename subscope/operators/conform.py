@@ -94,14 +94,15 @@ def latest(
 
     ``row_number() = 1`` plans a per-task group limit below the shuffle: a key that holds a
     third of all rows sends one row per task, not its whole history. Ties fall to the record
-    hash when there is one, else to all remaining columns.
+    hash when there is one, else to all remaining columns. Text keys tend to share their first
+    characters, which is all that Spark's sort prefix holds, so a hash of the keys goes first.
     """
     if tie_break is None:
         hashed = "_record_hash" in df.columns
         rest = [c for c in df.columns if c not in keys and c not in order and c not in METADATA]
         tie_break = ["_record_hash"] if hashed else rest
     by = [F.col(c).desc_nulls_last() for c in order] + [F.col(c).asc_nulls_first() for c in tie_break]
-    newest = W.partitionBy(*keys).orderBy(*by)
+    newest = W.partitionBy(F.xxhash64(*keys), *keys).orderBy(*by)
     return (
         df.withColumn("_version", F.row_number().over(newest))
         .filter(F.col("_version") == 1)

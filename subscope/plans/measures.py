@@ -238,9 +238,14 @@ def _steps(value: Column, steps, otherwise: str) -> Column:
     return C.first_match([(test(v), label) for test, label in steps], otherwise)
 
 
+def _decimal(value: Column, pattern: str) -> Column:
+    """Formatted number; NULL stays NULL, which plain formatting would print as text."""
+    return F.when(value.isNotNull(), F.format_string(pattern, value))
+
+
 def _signed_pct(value: Column) -> Column:
-    pct = F.format_string("%.1f%%", F.abs(value) * 100)
-    return F.concat(F.when(value > 0, "+").when(value < 0, "-").otherwise(""), pct)
+    sign = F.when(value > 0, "+").when(value < 0, "-").otherwise("")
+    return F.concat(sign, _decimal(F.abs(value) * 100, "%.1f%%"))
 
 
 def _period(g):
@@ -408,7 +413,7 @@ MEASURES: dict[int, tuple[str, Callable]] = {
         "customer_overview_subtitle",
         lambda g: F.concat(
             F.lit("Average Tenure: "),
-            F.format_string("%.1f", _r(g("tenure_sum"), g("tenure_n"))),
+            _decimal(_r(g("tenure_sum"), g("tenure_n")), "%.1f"),
             F.lit(" Months"),
         ),
     ),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,14 +64,15 @@ CONTRACT_ORDER_OTHER = 99
 # ----------------------------------------------------------------------------------------
 
 
+def _table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """Literal rows as a local relation: part of the plan, with a known size."""
+    return spark.createDataFrame(pa.table([pa.array(c) for c in zip(*rows)], names))
+
+
 def locations(spark: SparkSession) -> DataFrame:
     """The location dimension (S8): one row per city with its label."""
-    rows = spark.createDataFrame(
-        LOCATIONS,
-        "location_key long, city string, region string, latitude double, longitude double,"
-        "quality_factor double",
-    )
-    return rows.withColumns(
+    names = ["location_key", "city", "region", "latitude", "longitude", "quality_factor"]
+    return _table(spark, LOCATIONS, names).withColumns(
         {
             "state": F.lit(STATE),
             "country": F.lit(COUNTRY),
@@ -86,14 +88,14 @@ def location_thresholds(spark: SparkSession) -> DataFrame:
         lo = lo if region == last_region else 0
         rows.append((region, lo, LOCATION_LIMITS[key], key))
         last_region, lo = region, LOCATION_LIMITS[key]
-    return spark.createDataFrame(rows, "region string, lo int, hi int, location_key long")
+    return _table(spark, rows, ["region", "lo", "hi", "location_key"])
 
 
 def priorities(spark: SparkSession) -> DataFrame:
     """Display order of the complaint priorities."""
-    return spark.createDataFrame(PRIORITY_ORDER, "priority string, priority_sort int")
+    return _table(spark, PRIORITY_ORDER, ["priority", "priority_sort"])
 
 
 def funnel_stages(spark: SparkSession) -> DataFrame:
     """Stages of the invoice funnel."""
-    return spark.createDataFrame(FUNNEL_STAGES, "stage string, stage_order int")
+    return _table(spark, FUNNEL_STAGES, ["stage", "stage_order"])
