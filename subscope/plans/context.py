@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -109,25 +110,31 @@ class StarModel:
             out = part if out is None else out.join(part, "customer_id", "full")
         return out
 
-    def anchor_day(self, ctx: FilterContext, fact: str) -> Column:
-        """The anchor date as a scalar subquery."""
+    def anchor_day(self, ctx: FilterContext, fact: str) -> dt.date | None:
+        """The anchor date. It is looked up in tables no longer than the calendar and becomes a
+        literal of the query, so that the facts' partitions are pruned while planning."""
         if ctx.anchor == "calendar":
-            return self.dates(ctx).agg(F.max("full_date").alias("d")).scalar()
-        if ctx.anchor == "last_data":
+            days = self.dates(ctx).select(F.col("full_date").alias("day"))
+        elif ctx.anchor == "last_data":
             days = self.table("fact_days").filter(F.col("fact") == fact)
-            return days.filter(ctx.in_range(F.col("day"))).agg(F.max("day").alias("d")).scalar()
-        raise ValueError(f"unknown anchor {ctx.anchor!r}")
-
-    def bounds(self, window: str, ctx: FilterContext, fact: str) -> tuple[Column, Column]:
-        """First and last day of a time window around the anchor."""
-        day = self.anchor_day(ctx, fact)
-        first = F.trunc(day, "MM")
-        return {
-            "latest": (first, F.last_day(day)),
-            "previous": (F.add_months(first, -1), F.date_sub(first, 1)),
-            "rolling3": (F.add_months(first, -2), F.last_day(day)),
-            "ytd": (F.trunc(day, "YEAR"), day),
-        }[window]
+            days = days.filter(ctx.in_range(F.col("day")))
+        else:
+            raise ValueError(f"unknown anchor {ctx.anchor!r}")
+        return days.agg(F.max("day").alias("day")).first()["day"]
+
+
+def month_windows(day: dt.date) -> dict[str, tuple[dt.date, dt.date]]:
+    """First and last day of each time window around an anchor day."""
+    first = day.replace(day=1)
+    before = lambda d: (d - dt.timedelta(days=1)).replace(day=1)
+    after = (first + dt.timedelta(days=31)).replace(day=1)
+    last, previous = after - dt.timedelta(days=1), before(first)
+    return {
+        "latest": (first, last),
+        "previous": (previous, first - dt.timedelta(days=1)),
+        "rolling3": (before(previous), last),
+        "ytd": (day.replace(month=1, day=1), day),
+    }
 
 
 def date_attribute(name: str) -> Column:

@@ -9,6 +9,7 @@ a union of their groups followed by one aggregate, never by joining facts.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -28,6 +29,7 @@ from subscope.plans.context import (
     column_of,
     date_attribute,
     flat,
+    month_windows,
     table_of,
 )
 
@@ -594,23 +596,25 @@ def _windowed(rows: DataFrame, model, table, windows, ctx) -> tuple[DataFrame, d
     The cut is repeated on the month key, so that only the months' partitions are read.
     """
     day = F.col("_day")
-    within, lows, highs = {}, [], []
-    for w in sorted(windows, key=str):
-        if w is None:
-            within[w] = ctx.in_range(day)
-            lows.append(F.lit(ctx.date_from).cast("date") if ctx.date_from else None)
-            highs.append(F.lit(ctx.date_to).cast("date") if ctx.date_to else None)
+    to_date = lambda text: dt.date.fromisoformat(text) if text else None
+    spans = {None: (to_date(ctx.date_from), to_date(ctx.date_to))} if None in windows else {}
+    if windows - {None}:
+        anchor = model.anchor_day(ctx, table)
+        if anchor is None:
+            # no day selected: every window is empty
+            spans.update({w: (dt.date.max, dt.date.min) for w in windows if w})
         else:
-            low, high = model.bounds(w, ctx, table)
-            within[w] = day.between(low, high)
-            lows.append(low)
-            highs.append(high)
-    if all(c is not None for c in lows):
-        low = F.least(*lows) if len(lows) > 1 else lows[0]
-        rows = rows.filter((F.col("month_key") >= C.month_key(low)) & (day >= low))
-    if all(c is not None for c in highs):
-        high = F.greatest(*highs) if len(highs) > 1 else highs[0]
-        rows = rows.filter((F.col("month_key") <= C.month_key(high)) & (day <= high))
+            spans.update({w: s for w, s in month_windows(anchor).items() if w in windows})
+    within = {
+        w: C.all_of([day >= F.lit(lo)] * bool(lo) + [day <= F.lit(hi)] * bool(hi))
+        for w, (lo, hi) in spans.items()
+    }
+    month = lambda d: F.lit(d.year * 100 + d.month)
+    lows, highs = [lo for lo, _ in spans.values()], [hi for _, hi in spans.values()]
+    if all(lows):
+        rows = rows.filter((F.col("month_key") >= month(min(lows))) & (day >= F.lit(min(lows))))
+    if all(highs):
+        rows = rows.filter((F.col("month_key") <= month(max(highs))) & (day <= F.lit(max(highs))))
     return rows, within
 
 
