@@ -389,7 +389,7 @@ _CUSTOMER_SQL = ", ".join(
     f"{SCALARS[measures.NUMBER[n]].replace('mc.', 'r.')} AS {n}" for n in _CUSTOMER_NAMES
 )
 add(
-    "a22_customer_measures_by_contract_tenure",
+    "a22_f6_customer_measures_by_contract_tenure",
     lambda w: measure(w, _CUSTOMER_NAMES, ["dim_customer.contract_type", "dim_customer.tenure_segment"]),
     f"SELECT contract_type, tenure_segment, {_CUSTOMER_SQL} FROM (SELECT contract_type, tenure_segment, {atoms(CUSTOMER_ATOMS)} FROM {SCORED} GROUP BY 1, 2) r",
 )
@@ -598,7 +598,7 @@ add(
 # ------------------------------------------------------------------------------ dashboard
 
 _Q = {
-    "q1_outstanding_tree": f"""SELECT payment_method, tenure_segment, contract_type,
+    "q1_a21_outstanding_tree": f"""SELECT payment_method, tenure_segment, contract_type,
         CAST(3 - (GROUPING(payment_method) + GROUPING(tenure_segment) + GROUPING(contract_type)) AS BIGINT) AS depth, {tot('total_amount')} AS outstanding_revenue
         FROM (SELECT d.payment_method AS payment_method, tenure_segment, contract_type, total_amount FROM billing f JOIN dim_customer d ON f.customer_id = d.customer_id WHERE is_unpaid = 1)
         GROUP BY ROLLUP (payment_method, tenure_segment, contract_type)""",

@@ -786,7 +786,7 @@ add(
     _counts_sql(COUNTS),
 )
 add(
-    "a19_conditional_distinct",
+    "a19_f7_conditional_distinct",
     lambda w: w.gold("fact_network_events").groupBy("region").agg(
         F.count_distinct(F.when(kpi.is_incident(), F.col("customer_id"))).alias("affected_customers")
     ),
@@ -868,7 +868,7 @@ add(
     lambda w: stats.median(w.gold("customer_ml_features"), "average_invoice_amount"),
     "SELECT median(average_invoice_amount) AS median FROM analytics",
 )
-add("l10_model_runs", lambda w: w.models()["ml_runs"].select("model_name", F.size("metrics").alias("metrics"), F.size("params").alias("params"), F.size("input_example").alias("examples")))
+add("l1_l4_l5_l10_model_runs", lambda w: w.models()["ml_runs"].select("model_name", F.size("metrics").alias("metrics"), F.size("params").alias("params"), F.size("input_example").alias("examples")))
 add("l12_l13_model_predictions", lambda w: w.models()["ml_predictions"])
 add(
     "l12_l13_scored_customers",

@@ -84,6 +84,7 @@ def logistic_regression(train_rows: int, c: float = 1.0, max_iter: int = 1000) -
         labelCol=LABEL,
         weightCol="weight",
         maxIter=max_iter,
+        tol=1e-4,
         elasticNetParam=0.0,
         standardization=False,
         regParam=1.0 / (c * train_rows),
@@ -92,7 +93,8 @@ def logistic_regression(train_rows: int, c: float = 1.0, max_iter: int = 1000) -
 
 def random_forest(trees: int = 300, depth: int = 12, min_split: int = 5, seed: int = 42) -> RandomForestClassifier:
     """Balanced forest. Spark bounds the size of children, not of split nodes; half of the
-    split bound is the nearest equivalent."""
+    split bound is the nearest equivalent. More memory per task means fewer passes over the
+    rows, since each pass grows as many tree nodes as fit."""
     return RandomForestClassifier(
         labelCol=LABEL,
         weightCol="weight",
@@ -100,6 +102,7 @@ def random_forest(trees: int = 300, depth: int = 12, min_split: int = 5, seed: i
         maxDepth=depth,
         minInstancesPerNode=max(1, min_split // 2),
         featureSubsetStrategy="sqrt",
+        maxMemoryInMB=1024,
         seed=seed,
     )
 
@@ -163,12 +166,13 @@ def train_all(
 ) -> tuple[list[dict], DataFrame]:
     """Both candidate models on one stratified split; returns runs and the split frame.
 
-    The split is written once: every fit and iteration then reads a plain table instead of
-    repeating the split's joins.
+    The split is written once, in files of even size: every fit and iteration then reads a
+    plain table instead of repeating the split's joins.
     """
     spark = features.sparkSession
     folder = folder or work_dir(spark, "models")
-    stats.stratified_split(prepared(features), LABEL, KEY).write.parquet(f"{folder}/split")
+    split = stats.stratified_split(prepared(features), LABEL, KEY)
+    split.hint("rebalance").write.parquet(f"{folder}/split")
     split = spark.read.parquet(f"{folder}/split")
     train = split.filter(F.col("is_test") == 0).drop("is_test")
     test = split.filter(F.col("is_test") == 1).drop("is_test")

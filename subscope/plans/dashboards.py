@@ -62,7 +62,7 @@ def q20_invoice_funnel(model: StarModel, ctx: FilterContext = ALL) -> DataFrame:
 LOCATION = [f"dim_network_location.{c}" for c in ("region", "latitude", "longitude", "location_label")]
 
 QUERIES = {
-    "q1_outstanding_tree": q1_outstanding_tree,
+    "q1_a21_outstanding_tree": q1_outstanding_tree,
     "q2_status_by_contract": _by(
         "active_customers", ["active_customers", "churned_customers"], ["dim_customer.contract_type"]
     ),
