@@ -12,6 +12,7 @@ from checks.views import avg, div, fl, isum, rnd, tot
 from subscope.functions import columns as C
 from subscope.operators import conform, enrich, ingest, invoices, kpi, quality, rollup, scoring, star, stats
 from subscope.plans import warehouse
+from subscope.plans.landing import BATCH_FEEDS, Landing
 from subscope.session import work_dir
 from subscope.sources import calendars, files, lookups, schemas
 from subscope.store import LayerStore, preview
@@ -60,6 +61,10 @@ def table(w: warehouse.Warehouse, name: str) -> DataFrame:
     return w.silver(name) if name.endswith(("_clean", "_summary", "_360")) else w.gold(name)
 
 
+def _counts_sql(pairs) -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS record_count FROM {v}" for n, v in pairs)
+
+
 # ------------------------------------------------------------------------ sources and sinks
 
 
@@ -299,6 +304,49 @@ def _k6(w) -> DataFrame:
 
 
 add("k6_k7_layer_listing", _k6)
+
+
+def _landed(w) -> Landing:
+    """The given tables as raw files, ingested to bronze."""
+    folder = work_dir(w.spark, "landing")
+    for table, name, kind in [
+        ("customers_raw", "customers", "csv"),
+        ("billing_raw", "billing", "json"),
+        ("complaints_raw", "complaints", "csv"),
+        ("network_events_raw", "network_events", "json"),
+    ]:
+        df = w.raw(table).drop(ingest.VERSION)
+        if kind == "csv":
+            options = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss", "ignoreTrailingWhiteSpace": False}
+            df.write.options(**options).csv(f"{folder}/{name}")
+        else:
+            df.write.json(f"{folder}/{name}")
+    return Landing(w.spark, folder, _scratch(w)).ingest()
+
+
+# Rows of one batch share their arrival time, so the record hash decides between versions.
+_HASHED = "||'||'||".join(
+    f"COALESCE(CAST({c} AS VARCHAR), '')"
+    for c in [
+        "invoice_id", "customerID", "CAST(billing_month AS TIMESTAMP)", "MonthlyCharges", "usage_charges", "discount_amount",
+        "tax_amount", "total_amount", "PaymentMethod", "payment_status", "CAST(payment_date AS TIMESTAMP)",
+    ]
+)
+add(
+    "k1_s2_p1_w1_files_to_clean_billing",
+    lambda w: _landed(w).warehouse().silver("billing_clean").select(
+        "invoice_id", "customer_id", "billing_month", "total_amount", "payment_status", "is_unpaid"
+    ),
+    f"""SELECT invoice_id, customerID AS customer_id, {day('billing_month')} AS billing_month, total_amount,
+    lower(trim(payment_status)) AS payment_status, {fl("lower(trim(payment_status)) = 'unpaid'")} AS is_unpaid
+    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY invoice_id ORDER BY sha256({_HASHED})) AS rn FROM billing_raw)
+    WHERE rn = 1 AND MonthlyCharges >= 0 AND usage_charges >= 0 AND discount_amount >= 0 AND tax_amount >= 0 AND total_amount >= 0""",
+)
+add(
+    "a18_bronze_counts",
+    lambda w: (lambda l: quality.layer_counts({n: l.bronze(n) for n in (*BATCH_FEEDS, "network_events_raw")}))(_landed(w)),
+    _counts_sql([("customers_raw", "customers_raw"), ("billing_raw", "billing_raw"), ("complaints_raw", "complaints_raw"), ("network_events_raw", "network_raw")]),
+)
 COUNTS = [
     ("customers_clean", "customers"),
     ("billing_clean", "billing"),
@@ -308,10 +356,6 @@ COUNTS = [
 ]
 
 
-def _counts_sql(pairs) -> str:
-    return " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS record_count FROM {v}" for n, v in pairs)
-
-
 add("k8_write_audit", _k8, _counts_sql(COUNTS))
 add("k9_preview", lambda w: preview(w.gold("fact_billing").select("invoice_id", "total_amount"), 10))
 

@@ -38,13 +38,33 @@ def value_shares(df: DataFrame, *keys: str) -> DataFrame:
     return counts.withColumn("share", C.ratio(F.col("count"), grand_total))
 
 
-def median(df: DataFrame, c: str) -> DataFrame:
+def _with_running(df: DataFrame, bucket: str, order: str, n: str, name: str) -> DataFrame:
+    """Add the total of ``n`` over all rows before each row, for rows unique in ``order``.
+
+    Two levels keep every task small: totals per bucket are summed up in one task, rows only
+    inside their own bucket. Buckets must follow the order and be few.
+    """
+    before = lambda window: window.rowsBetween(W.unboundedPreceding, -1)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    totals = df.groupBy(bucket).agg(F.sum(n).alias("_total"))
+    lower = totals.select(bucket, zero(F.sum("_total").over(before(W.orderBy(bucket)))).alias("_lower"))
+    inside = zero(F.sum(n).over(before(W.partitionBy(bucket).orderBy(order))))
+    return (
+        df.withColumn("_inside", inside)
+        .join(lower, bucket)
+        .withColumn(name, F.col("_lower") + F.col("_inside"))
+        .drop("_lower", "_inside")
+    )
+
+
+def median(df: DataFrame, c: str, buckets: int = 10_000) -> DataFrame:
     """Exact median as a one-row frame.
 
-    A first pass brackets the middle by an approximate percentile with a rank guarantee; only
-    the distinct values inside the bracket (under 0.1 % of the ranks) are then ordered.
+    A first pass brackets the middle by an approximate percentile with a rank guarantee. Only
+    the distinct values inside the bracket (under 0.1 % of the ranks) are then ranked, spread
+    over buckets of equal width.
     """
-    values = df.select(F.col(c).alias("v")).filter(F.col("v").isNotNull())
+    values = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull())
     margin = 2 / _ACCURACY
     sketch = values.agg(
         F.percentile_approx("v", [0.5 - margin, 0.5 + margin], _ACCURACY).alias("q")
@@ -55,11 +75,16 @@ def median(df: DataFrame, c: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("v") < low).alias("below")
     )
     n, below = ranks.select("n").scalar(), ranks.select("below").scalar()
-    middle = values.filter(F.col("v").between(low, high)).groupBy("v").count()
-    upto = below + F.sum("count").over(W.orderBy("v"))
-    first = F.min(F.when(F.col("upto") >= F.floor((n + 1) / 2), F.col("v")))
-    second = F.min(F.when(F.col("upto") >= F.floor(n / 2) + 1, F.col("v")))
-    return middle.withColumn("upto", upto).agg(((first + second) / 2).alias("median"))
+    place = F.coalesce(F.floor(F.try_divide(F.col("v") - low, high - low) * buckets), F.lit(0))
+    middle = (
+        values.filter(F.col("v").between(low, high)).groupBy("v").count().withColumn("b", place)
+    )
+    upto = below + F.col("before") + F.col("count")
+    first = F.min(F.when(upto >= F.floor((n + 1) / 2), F.col("v")))
+    second = F.min(F.when(upto >= F.floor(n / 2) + 1, F.col("v")))
+    return _with_running(middle, "b", "v", "count", "before").agg(
+        ((first + second) / 2).alias("median")
+    )
 
 
 def stratified_split(
@@ -168,11 +193,10 @@ def class_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
-def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 1000) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 1_000) -> DataFrame:
     """Exact area under the ROC curve of a score in [0, 1], ties counted half.
 
-    Rows collapse to one per distinct score before anything is ordered. Running counts are
-    built in two levels: over at most ``buckets + 1`` bucket totals, then inside each bucket.
+    Rows collapse to one per distinct score before anything is ordered.
     """
     scores = (
         df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
@@ -183,21 +207,10 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 1000) -> DataF
         )
         .withColumn("b", F.floor(F.col("s") * buckets))
     )
-    levels = scores.groupBy("b").agg(F.sum("neg").alias("bucket_neg"))
-    levels = levels.select(
-        "b",
-        F.coalesce(
-            F.sum("bucket_neg").over(W.orderBy("b").rowsBetween(W.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("neg_before"),
-    )
-    inside = W.partitionBy("b").orderBy("s").rowsBetween(W.unboundedPreceding, -1)
-    neg_below = F.col("neg_before") + F.coalesce(F.sum("neg").over(inside), F.lit(0))
     exact = lambda c: c.cast("decimal(19,0)")
     wins = exact(F.col("pos")) * exact(2 * F.col("neg_below") + F.col("neg"))
     return (
-        scores.join(levels, "b")
-        .withColumn("neg_below", neg_below)
+        _with_running(scores, "b", "s", "neg", "neg_below")
         .agg(F.sum(wins).alias("wins"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
         .select(C.ratio(F.col("wins"), F.lit(2.0) * F.col("p") * F.col("n")).alias("roc_auc"))
     )

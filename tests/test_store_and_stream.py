@@ -172,3 +172,27 @@ def test_models_train_score_and_explain(spark, wh):
     unseen = features.limit(3).withColumn("contract_type", F.lit("never seen")).withColumn("tenure_months", F.lit(None).cast("int"))
     assert churn.publish(best, unseen).count() == 3
     assert churn.run_table(spark, runs).first().input_example
+
+
+def test_files_flow_to_executive_kpis(spark, wh, tmp_path, store):
+    from subscope.plans.landing import Landing
+
+    options = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss", "ignoreTrailingWhiteSpace": False}
+    raw = lambda n: wh.raw(n).drop(ingest.VERSION)
+    raw("customers_raw").write.options(**options).csv(str(tmp_path / "customers"))
+    raw("complaints_raw").write.options(**options).csv(str(tmp_path / "complaints"))
+    raw("billing_raw").dropDuplicates(["invoice_id"]).write.json(str(tmp_path / "billing"))
+    raw("network_events_raw").write.json(str(tmp_path / "network_events"))
+    landing = Landing(spark, str(tmp_path), store).ingest()
+    reports = {n: r.first().asDict() for n, r in landing.quality_reports().items()}
+    assert reports["customers_raw"]["total_records"] == 150 and reports["customers_raw"]["null_customer_ids"] == 0
+    first = landing.bronze("billing_raw").select("_batch_id").distinct().count()
+    assert first == 1
+    got = landing.warehouse("sha2").gold("executive_kpis").first()
+    want = wh.gold("executive_kpis").first()
+    same = ["total_customers", "churned_customers", "monthly_recurring_revenue", "total_complaints", "total_outage_events", "average_network_quality_score"]
+    assert [got[c] for c in same] == [want[c] for c in same]
+    events = landing.bronze("network_events_raw").count()
+    landing.ingest()
+    assert landing.bronze("network_events_raw").count() == events, "a second run reads no file twice"
+    assert store.versions("bronze", "customers_raw") == [1, 2]
