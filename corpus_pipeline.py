@@ -1,17 +1,19 @@
-"""The corpus pipeline: low quality out, one document of each near-copy class, leaks out.
+"""The corpus pipeline: low quality out, one document of each near-copy class, leaks out, personal
+data replaced, texts encoded.
 
-``STAGES`` are (name, function) pairs; each function takes (spark, docs, folder) and returns what it
-keeps, all columns of documents. A document is a row's (doc_id, text): rows that repeat both are one
+``STAGES`` are (name, function) pairs; each function takes (spark, docs, folder). All but the last
+return the columns of documents. A document is a row's (doc_id, text): rows that repeat both are one
 document for the join stage, and are kept or dropped together by the others.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from subscope.llm import common, decontam, jaccard, quality
+from subscope.llm import bpe, common, decontam, jaccard, pii, quality
 
 #: No SQL engine trains these models; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
@@ -52,10 +54,29 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, folder: str)
     return _without(docs, decontam.leaks(docs, spark.read.parquet(f"{folder}/benchmark.parquet")), "leaks")
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents, personal data in their texts replaced by its kind; ``n_chars`` follows."""
+    spans = pii.spans(docs).where(F.size("spans") > 0).select(F.col("doc_id").alias("_found_id"), F.col("text_key").alias("_found_key"), "spans")
+    spans = common.saved(spans.groupBy("_found_id", "_found_key").agg(F.first("spans").alias("_spans")), "spans")
+    joined = docs.join(spans, docs["doc_id"].eqNullSafe(spans["_found_id"]) & (_text_key() == spans["_found_key"]), "left")
+    text = F.when(F.col("_spans").isNull(), docs["text"]).otherwise(pii.redacted(docs["text"], F.col("_spans")))
+    out = joined.select(*(text.alias(c) if c == "text" else docs[c] for c in docs.columns))
+    if "n_chars" not in docs.columns:
+        return out
+    return out.withColumn("n_chars", F.coalesce(F.char_length("text").cast(dict(docs.dtypes)["n_chars"]), F.col("n_chars")))
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """doc_id, n_tokens and ids (little-endian unsigned 32-bit) of every document."""
+    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
     ("quality classifier", quality_classifier),
     ("n-gram Jaccard join", jaccard_join),
     ("benchmark decontamination", benchmark_decontamination),
+    ("PII", personal_data),
+    ("BPE encoding and decoding", bpe_encoding),
 ]
 
 

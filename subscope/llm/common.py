@@ -119,7 +119,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, text numbers) of the words in lower case: runs of letters and digits.
+    """(hashes, text numbers) of the words in lower case; see ``plain_spans``."""
+    data, starts, ends, doc = plain_spans(texts)
+    return word_hashes(data, starts, ends), doc
+
+
+def plain_spans(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, text numbers) of the words in lower case: runs of letters and digits.
 
     Every ASCII byte other than a letter or digit separates, and so do the blanks, signs and quotes
     of U+00A0..U+00BF, U+2000..U+207F and U+3000..U+303F.
@@ -132,7 +138,7 @@ def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         for k in range(size):
             apart[at + k] = True
     starts, ends = _runs(~apart)
-    return word_hashes(data, starts, ends), np.searchsorted(offsets, starts, "right") - 1
+    return data, starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
 def shared(spark: SparkSession, value):

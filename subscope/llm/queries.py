@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscope.llm import bpe, common, decontam, jaccard, quality
+from subscope.llm import bpe, common, decontam, fingerprint, jaccard, language, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,6 +33,11 @@ def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.decode(ids, path).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query("op2_fingerprints")
+def document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, folder, "documents"))
+
+
 @query("op3_decontamination")
 def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_key")
@@ -46,6 +51,29 @@ def document_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query("op5_language")
+def document_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = common.fold(F.col("doc_id"), 4) == 2
+    return language.predictions(docs, language.train(docs)).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_toxicity")
+def document_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = toxicity.scores(docs, toxicity.train(docs, table(spark, folder, "labels")))
+    held = common.fold(F.col("doc_id"), 5) == 0
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op9_pii")
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.spans(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda x: x["base"])
+    number = lambda k: F.size(F.filter(base, lambda x: x["kind"] == k)).cast("long").alias(f"n_{pii.KINDS[k]}")
+    return found.select("doc_id", *(number(k) for k in range(4)), F.sha2(pii.written(base).cast("binary"), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
 @query("op10_jaccard_join")
 def jaccard_classes(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.classes(table(spark, folder, "documents"), n=4, threshold=0.85).select("doc_id", "n_shingles", "component_id")
