@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscope.llm import bpe, common, decontam, fingerprint, jaccard, language, pii, quality, toxicity
+from subscope.llm import bpe, common, decontam, fingerprint, jaccard, language, lm, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -58,6 +58,11 @@ def document_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.predictions(docs, language.train(docs)).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+@query("op6_lm_scores")
+def language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scores(table(spark, folder, "documents"))
+
+
 @query("op8_toxicity")
 def document_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
