@@ -236,11 +236,30 @@ def _product(permille: int):
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, permille: int) -> DataFrame:
+def _bounded(pairs: DataFrame, prefix: DataFrame, permille: int) -> DataFrame:
+    """Pairs whose overlap in the prefix columns leaves room for the threshold.
+
+    Of the two prefixes, all common columns up to the end of the one that ends first are counted;
+    beyond it that row has ``n - prefix`` columns, which bounds what the rest can add.
+    """
+    side = lambda k: prefix.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("grams").alias(f"grams_{k}"))
+    rest = lambda n: F.floor((n * permille + 999) / 1000) - 1
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    most = F.size(F.array_intersect("grams_a", "grams_b")) + rest(F.greatest("n_a", "n_b"))
+    return joined.where(most * (1000 + permille) >= (F.col("n_a") + F.col("n_b")) * permille).select("a", "b")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, prefix: DataFrame, n: int, permille: int) -> DataFrame:
+    """The pairs that reach the threshold, from their whole rows."""
+    kept = common.saved(_bounded(pairs, prefix, permille), "bounded")
+    if kept.isEmpty():
+        return kept.withColumn("overlap", F.lit(0).cast("long"))
+    nodes = common.saved(kept.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+    sets = common.saved(_sets_of(docs, nodes, n), "grams")
     left = sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
     right = sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "grams_a", "grams_b")
-    return joined.mapInArrow(_product(permille), "a long, b long, overlap long")
+    joined = kept.join(left, "a").join(right, "b").select("a", "b", "grams_a", "grams_b")
+    return common.saved(joined.mapInArrow(_product(permille), "a long, b long, overlap long"), "links")
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
@@ -312,9 +331,8 @@ def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
 
     # rows of columns that two rows share at least
     posts = hubs.select("gram", "node", "n", "place")
-    ends = common.saved(posts.select("node").distinct(), "nodes")
-    sets = common.saved(_sets_of(texts, ends, n), "grams")
-    links = common.saved(_links(pairs, sets, permille), "links")
+    prefix = common.saved(posts.groupBy("node").agg(F.first("n").alias("n"), F.collect_set("gram").alias("grams")), "prefix")
+    links = _verified(texts, pairs, prefix, n, permille)
 
     joined = components(links)
     own = common.saved(posts.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")).distinct(), "own")
@@ -327,7 +345,7 @@ def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
     cross = a.join(b, "gram").where("component_a <> component_b and (component_b = main_b or node_a < node_b)")
     cross = cross.where(_reach(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), permille))
     cross = cross.select(*_pair(F.col("node_a"), F.col("node_b"))).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = common.saved(_links(cross, sets, permille), "links")
+    more = _verified(texts, common.saved(cross, "pairs"), prefix, n, permille)
     if not more.isEmpty():
         joined = components(links.select("a", "b").union(more.select("a", "b")))
 
