@@ -23,6 +23,13 @@ def _text_key():
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, longer if the documents have such a column."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def _without(docs: DataFrame, gone: DataFrame, purpose: str) -> DataFrame:
     """``docs`` without the documents (doc_id, text_key) in ``gone``."""
     gone = common.saved(gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct(), purpose)
@@ -44,9 +51,10 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
     kept = full.groupBy("component_id").agg(F.min_by(F.struct("doc_id", "text_key"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("kept"))
     kept = kept.select("kept.*").union(found.where("n_shingles = 0").select("doc_id", "text_key").distinct())
     kept = common.saved(kept.withColumnsRenamed({"doc_id": "_kept_id", "text_key": "_kept_key"}), "kept")
-    keyed = docs.withColumn("_key", _text_key())
-    once = keyed.withColumn("_copy", F.row_number().over(Window.partitionBy("doc_id", "_key").orderBy(F.lit(0)))).where("_copy = 1")
-    return once.join(kept, once["doc_id"].eqNullSafe(kept["_kept_id"]) & (once["_key"] == kept["_kept_key"]), "left_semi").drop("_copy", "_key")
+    key, copy = _free(docs, "_key"), _free(docs, "_copy")
+    keyed = docs.withColumn(key, _text_key())
+    once = keyed.withColumn(copy, F.row_number().over(Window.partitionBy("doc_id", key).orderBy(F.lit(0)))).where(F.col(copy) == 1)
+    return once.join(kept, once["doc_id"].eqNullSafe(kept["_kept_id"]) & (once[key] == kept["_kept_key"]), "left_semi").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -59,7 +67,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
     spans = pii.spans(docs).where(F.size("spans") > 0).select(F.col("doc_id").alias("_found_id"), F.col("text_key").alias("_found_key"), "spans")
     spans = common.saved(spans.groupBy("_found_id", "_found_key").agg(F.first("spans").alias("_spans")), "spans")
     joined = docs.join(spans, docs["doc_id"].eqNullSafe(spans["_found_id"]) & (_text_key() == spans["_found_key"]), "left")
-    text = F.when(F.col("_spans").isNull(), docs["text"]).otherwise(pii.redacted(docs["text"], F.col("_spans")))
+    text = F.when(spans["_spans"].isNull(), docs["text"]).otherwise(pii.redacted(docs["text"], spans["_spans"]))
     out = joined.select(*(text.alias(c) if c == "text" else docs[c] for c in docs.columns))
     if "n_chars" not in docs.columns:
         return out

@@ -25,7 +25,7 @@ LEAST_DOCS, LEAST_SHARE = 3, 0.01
 PARTS = (3, 4, 5)
 #: Share of the largest possible excess in the confirmed documents that a feature must reach.
 EXCESS = 0.5
-STEPS, RATE, DECAY = 400, 0.1, 2e-4
+STEPS, RATE, DECAY = 400, 0.1, 0.2
 
 
 def features(texts: pa.Array):
@@ -109,7 +109,7 @@ class Classifier:
             toxic_p, clean_p, clean_u = prior * (s_p - 1) / n_p, -prior * s_p / n_p, s_u / n_u
             g_p, g_u = (toxic_p + clean_p, clean_u) if excess >= 0 else (-clean_p, -clean_u)
             words = np.bincount(p_col, weights=g_p[p_doc], minlength=n) + np.bincount(u_col, weights=g_u[u_doc], minlength=n)
-            grad = np.append(words + DECAY * self.weights, g_p.sum() + g_u.sum())
+            grad = np.append(words + DECAY / n_p * self.weights, g_p.sum() + g_u.sum())
             m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
             move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
             self.weights -= move[:-1]
