@@ -569,30 +569,37 @@ for _key, (_name, _value, _source, _date) in _SERIES.items():
         lambda w, n=_name: measures.series(StarModel.of(w), n),
         line_sql(_value, _source, _date),
     )
+
+
+def window_sql(value: str, source: str, date: str) -> str:
+    """A measure over each month's windows, from its definition: the rows between two dates."""
+    of = lambda since: f"(SELECT CASE WHEN COUNT(*) > 0 THEN CAST({value} AS DOUBLE) END FROM {source} WHERE {date} >= {since} AND {date} < m + INTERVAL 1 MONTH)"
+    return f"""SELECT strftime(m, '%Y-%m') AS year_month, value, previous_month, {div('value - previous_month', 'previous_month')} AS mom_pct,
+    rolling_3m_average, year_to_date FROM (SELECT *, LAG(value) OVER (ORDER BY m) AS previous_month FROM
+    (SELECT m, {of('m')} AS value, {of('m - INTERVAL 2 MONTH')} AS rolling_3m_average, {of("date_trunc('year', m)")} AS year_to_date FROM
+    (SELECT unnest(generate_series(date_trunc('month', (SELECT MIN(d) FROM days))::TIMESTAMP, date_trunc('month', (SELECT MAX(d) FROM days))::TIMESTAMP, INTERVAL 1 MONTH)) AS m)))"""
+
+
 _RATIO = div(tot(when("is_unpaid = 0", "total_amount")), tot("total_amount"))
 add(
     "w2_ti2_ti3_collection_rate_by_month",
-    lambda w: measures.series(StarModel.of(w), "collection_rate_pct").select("year_month", "value", "previous_month", "mom_pct"),
-    f"SELECT year_month, value, previous_month, mom_pct FROM ({line_sql(_RATIO, 'billing', 'billing_month')})",
+    lambda w: measures.series(StarModel.of(w), "collection_rate_pct"),
+    window_sql(_RATIO, "billing", "billing_month"),
 )
 add(
     "w2_ti2_ti3_billed_revenue_by_month",
-    lambda w: measures.series(StarModel.of(w), "total_billed_revenue").select("year_month", "value", "previous_month", "mom_pct"),
-    f"SELECT year_month, value, previous_month, mom_pct FROM ({line_sql(tot('total_amount'), 'billing', 'billing_month')})",
+    lambda w: measures.series(StarModel.of(w), "total_billed_revenue"),
+    line_sql(tot("total_amount"), "billing", "billing_month"),
+)
+add(
+    "w2_ti4_ti5_customers_with_complaints_by_month",
+    lambda w: measures.series(StarModel.of(w), "customers_with_complaints"),
+    window_sql("COUNT(DISTINCT customer_id)", "complaints", "opened_at"),
 )
 add(
     "w2_ti1_ti5_complaints_by_contract",
-    lambda w: measures.series(
-        StarModel.of(w), "total_complaints", ["dim_customer.contract_type"], FilterContext("1995-01-01", "1996-12-31")
-    ),
-    line_sql(
-        "COUNT(*)",
-        f"(SELECT contract_type, opened_at FROM complaints f {_CLIENT} WHERE CAST(opened_at AS DATE) BETWEEN DATE '1995-01-01' AND DATE '1996-12-31')",
-        "opened_at",
-        "SELECT MIN(d) FROM days WHERE d >= DATE '1995-01-01'",
-        "SELECT DATE '1996-12-31'",
-        "contract_type",
-    ),
+    lambda w: measures.series(StarModel.of(w), "total_complaints", ["dim_customer.contract_type"]),
+    line_sql("COUNT(*)", f"(SELECT contract_type, opened_at FROM complaints f {_CLIENT})", "opened_at", key="contract_type"),
 )
 
 # ------------------------------------------------------------------------------ dashboard

@@ -81,7 +81,7 @@ def _csv(w, raw: str, name: str) -> str:
         w,
         name,
         lambda p: df.select(*columns)
-        .write.options(header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss", ignoreTrailingWhiteSpace=False)
+        .write.options(header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(p),
     )
 
@@ -95,8 +95,8 @@ add(
     "s1_csv_customers",
     lambda w: files.customers(w.spark, _csv(w, "customers_raw", "customers")).withColumn(
         "customerID", F.trim("customerID")
-    ).drop("InternetService"),
-    "SELECT * EXCLUDE (InternetService) REPLACE (trim(customerID) AS customerID) FROM customers_raw",
+    ),
+    "SELECT * REPLACE (trim(customerID) AS customerID) FROM customers_raw",
 )
 add(
     "s2_json_billing",
@@ -448,22 +448,32 @@ week(d) AS week_number, day(d) AS day_of_month, dayname(d) AS day_name,
 {fl('dayofweek(d) IN (0, 6)')} AS is_weekend, year(d) * 100 + month(d) AS year_month_sort,
 isodow(d) AS day_of_week_number FROM days"""
 add("s10_p11_dim_date", lambda w: w.gold("dim_date"), DAYS_SQL)
+
+
+def _keyed(w, fact: str) -> DataFrame:
+    """A fact whose key is shown as whether it is the key that the dimension has for the customer."""
+    dim = w.gold("dim_customer").select(F.col("customer_key").alias("_key"), F.col("customer_id").alias("_id"))
+    rows = w.gold(fact).join(dim, F.col("customer_key") == F.col("_key"), "left")
+    return rows.withColumn("has_customer", C.flag(F.col("_id") == F.col("customer_id"))).drop("customer_key", "_key", "_id")
+
+
+_HAS = "CAST(CASE WHEN f.customer_id IN (SELECT customer_id FROM dim_customer) THEN 1 ELSE 0 END AS BIGINT)"
 add(
     "p10_j2_fact_billing",
-    lambda w: w.gold("fact_billing").drop("customer_key").withColumn("has_customer", F.lit(1)),
+    lambda w: _keyed(w, "fact_billing"),
     f"""SELECT invoice_id, customer_id, CAST(strftime(billing_month, '%Y%m%d') AS BIGINT) AS billing_date_key,
     CAST(strftime(payment_date, '%Y%m%d') AS BIGINT) AS payment_date_key, {day('billing_month')} AS billing_month,
     {day('payment_date')} AS payment_date, monthly_charges, usage_charges, discount_amount, tax_amount, total_amount,
     payment_method, payment_status, is_paid, is_late, is_unpaid, CAST(strftime(billing_month, '%Y%m') AS BIGINT) AS month_key,
-    CAST(1 AS BIGINT) AS has_customer FROM billing""",
+    {_HAS} AS has_customer FROM billing f""",
 )
 add(
     "p10_j2_fact_complaints",
-    lambda w: w.gold("fact_complaints").drop("customer_key"),
+    lambda w: _keyed(w, "fact_complaints"),
     f"""SELECT complaint_id, customer_id, CAST(strftime(opened_at, '%Y%m%d') AS BIGINT) AS opened_date_key,
     {second('opened_at')} AS opened_at, complaint_category, priority, complaint_status, complaint_channel,
     resolution_hours, satisfaction_score, is_critical, is_escalated, is_unresolved,
-    CAST(strftime(opened_at, '%Y%m') AS BIGINT) AS month_key FROM complaints""",
+    CAST(strftime(opened_at, '%Y%m') AS BIGINT) AS month_key, {_HAS} AS has_customer FROM complaints f""",
 )
 add(
     "p10_j2_fact_network",
@@ -713,7 +723,7 @@ add(
         w.gold("dim_customer").select("customer_id"), ["customer_id"], "INV-%07d", "invoice_id", bucket_method="sha2"
     ),
     """SELECT customer_id, 'INV-' || lpad(CAST(ROW_NUMBER() OVER (ORDER BY
-    CAST('0x' || substr(sha256(customer_id), 1, 8) AS BIGINT) % 1024, customer_id) AS VARCHAR), 7, '0') AS invoice_id FROM dim_customer""",
+    CAST('0x' || substr(sha256(customer_id), 1, 8) AS BIGINT) % (SELECT GREATEST(1, (COUNT(*) + 199999) // 200000) FROM dim_customer), customer_id) AS VARCHAR), 7, '0') AS invoice_id FROM dim_customer""",
 )
 
 # ----------------------------------------------------------------------------------- joins
@@ -843,11 +853,8 @@ add(
 )
 add(
     "t2_segments_by_churn",
-    lambda w: w.gold("revenue_risk_by_segment")
-    .orderBy(F.col("churn_rate_pct").desc(), *kpi.SEGMENT_KEYS)
-    .limit(10),
-    """SELECT * FROM segments ORDER BY churn_rate_pct DESC, contract_type NULLS FIRST, internet_service NULLS FIRST,
-    customer_value_segment NULLS FIRST LIMIT 10""",
+    lambda w: kpi.segments_by_churn(w.gold("revenue_risk_by_segment")),
+    "SELECT * FROM segments",
 )
 add(
     "t3_worst_cabinets",
@@ -857,10 +864,8 @@ add(
 )
 add(
     "t4_cities_by_incidents",
-    lambda w: kpi.by_city(w.gold("fact_network_cities"), w.gold("dim_network_location"))
-    .orderBy(F.col("network_incidents").desc(), "city")
-    .limit(5),
-    "SELECT * FROM city_performance ORDER BY network_incidents DESC, city LIMIT 5",
+    lambda w: kpi.cities_by_incidents(kpi.by_city(w.gold("fact_network_cities"), w.gold("dim_network_location"))),
+    "SELECT * FROM city_performance",
 )
 add(
     "t5_top_retention",

@@ -3,31 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed-point sums keep six decimals and are split at 2**20 into a high and a low part.
-# Both parts are plain long sums (whole-stage codegen, map-side combine), the result does not
-# depend on row order or partitioning, and neither part can overflow below ~10**12 rows.
-_UNIT = 1_000_000
-_SPLIT_BITS = 20
+#: Decimals that sums keep exactly. Money and ratings here have two, rates and coordinates six.
+DIGITS = 6
+# Sums are taken on whole units of 10**-DIGITS, cut into three limbs of 20 bits and more. Each limb
+# is a plain long sum (whole-stage codegen, map-side combine), so the result does not depend on the
+# order or partitioning of rows; a limb stays below 2**63 for 10**12 rows of any size.
+_LIMB = 20
+_LARGE = 9.0e12
 
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def total(c: str | Column) -> Column:
-    """Exact, order-independent sum of a double column with at most six decimals."""
-    fixed = F.rint(col(c) * F.lit(float(_UNIT))).cast("long")
-    high = F.sum(F.shiftright(fixed, _SPLIT_BITS))
-    low = F.sum(fixed.bitwiseAND(F.lit((1 << _SPLIT_BITS) - 1)))
-    whole = high.cast("decimal(20,0)") * F.lit(1 << _SPLIT_BITS).cast("decimal(10,0)") + low.cast(
-        "decimal(20,0)"
+def total(c: str | Column, digits: int = DIGITS) -> Column:
+    """Sum of a double column: exact and independent of order in its first ``digits`` decimals.
+
+    What the units cannot hold is summed as doubles beside them: decimals beyond ``digits``, values
+    of 9e12 and more, infinity and NaN (which makes the sum NaN, as in a plain sum).
+    """
+    value = col(c).cast("double")
+    scale = 10.0**digits
+    held = F.abs(value) < _LARGE * 10.0 ** (6 - max(digits, 6))
+    units = F.when(held, F.rint(value * scale)).cast("long")
+    rest = F.when(held, value - units / F.lit(scale)).otherwise(value)
+    low = (1 << _LIMB) - 1
+    limbs = (
+        F.sum(F.shiftright(units, 2 * _LIMB)),
+        F.sum(F.shiftright(units, _LIMB).bitwiseAND(F.lit(low))),
+        F.sum(units.bitwiseAND(F.lit(low))),
     )
-    return (whole * F.lit("0.000001").cast("decimal(7,6)")).cast("double")
+    wide = [F.coalesce(x, F.lit(0)).cast("decimal(20,0)") for x in limbs]
+    step = F.lit(1 << _LIMB).cast("decimal(8,0)")
+    whole = ((wide[0] * step).cast("decimal(26,0)") * step + wide[1] * step + wide[2]).cast("decimal(32,0)")
+    unit = F.lit(Decimal(1).scaleb(-digits)).cast(f"decimal({digits + 1},{digits})")
+    return (whole * unit).cast("double") + F.sum(rest)
 
 
 def mean(c: str | Column) -> Column:

@@ -79,9 +79,9 @@ UNRESOLVED_STATUSES = ("in progress", "escalated")
 NORMAL_EVENT = "normal"
 
 
-def valid_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep rows whose business keys are all present and not blank."""
-    return df.filter(C.all_of([F.col(k).isNotNull() & (F.trim(k) != "") for k in keys]))
+def valid_keys(df: DataFrame, keys: Sequence[str], blank: Sequence[str] = ()) -> DataFrame:
+    """Keep rows whose business keys are all present (P3), and not blank unless in ``blank``."""
+    return df.filter(C.all_of([F.col(k).isNotNull() if k in blank else F.trim(k) != "" for k in keys]))
 
 
 def latest(
@@ -185,13 +185,16 @@ def network_flags() -> dict[str, Column]:
     return {"is_outage": kind == "outage", "is_degraded": kind.isin(*DEGRADED_TYPES)}
 
 
-def conformed(df: DataFrame, keys: Sequence[str], spec: Spec) -> DataFrame:
+def conformed(df: DataFrame, keys: Sequence[str], spec: Spec, blank: Sequence[str] = ()) -> DataFrame:
     """Valid keys, newest version, standard columns: the common first half of every source.
 
+    Only a customer without an id is nobody. Invoices, complaints and events with a blank
+    reference stay (``blank``) and find no customer, so that nothing billed or reported is lost.
+
     Range rules come after this step on purpose. If the newest version breaks a rule, the
     entity is rejected rather than replaced by an older version.
     """
-    valid = trim_keys(valid_keys(df, keys), keys)
+    valid = trim_keys(valid_keys(df, keys, blank), keys)
     return standardise(latest(valid, keys[:1]), spec)
 
 
@@ -201,15 +204,15 @@ def customers_clean(raw: DataFrame) -> DataFrame:
 
 
 def billing_candidates(raw: DataFrame) -> DataFrame:
-    return conformed(raw, ["invoice_id", "customerID"], BILLING_SPEC)
+    return conformed(raw, ["invoice_id", "customerID"], BILLING_SPEC, blank=["invoice_id", "customerID"])
 
 
 def complaint_candidates(raw: DataFrame) -> DataFrame:
-    return conformed(raw, ["complaint_id", "customerID"], COMPLAINT_SPEC)
+    return conformed(raw, ["complaint_id", "customerID"], COMPLAINT_SPEC, blank=["complaint_id", "customerID"])
 
 
 def network_candidates(raw: DataFrame) -> DataFrame:
-    return conformed(raw, ["event_id", "customerID"], NETWORK_SPEC)
+    return conformed(raw, ["event_id", "customerID"], NETWORK_SPEC, blank=["event_id", "customerID"])
 
 
 def accepted(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

@@ -36,19 +36,25 @@ def payment_date(status: Column, paid_on: Column) -> Column:
     return F.when(F.lower(F.trim(status)) != "unpaid", paid_on)
 
 
+ROWS_PER_SLOT = 200_000
+
+
 def sequential_ids(
     df: DataFrame,
     order: Sequence[str],
     pattern: str,
     name: str,
-    slots: int = 1024,
+    slots: int | None = None,
     bucket_method: str = "xxhash64",
 ) -> DataFrame:
     """Gap-free ids 1..n in key order, formatted by ``pattern``.
 
     Rows are ranked inside hash slots of the unique key and shifted by the slot's offset, so
-    no single task numbers the whole table. Numbers follow slot, then key, order.
+    no single task numbers the whole table. Numbers follow slot, then key, order. Without
+    ``slots`` there is one for each ``ROWS_PER_SLOT`` rows, so a task's share does not grow.
     """
+    if slots is None:
+        slots = max(1, -(-df.count() // ROWS_PER_SLOT))
     placed = df.withColumn("_slot", C.hash_bucket(list(order), slots, bucket_method))
     sizes = placed.groupBy("_slot").agg(F.count(F.lit(1)).alias("_n"))
     before = W.orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
@@ -58,7 +64,7 @@ def sequential_ids(
     rank = F.row_number().over(W.partitionBy("_slot").orderBy(*order))
     return (
         placed.withColumn("_rank", rank)
-        .join(F.broadcast(offsets), "_slot")
+        .join(offsets, "_slot")
         .withColumn(name, F.format_string(pattern, F.col("_offset") + F.col("_rank")))
         .drop("_slot", "_rank", "_offset")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,12 @@ from subscope.operators import stats
 RISK_BANDS = [(70, "Critical"), (50, "High"), (30, "Medium")]
 VALUE_BANDS = [(80, "High Value"), (40, "Medium Value")]
 PROBABILITY_BANDS = [(0.30, "Low"), (0.50, "Medium"), (0.70, "High")]
+RISK_CAP = 100.0
+CONTRACT_POINTS = {"month-to-month": 20.0, "other": 5.0}
+TENURE_POINTS = [(12, 15.0), (24, 10.0)]
+TENURE_LONG_POINTS = 3.0
+# points of one unit, and the most that a kind of issue can add
+ISSUE_POINTS = {"payment": (8.0, 20.0), "complaint": (3.0, 20.0), "network": (0.25, 25.0)}
 PAYMENT_ACTION = "Payment support and retention offer"
 COMPLAINT_ACTION = "Resolve open complaints immediately"
 NETWORK_ACTION = "Network investigation and service credit"
@@ -23,17 +31,18 @@ def _monthly_contract() -> Column:
     return F.lower("contract_type") == "month-to-month"
 
 
+def _points(rules: list[tuple[Column, float]], default: float) -> Column:
+    return C.first_match([(rule, F.lit(points)) for rule, points in rules], F.lit(default))
+
+
 def risk_score() -> Column:
-    """Additive points for contract, tenure, payments, complaints and network; cap 100."""
-    contract = F.when(_monthly_contract(), 20.0).otherwise(5.0)
-    tenure = F.when(F.col("tenure_months") <= 12, 15.0).when(F.col("tenure_months") <= 24, 10.0).otherwise(3.0)
-    payments = F.least(F.col("payment_issue_count") * 8.0, F.lit(20.0))
-    complaints = F.least(F.col("complaint_severity_score") * 3.0, F.lit(20.0))
-    network = F.when(
-        F.col("has_network_events") == 1,
-        F.least((F.lit(100.0) - F.col("network_quality_score")) * 0.25, F.lit(25.0)),
-    ).otherwise(0.0)
-    return F.least(F.lit(100.0), contract + tenure + payments + complaints + network)
+    """Points for contract and tenure, and capped points per issue, in all at most ``RISK_CAP``."""
+    contract = _points([(_monthly_contract(), CONTRACT_POINTS["month-to-month"])], CONTRACT_POINTS["other"])
+    tenure = _points([(F.col("tenure_months") <= limit, points) for limit, points in TENURE_POINTS], TENURE_LONG_POINTS)
+    lost_quality = F.when(F.col("has_network_events") == 1, F.lit(100.0) - F.col("network_quality_score")).otherwise(0.0)
+    units = {"payment": F.col("payment_issue_count"), "complaint": F.col("complaint_severity_score"), "network": lost_quality}
+    issues = [F.least(units[name] * each, F.lit(cap)) for name, (each, cap) in ISSUE_POINTS.items()]
+    return F.least(F.lit(RISK_CAP), reduce(Column.__add__, issues, contract + tenure))
 
 
 def recommended_action(guard_missing: bool = False) -> Column:

@@ -9,18 +9,6 @@ from pyspark.sql import functions as F
 from subscope.functions import columns as C
 
 _ACCURACY = 10_000
-MAX_LABELS = 1_000
-
-
-def per_label(df: DataFrame) -> DataFrame:
-    """One row per class label, to be broadcast: a label splits the rows into a few huge keys,
-    so the large side must not be shuffled on it. More labels than the bound is an error."""
-    n = F.count(F.lit(1)).over(W.partitionBy(F.lit(0)))
-    too_many = F.raise_error(F.lit(f"more than {MAX_LABELS} labels")).cast("boolean")
-    counted = df.withColumn("_n", n)
-    return F.broadcast(
-        counted.filter(F.when(F.col("_n") <= MAX_LABELS, F.lit(True)).otherwise(too_many)).drop("_n")
-    )
 
 
 def value_counts(df: DataFrame, *keys: str) -> DataFrame:
@@ -34,7 +22,7 @@ def value_shares(df: DataFrame, *keys: str) -> DataFrame:
     The grand total is a scalar subquery, so no window has to gather the groups in one task.
     """
     counts = value_counts(df, *keys)
-    grand_total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    grand_total = counts.agg(F.sum("count").alias("n")).scalar()
     return counts.withColumn("share", C.ratio(F.col("count"), grand_total))
 
 
@@ -110,13 +98,13 @@ def stratified_split(
         (F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota"))
     ).select(label, "_p", (F.col("quota") - (F.col("upto") - F.col("n"))).alias("take"))
     cut = (
-        ranked.join(per_label(edge), [label, "_p"])
+        ranked.join(edge, [label, "_p"])
         .withColumn("rank", F.row_number().over(W.partitionBy(label).orderBy("_h")))
         .filter(F.col("rank") == F.col("take"))
         .select(label, F.col("_h").alias("_cut"))
     )
     return (
-        hashed.join(per_label(cut), label, "left")
+        hashed.join(cut, label, "left")
         .withColumn("is_test", C.flag(F.col("_h") <= F.col("_cut")))
         .select(*df.columns, "is_test")
     )
@@ -126,9 +114,9 @@ def balanced_weight(df: DataFrame, label: str) -> DataFrame:
     """Add ``weight = n / (classes * n_label)``, the usual balancing of a skewed label."""
     counts = value_counts(df, label)
     classes = counts.agg(F.count(F.lit(1)).alias("k")).scalar()
-    n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    n = counts.agg(F.sum("count").alias("n")).scalar()
     weights = counts.select(label, C.ratio(n, classes * F.col("count")).alias("weight"))
-    return df.join(per_label(weights), label)
+    return df.join(weights, label)
 
 
 def confusion_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:

@@ -78,6 +78,11 @@ class Atom:
         return {"sum": C.total, "max": F.max, "min": F.min}.get(self.kind, F.sum)(F.col(partial))
 
 
+    def gather(self, partial: str) -> Column:
+        """One partial result from several of the same customer and group."""
+        return F.sum(F.col(partial)) if self.kind == "customers" else self.merge(partial)
+
+
 OWNERS = {"dim_date": "dates"}
 
 
@@ -458,8 +463,13 @@ def query(
     names: Sequence[str],
     by: Sequence[str] = (),
     ctx: FilterContext = FilterContext(),
+    windows: bool = False,
 ) -> DataFrame:
-    """The named measures per group of ``by`` columns (``table.column``) within a context."""
+    """The named measures per group of ``by`` columns (``table.column``) within a context.
+
+    With ``windows``, ``MONTH`` must be among ``by``; every month then also stands for its windows,
+    as keys of ``window_keys``.
+    """
     wanted: dict[tuple, str] = {}
 
     def g(atom, window=None, remove=()):
@@ -490,7 +500,7 @@ def query(
         frame = (
             _high_value_high_risk(model, keys, ctx, next(iter(atoms)))
             if table == "special"
-            else _aggregate(model, table, atoms, keys, picks, ctx)
+            else _aggregate(model, table, atoms, keys, picks, ctx, windows and MONTH in keys)
         )
         (whole if keys == tuple(by) else partial).append((keys, frame, list(atoms)))
     if not whole:
@@ -533,9 +543,12 @@ def _aggregate(
     keys: Sequence[str],
     picks: Sequence[str],
     ctx: FilterContext,
+    windows: bool = False,
 ) -> DataFrame:
     """Atoms of one table per group; columns are the flattened keys and the atom aliases."""
     key_names = [flat(r) for r in keys]
+    if windows and table in ("dates", "customers"):
+        raise ValueError(f"no month windows over {table}")
     if table == "dates":
         at = lambda r: F.col(column_of(r))
         rows = model.dates(ctx).filter(_selected(picks, ctx, at))
@@ -552,10 +565,10 @@ def _aggregate(
         return rows.groupBy(*key_names).agg(
             *[a.first(at, F.lit(True)).alias(n) for n, (a, _) in atoms.items()]
         )
-    return _aggregate_fact(model, table, atoms, keys, picks, ctx)
+    return _aggregate_fact(model, table, atoms, keys, picks, ctx, windows)
 
 
-def _aggregate_fact(model, table, atoms, keys, picks, ctx) -> DataFrame:
+def _aggregate_fact(model, table, atoms, keys, picks, ctx, windows=False) -> DataFrame:
     own = lambda r: F.col(column_of(r))
     dated = lambda r: date_attribute(column_of(r)) if table_of(r) == "dim_date" else own(r)
     near = [r for r in (*keys, *picks) if table_of(r) in (table, "dim_date")]
@@ -570,6 +583,11 @@ def _aggregate_fact(model, table, atoms, keys, picks, ctx) -> DataFrame:
     per_customer = bool(person) or any(a.kind == "customers" for a, _ in atoms.values())
     extra = (["customer_id"] if per_customer else []) + (["location_key"] if place else [])
     grouped = rows.groupBy(*extra, *[c.alias(n) for n, c in key_columns.items()]).agg(*partials)
+    if windows:
+        # partial results per month (and customer) go to every window that holds the month
+        month = flat(MONTH)
+        spread = grouped.withColumn(month, F.explode(window_keys(F.col(month))))
+        grouped = spread.groupBy(*extra, *key_columns).agg(*[a.gather(n).alias(n) for n, (a, _) in atoms.items()])
     if not extra:
         return grouped
 
@@ -645,6 +663,29 @@ def _high_value_high_risk(model, keys, ctx, alias) -> DataFrame:
     )
 
 
+MONTH = "dim_date.year_month_sort"
+# What a month's key plus so many millions stands for: the month, three months up to it, its year so far.
+_KINDS = {"value": 0, "rolling": 1_000_000, "year_to_date": 2_000_000}
+ROLLING_MONTHS = 3
+
+
+def window_keys(month: Column) -> Column:
+    """The months whose windows hold a month, as coded keys; ``month`` is yyyymm."""
+    index = F.floor(month / 100) * 12 + month % 100 - 1
+    key = lambda i: (F.floor(i / 12) * 100 + i % 12 + 1).cast("long")
+    last = F.floor(index / 12) * 12 + 11
+    spans = {"value": index, "rolling": index + (ROLLING_MONTHS - 1), "year_to_date": last}
+    coded = lambda until, code: F.transform(F.sequence(index, until), lambda i: key(i) + code)
+    return F.concat(*(coded(spans[kind], code) for kind, code in _KINDS.items()))
+
+
+def additive(name: str) -> bool:
+    """Whether months of a measure add up: it is one sum or count of rows."""
+    atoms: list[str] = []
+    expression(name)(lambda atom, window=None, remove=(): (atoms.append(atom), F.lit(1))[1])
+    return len(atoms) == 1 and ATOMS[atoms[0]].kind in ("sum", "isum", "count", "n")
+
+
 def series(
     model: StarModel,
     name: str,
@@ -654,54 +695,56 @@ def series(
     """A measure per calendar month with its time intelligence (TI-1 to TI-5).
 
     Months without rows are part of the line: they count as a month for previous, rolling and
-    year-to-date values. The line covers the months of the selected calendar days.
+    year-to-date values. The line covers the months of the selected calendar days. Rates, averages
+    and distinct counts are evaluated over all rows of a window, in one pass over the facts; sums
+    and counts add up their months, and their rolling value is the average month.
     """
-    monthly = query(model, [name], [*by, "dim_date.year_month_sort"], ctx)
     names = _names(by)
+    adds = additive(name)
+    found = query(model, [name], [*by, MONTH], ctx, windows=not adds)
+    found = found.withColumnsRenamed({n: f"_b_{n}" for n in names})
+    month_of = F.col("year_month_sort")
     months = model.dates(ctx).agg(
         F.trunc(F.min("full_date"), "MM").alias("lo"), F.trunc(F.max("full_date"), "MM").alias("hi")
     )
-    month = F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("_month")
     if by:
+        # one row: the line's ends are aggregates of the calendar
+        groups = found.select(*[F.col(f"_b_{n}").alias(n) for n in names]).distinct()
         low, high = months.select("lo").scalar(), months.select("hi").scalar()
-        line = (
-            monthly.select(*names)
-            .distinct()
-            .select(*names, low.alias("lo"), high.alias("hi"))
-            .select(*names, month)
-        )
+        line = groups.withColumns({"lo": low, "hi": high})
     else:
-        line = months.select(month)
-    line = line.withColumn("_key", C.month_key("_month"))
-    values = monthly.withColumnsRenamed({n: f"_b_{n}" for n in names})
-    match = C.all_of(
-        [F.col("_key") == F.col("year_month_sort")]
-        + [F.col(n).eqNullSafe(F.col(f"_b_{n}")) for n in names]
-    )
+        line = months
+    line = line.select(*names, F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("_month"))
+    line = line.withColumn("_key", C.month_key("_month").cast("long"))
+
+    # coded keys of one month and group meet in one row
+    kind = {k: F.max(F.when(F.floor(month_of / 1_000_000) * 1_000_000 == code, F.col(name).cast("double"))).alias(f"_{k}") for k, code in _KINDS.items()}
+    own = found.groupBy(*[f"_b_{n}" for n in names], (month_of % 1_000_000).cast("long").alias("_of")).agg(*kind.values())
+    match = C.all_of([F.col("_key") == F.col("_of")] + [F.col(n).eqNullSafe(F.col(f"_b_{n}")) for n in names])
     # windows run over months of one group: a calendar bounds their length
-    group = W.partitionBy(*names)
-    ordered = group.orderBy("_key")
-    value = F.col(name).cast("double")
+    ordered = W.partitionBy(*names).orderBy("_key")
     in_year = W.partitionBy(*names, F.year("_month")).orderBy("_key")
+    value = F.col("_value")
+    rolling, to_date = F.col("_rolling"), F.col("_year_to_date")
+    if adds:
+        rolling = F.sum(value).over(ordered.rowsBetween(1 - ROLLING_MONTHS, 0)) / ROLLING_MONTHS
+        to_date = F.sum(value).over(in_year.rowsBetween(W.unboundedPreceding, 0))
     return (
-        line.join(values, match, "left")
+        line.join(own, match, "left")
         .withColumns(
             {
                 "value": value,
                 "previous_month": F.lag(value).over(ordered),
-                "rolling_3m_average": F.sum(value).over(ordered.rowsBetween(-2, 0)) / 3,
-                "year_to_date": F.sum(value).over(in_year.rowsBetween(W.unboundedPreceding, 0)),
+                "rolling_3m_average": rolling,
+                "year_to_date": to_date,
             }
         )
-        .withColumn(
-            "mom_pct", C.ratio(F.col("value") - F.col("previous_month"), F.col("previous_month"))
-        )
         .select(
             *names,
             F.date_format("_month", "yyyy-MM").alias("year_month"),
             "value",
             "previous_month",
-            "mom_pct",
+            C.ratio(F.col("value") - F.col("previous_month"), F.col("previous_month")).alias("mom_pct"),
             "rolling_3m_average",
             "year_to_date",
         )
@@ -717,7 +760,7 @@ def funnel(model: StarModel, stages: DataFrame, ctx: FilterContext = FilterConte
     }
     values = query(model, list(columns), ctx=ctx).withColumnsRenamed(columns)
     long = values.unpivot([], list(columns.values()), "stage", "invoice_funnel_value")
-    return long.join(F.broadcast(stages), "stage")
+    return long.join(stages, "stage")
 
 
 def share_of_parent(df: DataFrame, value: str, parent: Sequence[str], name: str = "share") -> DataFrame:
