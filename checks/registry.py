@@ -283,7 +283,7 @@ def _k2(w) -> DataFrame:
 
 
 def _k8(w) -> DataFrame:
-    names = ["customers_clean", "billing_clean", "complaints_clean", "network_events_clean", "customer_billing_summary"]
+    names = [n for n, _ in COUNTS]
     for n in names:
         w.silver(n)
     rows = [(n, w.store.written[w.store.name("silver", n)]) for n in names]
@@ -353,6 +353,8 @@ COUNTS = [
     ("complaints_clean", "complaints"),
     ("network_events_clean", "network"),
     ("customer_billing_summary", "billing_summary"),
+    ("customer_complaints_summary", "complaints_summary"),
+    ("customer_network_summary", "network_summary"),
 ]
 
 
@@ -477,11 +479,11 @@ add(
 )
 add(
     "p10_j2_fact_network",
-    lambda w: w.gold("fact_network_events").drop("customer_key"),
+    lambda w: _keyed(w, "fact_network_events"),
     f"""SELECT event_id, customer_id, CAST(strftime(event_timestamp, '%Y%m%d') AS BIGINT) AS event_date_key,
     {second('event_timestamp')} AS event_timestamp, event_type, region, tower_id, latency_ms, packet_loss_pct,
     download_speed_mbps, outage_minutes, is_outage, is_degraded,
-    CAST(strftime(event_timestamp, '%Y%m') AS BIGINT) AS month_key FROM network""",
+    CAST(strftime(event_timestamp, '%Y%m') AS BIGINT) AS month_key, {_HAS} AS has_customer FROM network f""",
 )
 add(
     "w1_latest_version",
@@ -912,6 +914,20 @@ add(
     COUNT(*) FILTER (actual_churn_label = c AND predicted_churn_label = c) AS hits, COUNT(*) FILTER (actual_churn_label = c) AS support,
     COUNT(*) FILTER (predicted_churn_label = c) AS predicted FROM predictions, (VALUES (0::BIGINT), (1::BIGINT)) v(c) GROUP BY c)""",
 )
+add(
+    "l9_report_averages",
+    lambda w: stats.report_averages(w.gold("customer_churn_predictions"), "actual_churn_label", "predicted_churn_label"),
+    f"""SELECT row, CASE row WHEN 'accuracy' THEN a WHEN 'macro avg' THEN mp ELSE wp END AS precision,
+    CASE row WHEN 'accuracy' THEN a WHEN 'macro avg' THEN mr ELSE wr END AS recall,
+    CASE row WHEN 'accuracy' THEN a WHEN 'macro avg' THEN mf ELSE wf END AS f1_score, n AS support
+    FROM (SELECT CAST(SUM(support) AS BIGINT) AS n, {div('SUM(hits)', 'SUM(support)')} AS a, SUM(p) / COUNT(*) AS mp, SUM(r) / COUNT(*) AS mr,
+    SUM(f) / COUNT(*) AS mf, SUM(p * support) / SUM(support) AS wp, SUM(r * support) / SUM(support) AS wr, SUM(f * support) / SUM(support) AS wf
+    FROM (SELECT hits, support, COALESCE({div('hits', 'predicted')}, 0) AS p, COALESCE({div('hits', 'support')}, 0) AS r,
+    COALESCE({div('2 * hits', 'support + predicted')}, 0) AS f FROM (SELECT c,
+    COUNT(*) FILTER (actual_churn_label = c AND predicted_churn_label = c) AS hits, COUNT(*) FILTER (actual_churn_label = c) AS support,
+    COUNT(*) FILTER (predicted_churn_label = c) AS predicted FROM predictions, (VALUES (0::BIGINT), (1::BIGINT)) v(c) GROUP BY c))),
+    (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) w(row)""",
+)
 add(
     "l3_exact_median",
     lambda w: stats.median(w.gold("customer_ml_features"), "average_invoice_amount"),

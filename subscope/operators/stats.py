@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -181,10 +183,27 @@ def class_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
-def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 1_000) -> DataFrame:
-    """Exact area under the ROC curve of a score in [0, 1], ties counted half.
-
-    Rows collapse to one per distinct score before anything is ordered.
+def report_averages(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """The report's rows over all classes (L9): accuracy, the plain and the weighted average."""
+    cells = confusion_counts(df, actual, predicted)
+    hit = F.when(F.col(actual) == F.col(predicted), F.col("customers")).otherwise(0)
+    accuracy = cells.agg(C.ratio(F.sum(hit), F.sum("customers")).alias("a")).scalar()
+    report = class_report(df, actual, predicted)
+    n = F.sum("support")
+    shown = ("precision", "recall", "f1_score")
+    rows = [
+        report.agg(F.lit("accuracy").alias("row"), *[F.first(accuracy).alias(c) for c in shown], n.alias("support")),
+        report.agg(F.lit("macro avg").alias("row"), *[C.ratio(F.sum(c), F.count(F.lit(1))).alias(c) for c in shown], n.alias("support")),
+        report.agg(F.lit("weighted avg").alias("row"), *[C.ratio(F.sum(F.col(c) * F.col("support")), n).alias(c) for c in shown], n.alias("support")),
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 256) -> DataFrame:
+    """Exact area under the ROC curve of any score, ties counted half.
+
+    Rows collapse to one per distinct score before anything is ordered. Buckets hold about equally
+    many distinct scores, so scores that crowd in one place do not crowd in one task.
     """
     scores = (
         df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
@@ -193,8 +212,10 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 1_000) -> Data
             C.count_where(F.col(label) == 1).alias("pos"),
             C.count_where(F.col(label) == 0).alias("neg"),
         )
-        .withColumn("b", F.floor(F.col("s") * buckets))
     )
+    cuts = scores.agg(F.percentile_approx("s", [k / buckets for k in range(1, buckets)], _ACCURACY).alias("q")).scalar()
+    scores = scores.withColumn("_cuts", cuts)
+    scores = scores.withColumn("b", F.size(F.filter("_cuts", lambda cut: cut <= F.col("s")))).drop("_cuts")
     exact = lambda c: c.cast("decimal(19,0)")
     wins = exact(F.col("pos")) * exact(2 * F.col("neg_below") + F.col("neg"))
     return (

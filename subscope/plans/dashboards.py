@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscope.plans import measures as M
@@ -36,7 +36,7 @@ def q8_priority_status(model: StarModel, ctx: FilterContext = ALL) -> DataFrame:
     by = ["complaints.priority", "complaints.complaint_status"]
     counts = M.query(model, ["total_complaints"], by, ctx)
     shares = M.share_of_parent(counts, "total_complaints", ["priority"])
-    order = lookups.priorities(model.table("dim_date").sparkSession)
+    order = lookups.priorities(SparkSession.getActiveSession())
     return shares.join(F.broadcast(order), "priority").orderBy("priority_sort", "complaint_status")
 
 
@@ -55,7 +55,7 @@ def q18_date_range(model: StarModel, ctx: FilterContext = ALL) -> DataFrame:
 
 
 def q20_invoice_funnel(model: StarModel, ctx: FilterContext = ALL) -> DataFrame:
-    stages = lookups.funnel_stages(model.table("dim_date").sparkSession)
+    stages = lookups.funnel_stages(SparkSession.getActiveSession())
     return M.funnel(model, stages, ctx).orderBy("stage_order")
 
 

@@ -88,10 +88,14 @@ class LayerStore:
         df.write.mode("append").format(self.fmt).saveAsTable(target)
         return self.read(layer, table)
 
-    def backup_if_absent(self, layer: str, table: str, label: str) -> DataFrame:
-        """Keep the current state under ``<table>_<label>`` unless it is kept already (K3)."""
+    def backup_if_absent(self, layer: str, table: str, label: str, renew: bool = False) -> DataFrame:
+        """Keep the current state under ``<table>_<label>`` unless it is kept already (K3).
+
+        A kept state stays, because the live table may have been enriched since. ``renew`` keeps
+        the current state as a new version; earlier versions can still be read by their number.
+        """
         name = f"{table}_{label}"
-        if self.exists(layer, name):
+        if self.exists(layer, name) and not renew:
             return self.read(layer, name)
         return self.write(self.read(layer, table), layer, name)
 
