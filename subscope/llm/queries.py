@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscope.llm import bpe, common, decontam, fingerprint, jaccard, language, lm, pii, quality, toxicity
+from subscope.llm import bpe, common, decontam, fingerprint, jaccard, language, lm, pii, quality, tokencount, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,6 +63,11 @@ def language_model(spark: SparkSession, folder: str) -> DataFrame:
     return lm.scores(table(spark, folder, "documents"))
 
 
+@query("op7_token_counts")
+def token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencount.counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op8_toxicity")
 def document_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
