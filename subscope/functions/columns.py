@@ -32,7 +32,9 @@ def total(c: str | Column, digits: int = DIGITS) -> Column:
     scale = 10.0**digits
     held = F.abs(value) < _LARGE * 10.0 ** (6 - max(digits, 6))
     units = F.when(held, F.rint(value * scale)).cast("long")
-    rest = F.when(held, value - units / F.lit(scale)).otherwise(value)
+    # a value that is a decimal of so many digits but for the last bits of its double has no rest
+    beyond = value - units / F.lit(scale)
+    rest = F.when(held & (F.abs(beyond) <= F.abs(value) * 2.0**-49), F.lit(0.0)).when(held, beyond).otherwise(value)
     low = (1 << _LIMB) - 1
     limbs = (
         F.sum(F.shiftright(units, 2 * _LIMB)),

@@ -1,12 +1,16 @@
 """Every registered query against its SQL twin on the smallest tables."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry
-from checks import compare
+from checks import compare, registry
 
 FOLDER = "/root/testdata/sf0.001"
-ORACLE = entry.oracle_sql()
+ORACLE = registry.ORACLE
 SLOW = ("l1_l4", "l12", "l16", "l6_l7")
 
 
@@ -26,7 +30,8 @@ def test_query_without_twin_runs(spark, name):
 
 
 def test_every_query_has_a_twin_or_a_reason():
-    without = set(entry.queries()) - set(ORACLE)
+    without = set(registry.QUERIES) - set(ORACLE)
+    assert set(registry.QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
     # engine-specific hashes, catalog listings, unordered previews, trained models
     assert without == {
         "k6_k7_layer_listing", "k9_preview", "p8_surrogate_key", "p23_hash_bucket_xxhash64", "l1_l4_l5_l10_model_runs",
@@ -37,3 +42,14 @@ def test_every_query_has_a_twin_or_a_reason():
 def test_entry_returns_the_executive_row(spark):
     rows = entry.entry(spark).collect()
     assert len(rows) == 1 and rows[0].total_customers == 150
+
+
+def test_entry_does_without_the_operators_over_documents():
+    code = """
+import sys
+sys.modules["subscope.llm"] = None
+sys.modules.pop("corpus_pipeline", None)
+import __spark_entry__ as entry
+assert entry.llm is None and not any(n.startswith("op") for n in entry.queries())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(entry.__file__))
