@@ -9,12 +9,14 @@ column discard the rest. Only pairs that pass have their remaining product taken
 Connected rows need no expansion into all pairs: the first product pairs every row of a column with
 the column's hub (the row with the fewest rare columns). Rows that this links are contracted. The
 second product pairs what is still apart within a column, outside the column's largest component
-against all of it, so that no link between components is missed.
+against all of it, so that no link between components is missed; a parity sketch of every row, whose
+bits differ no more than the rows do, leaves out pairs that are too far apart.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,9 @@ from subscope.llm import common
 SLOTS = 1 << 20
 #: Bits of the filter that says which rows have a candidate.
 FILTER_BITS = 1 << 24
+#: Numbers of 64 parity bits of a row's sketch.
+WORDS = 4
+_PARITY = [f"parity_{k}" for k in range(WORDS)]
 #: N-grams that one block of the counting pass holds.
 BLOCK = 1 << 21
 #: Rows over which one common column is spread before the hubs of the parts meet.
@@ -74,6 +79,23 @@ def digests(total: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return common.mix(out + size.astype(np.uint64)).view(np.int64)
 
 
+def parities(total: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """``WORDS`` numbers of 64 parity bits for every set: two sets differ in as many n-grams at least
+    as their parities differ in bits."""
+    size = np.diff(offsets)
+    hashed = common.mix(total + np.uint64(0x632BE59BD9B4E019))
+    out = []
+    for k in range(WORDS):
+        own = (hashed >> np.uint64(6)) % np.uint64(WORDS) == k
+        bit = np.where(own, np.uint64(1) << (hashed & np.uint64(63)), np.uint64(0))
+        word = np.zeros(len(size), np.uint64)
+        full = size > 0
+        if full.any():
+            word[full] = np.bitwise_xor.reduceat(bit, offsets[:-1][full])
+        out.append(word.view(np.int64))
+    return out
+
+
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -84,15 +106,15 @@ def _sets(n: int):
             value, times = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
             value, times = value[times > 1].view(np.int64), times[times > 1]
             none = pa.nulls(len(value), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(value), pa.array(times, pa.int64())], names=names)
+            return pa.RecordBatch.from_arrays([none] * (4 + WORDS) + [pa.array(value), pa.array(times, pa.int64())], names=names)
 
-        names = ["doc_id", "text_key", "node", "n", "gram", "times"]
+        names = ["doc_id", "text_key", "node", "n", *_PARITY, "gram", "times"]
         for part in common.slices(batches):
             total, offsets = grams(part.column("text"), n)
             node, size = digests(total, offsets), np.diff(offsets)
             none = pa.nulls(len(node), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").cast(pa.int64()), part.column("text_key"), pa.array(node), pa.array(size, pa.int64()), none, none], names=names
+                [part.column("doc_id").cast(pa.int64()), part.column("text_key"), pa.array(node), pa.array(size, pa.int64()), *map(pa.array, parities(total, offsets)), none, none], names=names
             )
             for i, key in enumerate(node.tolist()):
                 if key not in seen:
@@ -186,6 +208,13 @@ def _reach(n_a, place_a, n_b, place_b, permille: int):
     return (left * (1000 + permille) >= (n_a + n_b) * permille) & (F.least(n_a, n_b) * 1000 >= F.greatest(n_a, n_b) * permille)
 
 
+def _near(permille: int):
+    """Whether the parities of a and b leave room for the threshold: linked rows differ in at most
+    (1 - t) / (1 + t) of their n-grams together."""
+    apart = reduce(lambda x, y: x + y, (F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in _PARITY))
+    return apart.cast("long") * (1000 + permille) <= (F.col("n_a") + F.col("n_b")) * (1000 - permille)
+
+
 def _pair(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -306,8 +335,9 @@ def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
     permille = round(threshold * 1000)
     spark = docs.sparkSession
     texts = common.body(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    first = common.saved(texts.mapInArrow(_sets(n), "doc_id long, text_key long, node long, n long, gram long, times long"), "sets")
-    rows = first.where("node is not null").select("doc_id", "text_key", "node", "n")
+    first = common.saved(texts.mapInArrow(_sets(n), f"doc_id long, text_key long, node long, n long, {' long, '.join(_PARITY)} long, gram long, times long"), "sets")
+    rows_full = first.where("node is not null")
+    rows = rows_full.select("doc_id", "text_key", "node", "n")
 
     slot = F.col("gram").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")
     heavy = first.where("gram is not null").groupBy("gram").agg(F.sum("times").alias("times")).where("times >= 16")
@@ -338,12 +368,13 @@ def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
     own = common.saved(posts.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")).distinct(), "own")
     size = own.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size"))
     main = size.groupBy("gram").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    apart = common.saved(own.join(main.select("gram", "main"), "gram"), "apart")
-    a = apart.where("component <> main").select("gram", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "place", "component")))
-    b = apart.select("gram", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "component", "main")))
+    sketch = rows_full.groupBy("node").agg(*[F.first(p).alias(p) for p in _PARITY])
+    apart = common.saved(own.join(main.select("gram", "main"), "gram").join(sketch, "node"), "apart")
+    a = apart.where("component <> main").select("gram", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "place", "component", *_PARITY)))
+    b = apart.select("gram", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "component", "main", *_PARITY)))
     # a pair outside the main component comes from either side: take it once
     cross = a.join(b, "gram").where("component_a <> component_b and (component_b = main_b or node_a < node_b)")
-    cross = cross.where(_reach(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), permille))
+    cross = cross.where(_reach(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), permille) & _near(permille))
     cross = cross.select(*_pair(F.col("node_a"), F.col("node_b"))).distinct().join(pairs, ["a", "b"], "left_anti")
     more = _verified(texts, common.saved(cross, "pairs"), prefix, n, permille)
     if not more.isEmpty():
