@@ -17,6 +17,8 @@ from subscope.llm import bpe, common, decontam, jaccard, pii, quality
 
 #: No SQL engine trains these models; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
+#: Documents to leave out (a doc_id and a hash each) that are sent to every task at most.
+SENT = 1_000_000
 
 
 def _text_key():
@@ -31,8 +33,13 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def _without(docs: DataFrame, gone: DataFrame, purpose: str) -> DataFrame:
-    """``docs`` without the documents (doc_id, text_key) in ``gone``."""
+    """``docs`` without the documents (doc_id, text_key) in ``gone``.
+
+    Up to ``SENT`` documents are sent to every task, so that no text moves; more are joined.
+    """
     gone = common.saved(gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct(), purpose)
+    if gone.count() <= SENT:
+        gone = F.broadcast(gone)
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone_id"]) & (_text_key() == gone["_gone_key"]), "left_anti")
 
 
@@ -46,15 +53,21 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
     """One document of each class of near copies (five-word shingles, similarity 0.8 or more): that
     of the least doc_id. Documents without words have no copies and stay."""
     found = common.saved(jaccard.classes(docs, n=5, threshold=0.8), "copies")
-    full = found.where("n_shingles > 0")
-    # one kept key per class; equal keys of one class are repeated rows
-    kept = full.groupBy("component_id").agg(F.min_by(F.struct("doc_id", "text_key"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("kept"))
-    kept = kept.select("kept.*").union(found.where("n_shingles = 0").select("doc_id", "text_key").distinct())
-    kept = common.saved(kept.withColumnsRenamed({"doc_id": "_kept_id", "text_key": "_kept_key"}), "kept")
+    # one kept key per class; a document without words is a class of its own
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    kept = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(order).alias("kept"))
+    full = found.where("n_shingles > 0").withColumn("key", order).join(kept, found["component_id"].eqNullSafe(kept["component_id"]))
+    out = _without(docs, full.where(~F.col("key").eqNullSafe(F.col("kept"))), "removed")
+    # rows that repeat a key, if there are any, become one
+    repeated = found.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key")
+    repeated = common.saved(repeated, "repeated")
+    if repeated.isEmpty():
+        return out
+    again = repeated.withColumnsRenamed({"doc_id": "_again_id", "text_key": "_again_key"})
+    rows = out.join(again, out["doc_id"].eqNullSafe(again["_again_id"]) & (_text_key() == again["_again_key"]), "left_semi")
     key, copy = _free(docs, "_key"), _free(docs, "_copy")
-    keyed = docs.withColumn(key, _text_key())
-    once = keyed.withColumn(copy, F.row_number().over(Window.partitionBy("doc_id", key).orderBy(F.lit(0)))).where(F.col(copy) == 1)
-    return once.join(kept, once["doc_id"].eqNullSafe(kept["_kept_id"]) & (once[key] == kept["_kept_key"]), "left_semi").select(*docs.columns)
+    once = rows.withColumn(key, _text_key()).withColumn(copy, F.row_number().over(Window.partitionBy("doc_id", key).orderBy(F.lit(0))))
+    return _without(out, repeated, "repeated").unionByName(once.where(F.col(copy) == 1).select(*docs.columns))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -64,11 +77,10 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, folder: str)
 
 def personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, personal data in their texts replaced by its kind; ``n_chars`` follows."""
-    spans = pii.spans(docs).where(F.size("spans") > 0).select(F.col("doc_id").alias("_found_id"), F.col("text_key").alias("_found_key"), "spans")
-    spans = common.saved(spans.groupBy("_found_id", "_found_key").agg(F.first("spans").alias("_spans")), "spans")
-    joined = docs.join(spans, docs["doc_id"].eqNullSafe(spans["_found_id"]) & (_text_key() == spans["_found_key"]), "left")
-    text = F.when(spans["_spans"].isNull(), docs["text"]).otherwise(pii.redacted(docs["text"], spans["_spans"]))
-    out = joined.select(*(text.alias(c) if c == "text" else docs[c] for c in docs.columns))
+    accepted = pii.accepted(pii.found(docs))
+    text = F.col("text").cast("string")
+    clean = F.when(text.isNotNull(), pii.redacted(text, pii.kept(pii.candidates(text), accepted)))
+    out = docs.withColumn("text", clean)
     if "n_chars" not in docs.columns:
         return out
     return out.withColumn("n_chars", F.coalesce(F.char_length("text").cast(dict(docs.dtypes)["n_chars"]), F.col("n_chars")))

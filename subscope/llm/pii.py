@@ -215,6 +215,31 @@ def classifier(counts: dict[str, int], truth: dict[str, float], steps: int = 300
     return score
 
 
+def found(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key and the candidates of every row, written."""
+    texts = common.body(docs)
+    return common.saved(texts.select("doc_id", F.xxhash64("text").alias("text_key"), candidates(F.col("text")).alias("found")), "candidates")
+
+
+def accepted(rows: DataFrame) -> list[str]:
+    """The patterns that the classifier accepts, trained on the candidates of all rows."""
+    patterns = rows.where(F.size("found") > 0).select(F.explode("found.key").alias("key")).groupBy("key").count().collect()  # few: votes and shapes
+    counts = {r["key"]: r["count"] for r in patterns}
+    score = classifier(counts, reliabilities(counts))
+    return sorted(k for k, p in score.items() if p >= 0.5)
+
+
+def kept(candidate: Column, patterns: list[str]) -> Column:
+    """Base spans, and accepted ones that meet none of them, by start and kind."""
+
+    def chosen(xs: Column) -> Column:
+        more = F.filter(xs, lambda x: ~x["base"] & x["key"].isin(patterns))
+        return _let(F.filter(xs, lambda x: x["base"]), lambda b: F.concat(b, F.filter(more, lambda x: ~F.exists(b, lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"])))))
+
+    shown = lambda xs: F.transform(xs, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), x["base"].alias("base")))
+    return _let(candidate, lambda xs: F.when(F.size(xs) == 0, F.array().cast(_KEPT)).otherwise(F.array_sort(F.array_distinct(shown(chosen(xs))))))
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """doc_id, text_key and ``spans``: array of (start, kind, end, base) by start and kind.
 
@@ -222,20 +247,8 @@ def spans(docs: DataFrame) -> DataFrame:
     no span; a NULL doc_id stays; repeated rows get equal spans; other columns are ignored. Without
     candidates nothing is trained. Base spans are always there.
     """
-    texts = common.body(docs)
-    found = common.saved(texts.select("doc_id", F.xxhash64("text").alias("text_key"), candidates(F.col("text")).alias("found")), "candidates")
-    patterns = found.where(F.size("found") > 0).select(F.explode("found.key").alias("key")).groupBy("key").count().collect()  # few: votes and shapes
-    counts = {r["key"]: r["count"] for r in patterns}
-    score = classifier(counts, reliabilities(counts))
-    accepted = sorted(k for k, p in score.items() if p >= 0.5)
-
-    def kept(xs: Column) -> Column:
-        base = F.filter(xs, lambda x: x["base"])
-        more = F.filter(xs, lambda x: ~x["base"] & x["key"].isin(accepted))
-        return _let(base, lambda b: F.array_distinct(F.concat(b, F.filter(more, lambda x: ~F.exists(b, lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"]))))))
-
-    every = F.array_sort(F.transform(kept(F.col("found")), lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), x["base"].alias("base"))))
-    return found.select("doc_id", "text_key", F.when(F.size("found") == 0, F.array().cast(_KEPT)).otherwise(every).alias("spans"))
+    rows = found(docs)
+    return rows.select("doc_id", "text_key", kept(F.col("found"), accepted(rows)).alias("spans"))
 
 
 _KEPT = "array<struct<start:int,kind:int,end:int,base:boolean>>"
@@ -250,7 +263,11 @@ def written(found: Column) -> Column:
 def redacted(text: Column, found: Column) -> Column:
     """The text with every span replaced by its kind in brackets; overlapping spans leave no gap."""
     name = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    reach = lambda i: F.aggregate(F.slice(found, F.lit(1), i), F.lit(0), lambda a, x: F.greatest(a, x["end"]))
-    piece = lambda x, i: _let(reach(i), lambda r: F.concat(F.substring(text, r + 1, F.greatest(x["start"] - r, F.lit(0))), F.get(name, x["kind"])))
-    tail = _let(reach(F.size(found)), lambda r: F.substring(text, r + 1, F.char_length(text)))
-    return F.when(F.size(found) == 0, text).otherwise(F.concat(F.array_join(F.transform(found, piece), ""), tail))
+
+    def replaced(xs: Column) -> Column:
+        reach = lambda i: F.aggregate(F.slice(xs, F.lit(1), i), F.lit(0), lambda a, x: F.greatest(a, x["end"]))
+        piece = lambda x, i: _let(reach(i), lambda r: F.concat(F.substring(text, r + 1, F.greatest(x["start"] - r, F.lit(0))), F.get(name, x["kind"])))
+        tail = _let(reach(F.size(xs)), lambda r: F.substring(text, r + 1, F.char_length(text)))
+        return F.when(F.size(xs) == 0, text).otherwise(F.concat(F.array_join(F.transform(xs, piece), ""), tail))
+
+    return _let(found, replaced)
