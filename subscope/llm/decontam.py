@@ -46,7 +46,7 @@ class Index:
         self.vocabulary = np.unique(word)
         ids = self.ids(word)
         self.items = [(key, ids[a:b]) for (key, _), a, b in zip(items, at[:-1], at[1:], strict=True) if b - a >= min_words]
-        self.allowed = [int(edits * len(x) + 1e-9) for _, x in self.items]
+        self.allowed = np.array([int(edits * len(x) + 1e-9) for _, x in self.items], np.int64)
         segments: dict[int, list[tuple[int, int, int]]] = {}
         for at, (_, x) in enumerate(self.items):
             parts = self.allowed[at] + 1
@@ -68,7 +68,8 @@ class Index:
             own = np.flatnonzero(self.kind == c)
             flat = np.concatenate([self.items[i][1] for i in own])
             size = np.array([len(self.items[i][1]) for i in own])
-            keys = self._sampled(flat, np.cumsum(size) - size, np.cumsum(size), int(c))
+            begin = np.cumsum(size) - size
+            keys = self._sampled(flat, begin, begin, np.cumsum(size), int(c))
             order = np.argsort(keys, axis=0, kind="stable")
             self.tables[int(c)] = np.take_along_axis(keys, order, 0), own[order]
 
@@ -91,16 +92,17 @@ class Index:
             out = out * _P + (ids[at + k] + 2).astype(np.uint64)
         return common.mix(out)
 
-    def _sampled(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, c: int) -> np.ndarray:
-        """(window, table) keys: what the walks over ``ids[start:end]`` put at the sampled places."""
+    def _sampled(self, ids: np.ndarray, starts: np.ndarray, firsts: np.ndarray, ends: np.ndarray, c: int) -> np.ndarray:
+        """(window, table) keys: what the walks from ``start`` over ``ids[first:end]`` put at the
+        sampled places; blanks stand before and after."""
         out = np.empty((len(starts), WALKS * TABLES), np.uint64)
         word = common.mix((ids + 2).astype(np.uint64))
         steps = int(1.6 * CLASSES[c])
         for walk in range(WALKS):
             at, seen = starts.copy(), np.empty((steps, len(starts)), np.uint64)
             for j in range(steps):
-                inside = at < ends
-                seen[j] = np.where(inside, word[np.minimum(at, len(word) - 1)], _BLANK)
+                inside = (at >= firsts) & (at < ends)
+                seen[j] = np.where(inside, word[np.clip(at, 0, len(word) - 1)], _BLANK)
                 at += (common.mix(seen[j] ^ self.bits[walk, j]) & np.uint64(1)).astype(np.int64)
             for t, places in enumerate(self.places[c][walk]):
                 key = np.full(len(starts), walk * TABLES + t + 1, np.uint64)
@@ -109,9 +111,15 @@ class Index:
                 out[:, walk * TABLES + t] = key
         return out
 
-    def candidates(self, ids: np.ndarray, first: np.ndarray) -> list[tuple[int, int]]:
-        """(start, item) pairs that some table brings together; ``first``: starts of the texts."""
-        starts: dict[int, list[np.ndarray]] = {}
+    def candidates(self, ids: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int]]:
+        """(text, start, item) that some table brings together; ``first``: starts of the texts.
+
+        A window starts where its item would, before the text if the item's first words are missing.
+        """
+        # a window is one number: its text, and its start from ``before`` places ahead of all texts
+        before = int(self.allowed.max(initial=0))
+        span = len(ids) + before
+        windows: dict[int, list[np.ndarray]] = {}
         for width, (unique, bounds, rows) in self.segments.items():
             at = np.flatnonzero(ids >= 0)
             for k in range(1, width):
@@ -126,19 +134,24 @@ class Index:
             many = bounds[slot + 1] - bounds[slot]
             row = np.repeat(bounds[slot] - np.cumsum(many) + many, many) + np.arange(many.sum())
             item, offset = rows[row, 0], rows[row, 1]
-            begin = np.maximum(np.repeat(at, many) - offset, first[np.searchsorted(first, np.repeat(at, many), "right") - 1])
-            for c in np.unique(self.kind[item]):
-                starts.setdefault(int(c), []).append(begin[self.kind[item] == c])
-        found: set[tuple[int, int]] = set()
+            text = np.repeat(np.searchsorted(first, at, "right") - 1, many)
+            begin = np.repeat(at, many) - offset
+            # every word missing before the text is an edit
+            near = first[text] - begin <= self.allowed[item]
+            for c in np.unique(self.kind[item[near]]):
+                own = near & (self.kind[item] == c)
+                windows.setdefault(int(c), []).append(np.unique(text[own] * span + begin[own] + before))
+        found: set[tuple[int, int, int]] = set()
         end = np.append(first[1:], len(ids))
-        for c, parts in starts.items():
-            begin = np.unique(np.concatenate(parts))
-            keys = self._sampled(ids, begin, end[np.searchsorted(first, begin, "right") - 1], c)
+        for c, parts in windows.items():
+            text, begin = np.divmod(np.unique(np.concatenate(parts)), span)
+            begin -= before
+            keys = self._sampled(ids, begin, first[text], end[text], c)
             sorted_keys, own = self.tables[c]
             for t in range(keys.shape[1]):
                 low, high = np.searchsorted(sorted_keys[:, t], keys[:, t]), np.searchsorted(sorted_keys[:, t], keys[:, t], "right")
                 for w in np.flatnonzero(high > low):
-                    found.update((int(begin[w]), int(own[i, t])) for i in range(low[w], high[w]))
+                    found.update((int(text[w]), int(begin[w]), int(own[i, t])) for i in range(low[w], high[w]))
         return sorted(found)
 
 
@@ -165,14 +178,13 @@ def _found(index, kind: str):
             ids = np.insert(ix.ids(word), offsets[1:], -1)  # one foreign word ends each text
             first = offsets[:-1] + np.arange(batch.num_rows)
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for start, at in ix.candidates(ids, first) if ix.items else []:
-                doc = int(np.searchsorted(first, start, "right")) - 1
-                key, (_, item), k = (doc, at), ix.items[at], ix.allowed[at]
+            for doc, start, at in ix.candidates(ids, first) if ix.items else []:
+                key, (_, item), k = (doc, at), ix.items[at], int(ix.allowed[at])
                 if key in best and best[key][0] == 0:
                     continue
                 low = max(int(first[doc]), start - k)
                 high = min(int(first[doc + 1]) if doc + 1 < len(first) else len(ids), start + len(item) + 2 * k)
-                exact = ids[start : start + len(item)]
+                exact = ids[max(start, low) : start + len(item)]
                 edits, end = (0, start + len(item) - low) if np.array_equal(exact, item) else best_match(item, ids[low:high])
                 if edits <= k and (key not in best or edits < best[key][0]):
                     best[key] = edits, low + end - int(first[doc]), len(item)

@@ -73,3 +73,17 @@ def test_windows_longer_than_the_text():
     word, at = decontam.sequences(pa.array(["a b c d e", "", "f"]))
     assert len(word) == 6 and at.tolist() == [0, 5, 5, 6]
     assert len(index.items) == 1
+
+
+def test_recall_where_an_items_first_words_are_missing(spark):
+    rng = random.Random(3)
+    items = [[f"i{k}w{j}" if rng.random() < 0.6 else f"c{rng.randrange(30)}" for j in range(rng.choice((25, 59, 80, 150, 299)))] for k in range(60)]
+    rows = []
+    for k, words in enumerate(items):
+        for share in (0.5, 0.8, 1.0):
+            gone = int(share * (len(words) // 5))
+            rows.append((len(rows), k, " ".join(words[gone:] + [f"c{rng.randrange(30)}" for _ in range(rng.randint(0, 200))])))
+    docs = spark.createDataFrame([(d, t) for d, _, t in rows], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(docs, benchmark).collect()}
+    assert sum((d, k) in got for d, k, _ in rows) >= 0.97 * len(rows)
