@@ -8,6 +8,7 @@ Forward-backward marginals, weighted by the lines' lengths, make the score of a
 
 from __future__ import annotations
 
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -84,7 +85,8 @@ def lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Field:
     """Binned potentials of a line and its neighbours, label transitions, calibration."""
 
-    def __init__(self, features: np.ndarray, size: np.ndarray, per_doc: np.ndarray, label: np.ndarray):
+    def __init__(self, features: np.ndarray, size: np.ndarray, per_doc: np.ndarray, label: np.ndarray, times: np.ndarray | None = None):
+        """``times``: the labelled documents that each one stands for (one each)."""
         grid = np.linspace(0, 1, BINS + 1)[1:-1]
         self.edges = [np.unique(np.quantile(features[:, f], grid)) for f in range(features.shape[1])]
         self.weights = np.zeros((3, features.shape[1], BINS), np.float64)
@@ -97,10 +99,12 @@ class Field:
         same[first] = False
         moment = [np.zeros_like(x) for x in (self.weights, self.tie, np.zeros(1)) for _ in range(2)]
         docs = len(per_doc)
+        times = np.ones(docs) if times is None else times / times.mean()
+        weight = np.repeat(times, per_doc)
         for step in range(1, STEPS + 1):
             unary = self._unary(bins, first)
-            p, pairs = marginals(unary, per_doc, self.tie)
-            gap = (p - target) / docs
+            p, pairs = marginals(unary, per_doc, self.tie, times)
+            gap = weight * (p - target) / docs
             grad = np.zeros_like(self.weights)
             for k, shift in enumerate((0, -1, 1)):
                 rows, ok = _neighbour(len(gap), first, shift)
@@ -109,7 +113,7 @@ class Field:
             grad += 2e-4 * self.weights
             seen = np.zeros((2, 2))
             y = target.astype(int)
-            np.add.at(seen, (y[:-1][same[1:]], y[1:][same[1:]]), 1)
+            np.add.at(seen, (y[:-1][same[1:]], y[1:][same[1:]]), weight[1:][same[1:]])
             tie = (pairs - seen) / docs + 2e-2 * self.tie
             for x, g, (m, v) in ((self.weights, grad, moment[:2]), (self.tie, tie, moment[2:4])):
                 m += 0.1 * (g - m)
@@ -125,7 +129,7 @@ class Field:
         a, b = 1.0, 0.0
         for _ in range(200):  # logistic calibration of two numbers by Newton steps
             p = 1 / (1 + np.exp(-np.clip(a * raw + b, -30, 30)))
-            d, h = p - label, np.maximum(p * (1 - p), 1e-6)
+            d, h = times * (p - label), times * np.maximum(p * (1 - p), 1e-6)
             g = np.array([(d * raw).mean() + 1e-3 * (a - 1), d.mean()])
             hess = np.array([[(h * raw * raw).mean() + 1e-3, (h * raw).mean()], [(h * raw).mean(), h.mean() + 1e-6]])
             move = np.linalg.solve(hess, g)
@@ -170,8 +174,9 @@ def _neighbour(n: int, first: np.ndarray, shift: int) -> tuple[np.ndarray, np.nd
     return np.clip(rows, 0, max(0, n - 1)), ok
 
 
-def marginals(unary: np.ndarray, per_doc: np.ndarray, tie: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """P(good) of every line, and expected label pairs, by forward-backward over all documents at once.
+def marginals(unary: np.ndarray, per_doc: np.ndarray, tie: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """P(good) of every line, and expected label pairs (each document's ``times`` over, if given), by
+    forward-backward over all documents at once.
 
     States are kept as log-odds: one number per line carries what two scaled messages would.
     """
@@ -199,22 +204,28 @@ def marginals(unary: np.ndarray, per_doc: np.ndarray, tie: np.ndarray) -> tuple[
     f, g = forward[right - 1], backward[right] + unary[right]
     cells = np.stack([np.full(len(f), a), b + g, c + f, d + f + g], 1)
     cells = np.exp(cells - cells.max(1, keepdims=True)) if len(cells) else cells
-    pairs = (cells / cells.sum(1, keepdims=True)).sum(0).reshape(2, 2) if len(cells) else np.zeros((2, 2))
+    if len(cells):
+        cells /= cells.sum(1, keepdims=True)
+        if times is not None:
+            cells *= np.repeat(times, per_doc)[right, None]
+    pairs = cells.sum(0).reshape(2, 2) if len(cells) else np.zeros((2, 2))
     return p, pairs
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, held: int, most: int, chars: int) -> list[tuple[str, int]]:
-    """At most ``most`` texts of each label outside the held-out fold, those least in hash order.
+def sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, held: int, most: int, chars: int) -> list[tuple[str, int, float]]:
+    """At most ``most`` texts of each label outside the held-out fold, those least in hash order, and
+    the labelled documents that each stands for, so that the labels keep their shares at any size.
 
     Conflicting labels of a document count as the larger one; unlabelled rows are left out.
     """
     own = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (common.fold(F.col("doc_id"), parts) != held))
     own = own.groupBy("doc_id").agg(F.max(label).cast("int").alias("label")).withColumn("h", F.xxhash64("doc_id"))
+    stands = {r["label"]: r["count"] / min(most, r["count"]) for r in own.groupBy("label").count().collect()}
     picked = own.where("label = 0").orderBy("h", "doc_id").limit(most).union(own.where("label = 1").orderBy("h", "doc_id").limit(most))
     picked = common.saved(picked.select("doc_id", "label"), "sample")  # 2 * most rows
     texts = common.body(docs).where(F.char_length("text") <= chars)
-    rows = texts.join(F.broadcast(picked), "doc_id").select("text", "label").collect()
-    return sorted({(r["text"], r["label"]) for r in rows})
+    rows = Counter((r["text"], r["label"]) for r in texts.join(F.broadcast(picked), "doc_id").select("text", "label").collect())
+    return [(text, kind, n * stands[kind]) for (text, kind), n in sorted(rows.items())]
 
 
 def train(docs: DataFrame, labels: DataFrame, parts: int = 3, held: int = 1, most: int = SAMPLE) -> Field | float:
@@ -223,7 +234,7 @@ def train(docs: DataFrame, labels: DataFrame, parts: int = 3, held: int = 1, mos
     y = np.array([r[1] for r in rows], int)
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 1.0
-    return Field(*lines(pa.array([r[0] for r in rows], pa.string())), y)
+    return Field(*lines(pa.array([r[0] for r in rows], pa.string())), y, np.array([r[2] for r in rows]))
 
 
 def scores(docs: DataFrame, model: Field | float) -> DataFrame:

@@ -129,3 +129,23 @@ def test_odd_rows(spark):
     assert language.train(none) is None
     assert {r["lang_pred"] for r in language.predictions(docs, None).collect()} == {"und"}
     assert common.body(docs).columns == ["doc_id", "text"]
+
+
+def test_quality_scores_keep_the_labels_shares_in_a_bounded_sample(spark):
+    # no text tells the labels apart: a score is the share of good documents, six of seven
+    words = ["alpha", "beta", "gamma", "delta"]
+    rows = [(i, f"{words[i % 4]} {words[i // 4 % 4]} number {i}") for i in range(2100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(hash((i, 5)) % 7 > 0)) for i, _ in rows], "doc_id long, quality int")
+    whole, part = (quality.train(docs, labels, most=most) for most in (2000, 100))
+    for model in (whole, part):
+        score = [r["score"] for r in quality.scores(docs, model).collect()]
+        assert np.mean(score) == pytest.approx(6 / 7, abs=0.05)
+
+
+def test_quality_label_pairs_follow_the_weights():
+    rng = np.random.default_rng(0)
+    unary, per_doc, tie = rng.normal(0, 1, 6), np.array([2, 3, 1]), rng.normal(0, 1, (2, 2))
+    _, pairs = quality.marginals(unary, per_doc, tie, np.array([2.0, 1.0, 0.0]))
+    first, second = (quality.marginals(unary[a:b], np.array([b - a]), tie)[1] for a, b in ((0, 2), (2, 5)))
+    assert np.allclose(pairs, 2 * first + second)
