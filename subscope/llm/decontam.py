@@ -28,6 +28,8 @@ WALKS, TABLES, PLACES = 4, 12, 2
 ITEMS = 20_000
 #: Least item length of each class of lengths: windows of a class walk over as many words.
 CLASSES = [5, 8, 12, 18, 27, 40, 60, 90, 135, 200, 300]
+#: Words of an item that one walk stands for at most; a longer item is embedded in several parts.
+PART = 360
 _P = np.uint64(0x100000001B3)
 _BLANK = np.uint64(0x7F4A7C15F39CC060)
 
@@ -47,12 +49,18 @@ class Index:
         ids = self.ids(word)
         self.items = [(key, ids[a:b]) for (key, _), a, b in zip(items, at[:-1], at[1:], strict=True) if b - a >= min_words]
         self.allowed = np.array([int(edits * len(x) + 1e-9) for _, x in self.items], np.int64)
+        # parts hold whole segments, so one part at least has fewer edits than segments
         segments: dict[int, list[tuple[int, int, int]]] = {}
+        parts: list[tuple[int, int]] = []
         for at, (_, x) in enumerate(self.items):
-            parts = self.allowed[at] + 1
-            width = len(x) // parts
-            for j in range(parts):
-                segments.setdefault(width, []).append((int(self._keys(x, width, np.array([j * width]))[0]), at, j * width))
+            many = int(self.allowed[at]) + 1
+            width, cuts, last = len(x) // many, -(-len(x) // PART), -1
+            for j in range(many):
+                if j * cuts // many > last:
+                    last = j * cuts // many
+                    parts.append((at, j * width))
+                segments.setdefault(width, []).append((int(self._keys(x, width, np.array([j * width]))[0]), len(parts) - 1, j * width))
+        self.item, self.skip = np.array(parts, np.int64).reshape(-1, 2).T
         self.segments = {}
         for width, rows in segments.items():
             rows.sort()
@@ -62,14 +70,15 @@ class Index:
         rng = np.random.default_rng(5)
         self.bits = rng.integers(1, 1 << 62, (WALKS, 2 * CLASSES[-1]), dtype=np.uint64)
         self.places = [[np.sort(rng.choice(int(1.6 * c), (TABLES, PLACES))) for _ in range(WALKS)] for c in CLASSES]
-        self.kind = np.array([self._class(len(x)) for _, x in self.items], np.int64)
+        self.kind = np.array([self._class(len(self.items[i][1])) for i in self.item], np.int64)
         self.tables = {}
         for c in np.unique(self.kind) if self.items else []:
             own = np.flatnonzero(self.kind == c)
-            flat = np.concatenate([self.items[i][1] for i in own])
-            size = np.array([len(self.items[i][1]) for i in own])
-            begin = np.cumsum(size) - size
-            keys = self._sampled(flat, begin, begin, np.cumsum(size), int(c))
+            whole, place = np.unique(self.item[own], return_inverse=True)
+            flat = np.concatenate([self.items[i][1] for i in whole])
+            end = np.cumsum([len(self.items[i][1]) for i in whole])
+            first = np.append(0, end[:-1])[place]
+            keys = self._sampled(flat, first + self.skip[own], first, end[place], int(c))
             order = np.argsort(keys, axis=0, kind="stable")
             self.tables[int(c)] = np.take_along_axis(keys, order, 0), own[order]
 
@@ -114,7 +123,8 @@ class Index:
     def candidates(self, ids: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int]]:
         """(text, start, item) that some table brings together; ``first``: starts of the texts.
 
-        A window starts where its item would, before the text if the item's first words are missing.
+        The start is the item's, before the text if the item's first words are missing; the walk
+        goes from the part of the item that has the segment.
         """
         # a window is one number: its text, and its start from ``before`` places ahead of all texts
         before = int(self.allowed.max(initial=0))
@@ -133,25 +143,27 @@ class Index:
             at, slot = at[hit], slot[hit]
             many = bounds[slot + 1] - bounds[slot]
             row = np.repeat(bounds[slot] - np.cumsum(many) + many, many) + np.arange(many.sum())
-            item, offset = rows[row, 0], rows[row, 1]
+            part, offset = rows[row, 0], rows[row, 1]
             text = np.repeat(np.searchsorted(first, at, "right") - 1, many)
             begin = np.repeat(at, many) - offset
             # every word missing before the text is an edit
-            near = first[text] - begin <= self.allowed[item]
-            for c in np.unique(self.kind[item[near]]):
-                own = near & (self.kind[item] == c)
+            near = first[text] - begin <= self.allowed[self.item[part]]
+            begin += self.skip[part]
+            for c in np.unique(self.kind[part[near]]):
+                own = near & (self.kind[part] == c)
                 windows.setdefault(int(c), []).append(np.unique(text[own] * span + begin[own] + before))
         found: set[tuple[int, int, int]] = set()
         end = np.append(first[1:], len(ids))
-        for c, parts in windows.items():
-            text, begin = np.divmod(np.unique(np.concatenate(parts)), span)
+        for c, own_windows in windows.items():
+            text, begin = np.divmod(np.unique(np.concatenate(own_windows)), span)
             begin -= before
             keys = self._sampled(ids, begin, first[text], end[text], c)
             sorted_keys, own = self.tables[c]
             for t in range(keys.shape[1]):
                 low, high = np.searchsorted(sorted_keys[:, t], keys[:, t]), np.searchsorted(sorted_keys[:, t], keys[:, t], "right")
                 for w in np.flatnonzero(high > low):
-                    found.update((int(text[w]), int(begin[w]), int(own[i, t])) for i in range(low[w], high[w]))
+                    parts = own[low[w] : high[w], t]
+                    found.update(zip([int(text[w])] * len(parts), (begin[w] - self.skip[parts]).tolist(), self.item[parts].tolist(), strict=True))
         return sorted(found)
 
 
@@ -180,7 +192,7 @@ def _found(index, kind: str):
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
             for doc, start, at in ix.candidates(ids, first) if ix.items else []:
                 key, (_, item), k = (doc, at), ix.items[at], int(ix.allowed[at])
-                if key in best and best[key][0] == 0:
+                if first[doc] - start > k or (key in best and best[key][0] == 0):
                     continue
                 low = max(int(first[doc]), start - k)
                 high = min(int(first[doc + 1]) if doc + 1 < len(first) else len(ids), start + len(item) + 2 * k)

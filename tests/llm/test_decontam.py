@@ -87,3 +87,17 @@ def test_recall_where_an_items_first_words_are_missing(spark):
     benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(docs, benchmark).collect()}
     assert sum((d, k) in got for d, k, _ in rows) >= 0.97 * len(rows)
+
+
+def test_recall_of_long_items_whose_first_words_are_other_words(spark):
+    rng = random.Random(6)
+    items = [[f"i{k}w{j}" if rng.random() < 0.6 else f"c{rng.randrange(30)}" for j in range(rng.choice((400, 700, 1300, 1800)))] for k in range(24)]
+    rows = []
+    for k, words in enumerate(items):
+        gone = len(words) // 5
+        rows.append((k, " ".join([f"c{rng.randrange(30)}" for _ in range(50)] + [f"z{rng.randrange(99)}" for _ in range(gone)] + words[gone:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["edit_distance"] for r in decontam.leaks(docs, benchmark).collect()}
+    assert [k for k, _ in rows if (k, k) not in got] == []
+    assert all(got[k, k] == len(items[k]) // 5 for k, _ in rows)
