@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscope.llm import bpe, common, decontam, fingerprint, jaccard, language, lm, pii, quality, tokencount, toxicity
+from subscope.llm import bpe, collocation, common, decontam, fingerprint, jaccard, language, lm, pii, quality, tokencount, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -89,6 +89,49 @@ def jaccard_classes(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.classes(table(spark, folder, "documents"), n=4, threshold=0.85).select("doc_id", "n_shingles", "component_id")
 
 
+@query("op12_collocations")
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocation.phrases(table(spark, folder, "documents"))
+
+
+# The phrases of op12, from all runs of one to four words; HUGEINT where products pass 64 bits.
+ORACLE["op12_collocations"] = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces
+), total AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+), runs AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM words, range(1, 5) r(m) WHERE len(w) >= m
+), f AS (
+  SELECT lang, m, phrase, count(*) AS a FROM runs GROUP BY lang, m, phrase HAVING count(*) >= 30
+), cuts AS (
+  SELECT lang, m, phrase, a, k, string_split(phrase, ' ') AS w FROM f, range(1, 4) c(k) WHERE m > k
+), scored AS (
+  SELECT c.lang, c.m, c.phrase, c.a, c.k, h.a AS l, t.a AS r,
+      CAST((2000000::HUGEINT * c.a) // (h.a::HUGEINT + t.a::HUGEINT) AS BIGINT) AS score
+  FROM cuts c
+  JOIN f h ON h.lang = c.lang AND h.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN f t ON t.lang = c.lang AND t.phrase = array_to_string(c.w[c.k + 1:c.m], ' ')
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_runs AS (
+  SELECT lang, a, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT DISTINCT lang, m, a, w FROM cuts WHERE m > 2), range(2, 4) s(n), range(1, 4) t(i) WHERE n < m AND i + n - 1 <= m
+), around AS (
+  SELECT lang, phrase, max(a) AS longer FROM inner_runs GROUP BY lang, phrase
+), ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank
+  FROM best b LEFT JOIN around o ON o.lang = b.lang AND o.phrase = b.phrase
+  WHERE o.longer IS NULL OR 100::HUGEINT * o.longer < 80::HUGEINT * b.a
+)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score FROM ranked r JOIN total t ON t.lang = r.lang WHERE r.rank <= 2000
+"""
+
 # The classes of op10, from all sets of shingles that share one and a transitive closure.
 ORACLE["op10_jaccard_join"] = """
 WITH RECURSIVE words AS (
