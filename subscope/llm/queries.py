@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscope.llm import bpe, collocation, common, decontam, fingerprint, jaccard, language, lm, pii, quality, tokencount, toxicity
+from subscope.llm import bpe, collocation, common, decontam, fingerprint, jaccard, language, lm, pii, quality, tokencount, toxicity, vectorcode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -132,6 +132,49 @@ WITH pieces AS (
 SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score FROM ranked r JOIN total t ON t.lang = r.lang WHERE r.rank <= 2000
 """
 
+@query("op13_vector_codes")
+def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vectorcode.codes(table(spark, folder, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+
+
+def _lloyd(before: str, after: str) -> str:
+    """One round of op13 in SQL: ``before`` holds (p, e, v) entries, ``after`` the next ones."""
+    return f"""
+{after}_given AS (
+  SELECT x.vec, x.p, arg_min(b.e, (list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), b.e)) AS e
+  FROM parts x JOIN {before} b ON b.p = x.p GROUP BY x.vec, x.p
+), {after}_means AS (
+  SELECT p, e, j, CAST((s - ((s % c) + c) % c) // c AS BIGINT) AS m
+  FROM (SELECT g.p, g.e, u.j, sum(x.v[u.j])::HUGEINT AS s, count(*)::HUGEINT AS c
+        FROM {after}_given g JOIN parts x ON x.vec = g.vec AND x.p = g.p, (SELECT unnest(range(1, 5)) AS j) u GROUP BY g.p, g.e, u.j)
+), {after} AS (
+  SELECT b.p, b.e, coalesce(list(m.m ORDER BY m.j) FILTER (WHERE m.m IS NOT NULL), any_value(b.v)) AS v
+  FROM {before} b LEFT JOIN {after}_means m ON m.p = b.p AND m.e = b.e GROUP BY b.p, b.e
+)"""
+
+
+# The codes of op13 by plain Lloyd rounds over all pairs of a part and an entry.
+ORACLE["op13_vector_codes"] = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS vec, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS w
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT vec, vec_id, p, w[p * 4 + 1:p * 4 + 4] AS v FROM kept, range(0, 16) r(p)
+), firsts AS (
+  SELECT vec, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY row_number() OVER (ORDER BY vec_id) <= 64
+), book0 AS (
+  SELECT x.p, l.e, x.v FROM parts x JOIN firsts l ON l.vec = x.vec
+), {_lloyd("book0", "book1")}, {_lloyd("book1", "book2")}, {_lloyd("book2", "book3").split("), book3_means")[0]}), digest AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2
+), coded AS (
+  SELECT g.vec, string_agg(printf('%02x', CAST(g.e AS INTEGER)), '' ORDER BY g.p) AS code,
+      CAST(sum(list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS BIGINT) AS error
+  FROM book3_given g JOIN parts x ON x.vec = g.vec AND x.p = g.p JOIN book2 b ON b.p = g.p AND b.e = g.e GROUP BY g.vec
+)
+SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error, d.codebooks_sha256
+FROM kept k JOIN coded c ON c.vec = k.vec, digest d
+"""
+
 # The classes of op10, from all sets of shingles that share one and a transitive closure.
 ORACLE["op10_jaccard_join"] = """
 WITH RECURSIVE words AS (
