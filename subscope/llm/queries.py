@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscope.llm import bpe, collocation, common, decontam, fingerprint, jaccard, language, lm, pii, quality, tokencount, toxicity, vectorcode
+from subscope.llm import bpe, collocation, common, decontam, fingerprint, jaccard, language, lm, pii, quality, sharding, tokencount, toxicity, vectorcode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -89,6 +89,16 @@ def jaccard_classes(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.classes(table(spark, folder, "documents"), n=4, threshold=0.85).select("doc_id", "n_shingles", "component_id")
 
 
+@query("op11_sharding")
+def shards_of_equal_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    # the documents lay in 32 shards by key
+    old = common.fold(F.col("doc_id"), 32)
+    rows = sharding.reshard(table(spark, folder, "documents"), old, 40).rows
+    data = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    size = (F.octet_length(data) + sharding.ROW_BYTES).cast("long").alias("size")
+    return rows.select("doc_id", size, F.crc32(data).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query("op12_collocations")
 def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocation.phrases(table(spark, folder, "documents"))
