@@ -65,52 +65,21 @@ def test_long_texts_are_cut_without_loss_or_repeat():
     rows = made(7, 30) + [(" ".join(["word"] * 500 + ["w" * 300] * 9), "de")]
     import pyarrow as pa
 
-    part = pa.RecordBatch.from_pylist([{"text": t, "lang": x or "und"} for t, x in rows], schema=pa.schema([("lang", pa.string()), ("text", pa.string())]))
+    schema = pa.schema([("lang", pa.string()), ("text", pa.string()), ("row", pa.int64())])
+    part = pa.RecordBatch.from_pylist([{"text": t, "lang": x or "und", "row": k * 999_983} for k, (t, x) in enumerate(rows)], schema=schema)
     for n in range(1, 5):
         seen = []
         for limit in (1, 17, 200, 1 << 20):
-            keys = np.concatenate([s.hopeful(n, None)[1] for s, _ in collocation.sections(part, limit)])
-            seen.append(np.sort(keys))
+            parts = [(s.hopeful(n, None), s) for s, _ in collocation.sections(part, limit)]
+            seen.append(np.sort(np.concatenate([collocation._elected(keys, s.marks(first, n)) for (first, keys), s in parts])))
         assert all(np.array_equal(seen[0], x) for x in seen[1:])
 
 
-def test_phrases_that_share_a_fingerprint_are_told_apart(spark, monkeypatch):
-    rows = [(text, lang or "und") for text, lang in made(3, 40)]
-    docs = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
-    plain = collocation.common.mix
-    data = docs.toArrow().to_batches()[0]
-    # a handful of values for all words and runs
-    monkeypatch.setattr(collocation.common, "mix", lambda x: plain(x) % np.uint64(5))
-    names = [x for s, _ in collocation.sections(data, 100) for x in [(s.word_names(), s)]]
-    for name, s in names:
-        words = [s.text(i, 1) for i in range(len(s.starts))]
-        assert len(set(zip(words, name, strict=True))) == len(set(words)) == len(set(name.tolist()))
-    ones = [np.full(1 << 4, -1, np.int64).view(np.uint64)] * collocation.LONGEST
-
-    class Sent:
-        def __init__(self, value):
-            self.value = value
-
-    got = Counter()
-
-    class Docs:  # the mapped function alone, in this process
-        def mapInArrow(self, run, schema):
-            for batch in run(iter([data])):
-                for r in batch.to_pylist():
-                    if r["words"]:
-                        got[r["lang"], r["words"], r["phrase"].decode()] += r["times"]
-            raise StopIteration
-
-    with pytest.raises(StopIteration):
-        collocation._phrases(Docs(), [Sent(x) for x in ones], 100)
-    want = Counter()
-    for text, lang in rows:
-        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text.translate({i: i + 32 for i in range(65, 91)})):
-            words = re.findall(r"[^\x20\x09]+", piece)
-            for n in range(1, 5):
-                for i in range(len(words) - n + 1):
-                    want[lang, n, " ".join(words[i : i + n])] += 1
-    assert got == want
+@pytest.mark.parametrize("bits", [(5, 64), (5, 0), (64, 0)])
+def test_phrases_that_share_a_fingerprint_are_told_apart(spark, bits):
+    rows = made(3, 60)
+    docs = spark.createDataFrame(rows, "text string, lang string").selectExpr("monotonically_increasing_id() doc_id", "*").repartition(3)
+    assert sorted(tuple(r) for r in collocation.phrases(docs, 5, bits=bits, limit=300).collect()) == brute(rows, 5)
 
 
 def test_odd_rows(spark):
