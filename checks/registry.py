@@ -403,11 +403,16 @@ add(
     ).select(F.trim("customerID").alias("customer_id")),
     "SELECT trim(customerID) AS customer_id FROM customers_raw WHERE tenure NOT IN (1, 2)",
 )
+def _outcome_tables(w) -> list[str]:
+    names = [f"{s}_{kind}" for s in conform.JUDGED for kind in ("clean", "quarantine")]
+    for n in names:
+        w.silver(n)
+    return names
+
+
 add(
     "p4_quarantine",
-    lambda w: quality.split(conform.billing_candidates(w.raw("billing_raw")), conform.billing_rules())[1].select(
-        "invoice_id", F.array_join("broken_rules", ",").alias("broken_rules")
-    ),
+    lambda w: w.silver("billing_quarantine").select("invoice_id", F.array_join("broken_rules", ",").alias("broken_rules")),
     """SELECT invoice_id, concat_ws(',',
     CASE WHEN NOT COALESCE(monthly_charges >= 0, false) THEN 'monthly_charges_not_negative' END,
     CASE WHEN NOT COALESCE(usage_charges >= 0, false) THEN 'usage_charges_not_negative' END,
@@ -417,6 +422,39 @@ add(
     FROM billing_latest WHERE NOT COALESCE(monthly_charges >= 0 AND usage_charges >= 0 AND discount_amount >= 0
     AND tax_amount >= 0 AND total_amount >= 0, false)""",
 )
+add(
+    "p4_complaints_quarantine",
+    lambda w: w.silver("complaints_quarantine").select("complaint_id", F.array_join("broken_rules", ",").alias("broken_rules")),
+    """SELECT complaint_id, concat_ws(',',
+    CASE WHEN NOT COALESCE(resolution_hours >= 0, false) THEN 'resolution_hours_not_negative' END,
+    CASE WHEN NOT COALESCE(satisfaction_score BETWEEN 1 AND 5, false) THEN 'satisfaction_score_in_1_5' END) AS broken_rules
+    FROM complaint_rows WHERE NOT COALESCE(resolution_hours >= 0 AND satisfaction_score BETWEEN 1 AND 5, false)""",
+)
+add(
+    "p4_network_quarantine",
+    lambda w: w.silver("network_events_quarantine").select("event_id", F.array_join("broken_rules", ",").alias("broken_rules")),
+    """SELECT event_id, concat_ws(',',
+    CASE WHEN NOT COALESCE(latency_ms >= 0, false) THEN 'latency_not_negative' END,
+    CASE WHEN NOT COALESCE(packet_loss_pct BETWEEN 0 AND 100, false) THEN 'packet_loss_in_0_100' END,
+    CASE WHEN NOT COALESCE(download_speed_mbps >= 0, false) THEN 'speed_not_negative' END,
+    CASE WHEN NOT COALESCE(outage_minutes >= 0, false) THEN 'outage_minutes_not_negative' END) AS broken_rules
+    FROM network_rows WHERE NOT COALESCE(latency_ms >= 0 AND packet_loss_pct BETWEEN 0 AND 100 AND download_speed_mbps >= 0
+    AND outage_minutes >= 0, false)""",
+)
+add(
+    "p4_outcome_counts",
+    lambda w: w.spark.createDataFrame(
+        [(n, w.store.written[w.store.name("silver", n)]) for n in _outcome_tables(w)], "table_name string, record_count long"
+    ),
+    " UNION ALL ".join(
+        f"SELECT '{s}_clean' AS table_name, COUNT(*) FILTER ({ok}) AS record_count FROM {v} UNION ALL SELECT '{s}_quarantine', COUNT(*) FILTER (NOT COALESCE({ok}, false)) FROM {v}"
+        for s, v, ok in [
+            ("billing", "billing_latest", "monthly_charges >= 0 AND usage_charges >= 0 AND discount_amount >= 0 AND tax_amount >= 0 AND total_amount >= 0"),
+            ("complaints", "complaint_rows", "resolution_hours >= 0 AND satisfaction_score BETWEEN 1 AND 5"),
+            ("network_events", "network_rows", "latency_ms >= 0 AND packet_loss_pct BETWEEN 0 AND 100 AND download_speed_mbps >= 0 AND outage_minutes >= 0"),
+        ]
+    ),
+)
 add(
     "p4_rule_counts",
     lambda w: quality.rule_counts(conform.complaint_candidates(w.raw("complaints_raw")), conform.complaint_rules()),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -229,3 +230,19 @@ def complaints_clean(raw: DataFrame) -> DataFrame:
 
 def network_events_clean(raw: DataFrame) -> DataFrame:
     return with_flags(accepted(network_candidates(raw), network_rules()), network_flags())
+
+
+class Source(NamedTuple):
+    """A raw source with range rules: its rows, rules and flags."""
+
+    raw: str
+    candidates: Callable[[DataFrame], DataFrame]
+    rules: Callable[[], dict[str, Column]]
+    flags: Callable[[], dict[str, Column]]
+
+
+JUDGED = {
+    "billing": Source("billing_raw", billing_candidates, billing_rules, billing_flags),
+    "complaints": Source("complaints_raw", complaint_candidates, complaint_rules, complaint_flags),
+    "network_events": Source("network_events_raw", network_candidates, network_rules, network_flags),
+}

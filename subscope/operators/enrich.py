@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscope.functions import columns as C
-from subscope.operators import conform
 from subscope.sources import lookups
+from subscope.store import Sink
 
 FIBER = ("fiber optic", "fiber", "fiber-optic")
 
@@ -33,9 +33,32 @@ def new_region(region: str | Column) -> Column:
 
 
 def with_service(events: DataFrame, dim: DataFrame) -> DataFrame:
-    """Left lookup of the customer's internet service by surrogate key."""
-    service = conform.any_per_key(dim.select("customer_key", "internet_service"), ["customer_key"])
-    return events.join(service, "customer_key", "left")
+    """Left lookup of the customer's internet service by surrogate key (J3), which is unique."""
+    return events.join(dim.select("customer_key", "internet_service"), "customer_key", "left")
+
+
+CABINET = ["access_technology", "cabinet_id", "cabinet_type"]
+
+
+def cabinet_columns(df: DataFrame, bucket_method: str) -> DataFrame:
+    """Access technology and cabinet of events with their customer's service; NULL without fixed access."""
+    dsl = F.col("access_technology") == "DSL"
+    number = C.hash_bucket(["customer_id", "region", "access_technology"], 100, bucket_method) + 1
+    name = F.concat(
+        F.lit("CAB-"),
+        F.when(dsl, "DSL").otherwise("FBR"),
+        F.lit("-"),
+        region_code("region"),
+        F.lit("-"),
+        F.lpad(number.cast("string"), 3, "0"),
+    )
+    fixed = F.col("access_technology").isNotNull()
+    return df.withColumn("access_technology", access_technology("internet_service")).withColumns(
+        {
+            "cabinet_id": F.when(fixed, name),
+            "cabinet_type": F.when(fixed, F.when(dsl, "DSL Cabinet").otherwise("Fiber Cabinet")),
+        }
+    )
 
 
 def with_cabinets(events: DataFrame, dim: DataFrame, bucket_method: str = "xxhash64") -> DataFrame:
@@ -43,35 +66,17 @@ def with_cabinets(events: DataFrame, dim: DataFrame, bucket_method: str = "xxhas
 
     The result has the input's columns plus three; running it on its own result is safe.
     """
-    added = ["access_technology", "cabinet_id", "cabinet_type"]
-    kept = [c for c in events.columns if c not in added]
-    dsl = F.col("access_technology") == "DSL"
-    number = C.hash_bucket(["customer_id", "region", "access_technology"], 100, bucket_method) + 1
-    return (
-        with_service(events.select(*kept), dim)
-        .withColumn("access_technology", access_technology("internet_service"))
-        .filter(F.col("access_technology").isNotNull())
-        .select(
-            *kept,
-            "access_technology",
-            F.concat(
-                F.lit("CAB-"),
-                F.when(dsl, "DSL").otherwise("FBR"),
-                F.lit("-"),
-                region_code("region"),
-                F.lit("-"),
-                F.lpad(number.cast("string"), 3, "0"),
-            ).alias("cabinet_id"),
-            F.when(dsl, "DSL Cabinet").otherwise("Fiber Cabinet").alias("cabinet_type"),
-        )
-    )
+    kept = [c for c in events.columns if c not in CABINET]
+    placed = cabinet_columns(with_service(events.select(*kept), dim), bucket_method)
+    return placed.filter(F.col("access_technology").isNotNull()).select(*kept, *CABINET)
 
 
-def assign_weighted(df: DataFrame, bucket: Column, thresholds: DataFrame) -> DataFrame:
+def assign_weighted(df: DataFrame, bucket: Column, thresholds: DataFrame, region: str = "region") -> DataFrame:
     """Left range lookup (P28): the location whose ``[lo, hi)`` holds the bucket of the region.
 
     Buckets are whole percents, so the range table is unrolled to one row per (region, bucket),
-    at most 100 per region, and becomes a plain broadcast equality join.
+    at most 100 per region, and becomes a plain equality join. The number of regions is the
+    caller's, so the table's size, not a hint, decides whether it is broadcast.
     """
     cells = thresholds.select(
         F.col("region").alias("_region"),
@@ -81,27 +86,36 @@ def assign_weighted(df: DataFrame, bucket: Column, thresholds: DataFrame) -> Dat
     return (
         df.withColumn("_bucket", bucket.cast("int"))
         .join(
-            F.broadcast(cells),
-            (F.col("region") == F.col("_region")) & (F.col("_bucket") == F.col("_cell")),
+            cells,
+            (F.col(region) == F.col("_region")) & (F.col("_bucket") == F.col("_cell")),
             "left",
         )
         .drop("_region", "_cell", "_bucket")
     )
 
 
-def scaled_by_quality(df: DataFrame, factor: str = "quality_factor") -> DataFrame:
-    """Scale the network measurements by a quality factor, with clamps."""
+def quality_scaled(factor: str = "quality_factor") -> dict[str, Column]:
+    """The network measurements scaled by a quality factor, with clamps."""
     f = F.col(factor)
-    return df.withColumns(
-        {
-            "latency_ms": F.round(F.col("latency_ms") * f, 2),
-            "packet_loss_pct": F.round(F.least(F.lit(100.0), F.col("packet_loss_pct") * f), 2),
-            "download_speed_mbps": F.round(
-                F.greatest(F.lit(0.1), F.col("download_speed_mbps") / f), 2
-            ),
-            "outage_minutes": F.round(F.col("outage_minutes") * f).cast("long"),
-        }
-    )
+    return {
+        "latency_ms": F.round(F.col("latency_ms") * f, 2),
+        "packet_loss_pct": F.round(F.least(F.lit(100.0), F.col("packet_loss_pct") * f), 2),
+        "download_speed_mbps": F.round(F.greatest(F.lit(0.1), F.col("download_speed_mbps") / f), 2),
+        "outage_minutes": F.round(F.col("outage_minutes") * f).cast("long"),
+    }
+
+
+def scaled_by_quality(df: DataFrame, factor: str = "quality_factor") -> DataFrame:
+    return df.withColumns(quality_scaled(factor))
+
+
+def city_columns(spark: SparkSession, df: DataFrame, bucket_method: str, region: str = "region") -> DataFrame:
+    """The city's location and quality factor of events whose renamed region is ``region``."""
+    bucket = C.hash_bucket(["customer_id", F.lit(lookups.CITY_BUCKET_SALT)], 100, bucket_method)
+    placed = assign_weighted(df, bucket, lookups.location_thresholds(spark), region)
+    # fourteen fixed rows
+    factors = lookups.locations(spark).select("location_key", "quality_factor")
+    return placed.join(F.broadcast(factors), "location_key", "left")
 
 
 def with_cities(
@@ -109,16 +123,26 @@ def with_cities(
 ) -> DataFrame:
     """Rename regions, keep fixed access, place customers in cities, scale by city."""
     kept = [c for c in events.columns if c != "location_key"]
-    factors = lookups.locations(spark).select("location_key", "quality_factor")
-    bucket = C.hash_bucket(
-        ["customer_id", F.lit(lookups.CITY_BUCKET_SALT)], 100, bucket_method
-    )
-    placed = assign_weighted(
-        with_service(events.withColumn("region", new_region("region")).select(*kept), dim).filter(
-            has_fixed_access("internet_service")
-        ),
-        bucket,
-        lookups.location_thresholds(spark),
-    )
-    profiled = placed.join(F.broadcast(factors), "location_key", "left")
-    return scaled_by_quality(profiled).select(*kept, "location_key")
+    served = with_service(events.withColumn("region", new_region("region")).select(*kept), dim)
+    placed = city_columns(spark, served.filter(has_fixed_access("internet_service")), bucket_method)
+    return scaled_by_quality(placed).select(*kept, "location_key")
+
+
+def placed(
+    spark: SparkSession, events: DataFrame, dim: DataFrame, bucket_method: str = "xxhash64"
+) -> tuple[DataFrame, dict[str, Sink]]:
+    """All events with cabinet and city columns from one lookup of the service (P21-P29, J3), and
+    the three facts that read them: the events move once, however many facts there are."""
+    own = list(events.columns)
+    scaled = quality_scaled()
+    served = cabinet_columns(with_service(events, dim), bucket_method).withColumn("_city_region", new_region("region"))
+    df = city_columns(spark, served, bucket_method, "_city_region")
+    city = {"region": "_city_region"} | {c: f"_city_{c}" for c in scaled}
+    df = df.withColumns({f"_city_{c}": value for c, value in scaled.items()})
+    df = df.select(*own, *CABINET, *city.values(), "location_key")
+    fixed = "access_technology IS NOT NULL"
+    return df, {
+        "fact_network_events": Sink(own, "true"),
+        "fact_network_cabinets": Sink([*own, *CABINET], fixed),
+        "fact_network_cities": Sink([*(f"{city[c]} AS {c}" if c in city else c for c in own), "location_key"], fixed),
+    }

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from subscope.functions import columns as C
 
 
+ACCEPTED, QUARANTINED = "accepted", "quarantined"
+
+
 def report(
     df: DataFrame,
     total: str,
@@ -143,14 +146,25 @@ def customer_360(df: DataFrame) -> DataFrame:
     )
 
 
+def broken_rules(rules: Mapping[str, Column]) -> Column:
+    """Names of the rules that a row does not pass; NULL operands do not pass."""
+    return F.array_compact(F.array(*[F.when(~F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules.items()]))
+
+
+def judged(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """All rows with the rules they broke and their ``outcome`` (P4). Written once, partitioned by
+    the outcome, the accepted rows and the quarantine are two partitions of one pass."""
+    tagged = df.withColumn("broken_rules", broken_rules(rules))
+    return tagged.withColumn("outcome", F.when(F.size("broken_rules") == 0, ACCEPTED).otherwise(QUARANTINED))
+
+
 def split(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """Accepted rows, and the quarantine: rejected rows with the rules they broke."""
-    passed = {n: F.coalesce(c, F.lit(False)) for n, c in rules.items()}
-    broken = F.array_compact(F.array(*[F.when(~ok, F.lit(n)) for n, ok in passed.items()]))
-    tagged = df.withColumn("broken_rules", broken)
+    """Accepted rows, and the quarantine: rejected rows with the rules they broke (P4). Both read
+    ``df``, so it should be a written table; ``judged`` writes one for both."""
+    tagged = judged(df, rules)
     return (
-        df.filter(C.all_of(list(rules.values()))),
-        tagged.filter(F.size("broken_rules") > 0),
+        tagged.filter(F.col("outcome") == ACCEPTED).drop("broken_rules", "outcome"),
+        tagged.filter(F.col("outcome") == QUARANTINED).drop("outcome"),
     )
 
 

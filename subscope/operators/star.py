@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 
 from subscope.functions import columns as C
 from subscope.operators import conform
+from subscope.session import work_dir
 from subscope.sources import lookups
 
 CUSTOMER_COLUMNS = [name for _, name, _ in conform.CUSTOMER_SPEC] + ["churn_label"]
 TENURE_BANDS = [(12, "0-12 Months"), (24, "13-24 Months"), (48, "25-48 Months")]
 CHARGE_BANDS = [(40, "Low Value"), (80, "Medium Value")]
 
+# Unknown customer ids that are sent to every task at most.
+SENT = 1_000_000
+
 # Many-to-one edges a filter travels along, from dimension to fact: (fact, column, dim, column).
 RELATIONSHIPS = [
     ("fact_billing", "customer_key", "dim_customer", "customer_key"),
@@ -48,10 +52,15 @@ def service_label(c: str | Column) -> Column:
     return F.when(none, "No Internet Service").when(c.isNull(), "Unknown").otherwise(c)
 
 
+def surrogate(key: str | Column) -> Column:
+    """Surrogate key of a business key."""
+    return F.xxhash64(C.col(key))
+
+
 def dim_customer(customers: DataFrame) -> DataFrame:
     """Customer dimension with surrogate key, segments, status and sort key."""
     return customers.select(
-        F.xxhash64("customer_id").alias("customer_key"), *CUSTOMER_COLUMNS
+        surrogate("customer_id").alias("customer_key"), *CUSTOMER_COLUMNS
     ).withColumns(
         {
             "tenure_segment": tenure_segment(),
@@ -70,7 +79,7 @@ def customer_keys(dim: DataFrame) -> DataFrame:
 
 
 def with_customer_key(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    """Left lookup of the surrogate key (J2); rows of unknown customers keep a NULL key.
+    """Left lookup of any surrogate key (J2); rows of unknown customers keep a NULL key.
 
     The dimension grows with the business, so it is not broadcast by hint. A customer with a
     large share of the fact lands in one shuffle partition, which AQE splits by map output.
@@ -78,13 +87,37 @@ def with_customer_key(fact: DataFrame, dim: DataFrame) -> DataFrame:
     return fact.join(customer_keys(dim), "customer_id", "left")
 
 
+def unknown_customers(rows: DataFrame, dim: DataFrame) -> DataFrame:
+    """Distinct customer ids of ``rows`` that the dimension lacks; ids are combined within tasks."""
+    return rows.select("customer_id").distinct().join(dim.select("customer_id"), "customer_id", "left_anti")
+
+
+def keyed(rows: DataFrame, dim: DataFrame) -> DataFrame:
+    """Left lookup of the surrogate key (J2) where it is computed from the id: in place, without
+    moving the fact; rows of unknown customers keep a NULL key.
+
+    The ids that the dimension lacks are written first. Up to ``SENT`` of them go to every task,
+    more are joined.
+    """
+    spark = rows.sparkSession
+    path = work_dir(spark, "unknown-customers")
+    unknown_customers(rows, dim).where("customer_id IS NOT NULL").write.parquet(path)
+    unknown = spark.read.schema(rows.select("customer_id").schema).parquet(path).withColumn("_unknown", F.lit(True))
+    count = unknown.count()
+    known = F.col("customer_id").isNotNull()
+    if count:
+        rows = rows.join(F.broadcast(unknown) if count <= SENT else unknown, "customer_id", "left")
+        known &= F.col("_unknown").isNull()
+    return rows.withColumn("customer_key", F.when(known, surrogate("customer_id"))).drop("_unknown")
+
+
 def fact(
     rows: DataFrame, dim: DataFrame, spec: conform.Spec, month: str, flags: Sequence[str], dates: dict[str, str]
 ) -> DataFrame:
     """A fact table: the conformed columns and flags, the customer's key, a key for every date role
     (``dates``: name by column), and the month that partitions it."""
     own = [name for _, name, _ in spec]
-    return with_customer_key(rows, dim).select(
+    return keyed(rows, dim).select(
         "customer_key",
         *own,
         *flags,

@@ -13,11 +13,11 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscope.operators import conform, enrich, ingest, kpi, rollup, scoring, star
+from subscope.operators import conform, enrich, ingest, kpi, quality, rollup, scoring, star
 from subscope.plans import churn
 from subscope.session import work_dir
 from subscope.sources import calendars, lookups, tables
-from subscope.store import LayerStore
+from subscope.store import LayerStore, Sink
 
 
 # When a table was processed, in the column its readers know. Summaries carry no stamp, so that
@@ -25,16 +25,14 @@ from subscope.store import LayerStore
 _SILVER, _GOLD = "_silver_processed_at", "_gold_created_at"
 STAMPS = {
     "customers_clean": _SILVER,
-    "billing_clean": _SILVER,
-    "complaints_clean": _SILVER,
-    "network_events_clean": _SILVER,
+    "billing_judged": _SILVER,
+    "complaints_judged": _SILVER,
+    "network_events_judged": _SILVER,
     "customer_360": "_customer_360_created_at",
     "dim_customer": _GOLD,
     "fact_billing": _GOLD,
     "fact_complaints": _GOLD,
-    "fact_network_events": _GOLD,
-    "fact_network_cabinets": _GOLD,
-    "fact_network_cities": _GOLD,
+    "network_placed": _GOLD,
     "customer_churn_analytics": _GOLD,
     "customer_churn_predictions": "prediction_timestamp",
     "high_risk_customers": _GOLD,
@@ -46,6 +44,9 @@ STAMPS = {
 }
 
 
+NETWORK_FACTS = ("fact_network_events", "fact_network_cabinets", "fact_network_cities")
+
+
 class Warehouse:
     def __init__(
         self,
@@ -72,14 +73,35 @@ class Warehouse:
             self._built.add((layer, name))
         return self.store.read(layer, name)
 
+    def _pass(self, layer, table, sinks, name, build, **how) -> DataFrame:
+        """A logical table that one write fills together with others."""
+        if (layer, table) not in self._built:
+            df, views = build()
+            stamp = STAMPS[table]
+            views = {n: v._replace(columns=[*v.columns, stamp]) for n, v in views.items()}
+            assert set(views) == set(sinks)
+            self.store.write(ingest.stamped(df, stamp), layer, table, sinks=views, **how)
+            self._built.add((layer, table))
+        return self.store.read(layer, name)
+
+    def _judged(self, source: str) -> tuple[DataFrame, dict[str, Sink]]:
+        """Candidates of a source and the two tables they go to."""
+        raw, candidates, rules, flags = conform.JUDGED[source]
+        df = candidates(self.raw(raw))
+        own = df.columns
+        df = quality.judged(conform.with_flags(df, flags()), rules())
+        return df, {
+            f"{source}_clean": Sink([*own, *flags()], f"outcome = '{quality.ACCEPTED}'"),
+            f"{source}_quarantine": Sink([*own, "broken_rules"], f"outcome = '{quality.QUARANTINED}'"),
+        }
+
     def silver(self, name: str) -> DataFrame:
+        for source in conform.JUDGED:
+            sinks = (f"{source}_clean", f"{source}_quarantine")
+            if name in sinks:
+                return self._pass("silver", f"{source}_judged", sinks, name, lambda: self._judged(source), partition_by=("outcome",), rebalance=False)
         builders = {
             "customers_clean": lambda: conform.customers_clean(self.raw("customers_raw")),
-            "billing_clean": lambda: conform.billing_clean(self.raw("billing_raw")),
-            "complaints_clean": lambda: conform.complaints_clean(self.raw("complaints_raw")),
-            "network_events_clean": lambda: conform.network_events_clean(
-                self.raw("network_events_raw")
-            ),
             "customer_billing_summary": lambda: rollup.billing_summary(self.silver("billing_clean")),
             "customer_complaints_summary": lambda: rollup.complaints_summary(
                 self.silver("complaints_clean")
@@ -96,8 +118,15 @@ class Warehouse:
         }
         return self._table("silver", name, builders[name])
 
+    def _placed(self) -> tuple[DataFrame, dict[str, Sink]]:
+        dim = self.gold("dim_customer")
+        events = star.fact_network_events(self.silver("network_events_clean"), dim)
+        return enrich.placed(self.spark, events, dim, self.bucket_method)
+
     def gold(self, name: str) -> DataFrame:
         monthly = ("month_key",)
+        if name in NETWORK_FACTS:
+            return self._pass("gold", "network_placed", NETWORK_FACTS, name, self._placed, partition_by=monthly)
         builders = {
             "dim_customer": (lambda: star.dim_customer(self.silver("customers_clean")), ()),
             "dim_network_location": (lambda: lookups.locations(self.spark), ()),
@@ -113,27 +142,6 @@ class Warehouse:
                 ),
                 monthly,
             ),
-            "fact_network_events": (
-                lambda: star.fact_network_events(
-                    self.silver("network_events_clean"), self.gold("dim_customer")
-                ),
-                monthly,
-            ),
-            "fact_network_cabinets": (
-                lambda: enrich.with_cabinets(
-                    self.gold("fact_network_events"), self.gold("dim_customer"), self.bucket_method
-                ),
-                monthly,
-            ),
-            "fact_network_cities": (
-                lambda: enrich.with_cities(
-                    self.spark,
-                    self.gold("fact_network_events"),
-                    self.gold("dim_customer"),
-                    self.bucket_method,
-                ),
-                monthly,
-            ),
             "customer_churn_analytics": (
                 lambda: scoring.churn_analytics(self.silver("customer_360")),
                 (),

@@ -8,7 +8,8 @@ reader never sees a half-written table, and the previous version is a ready back
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,14 @@ LAYERS = {
 }
 
 
+class Sink(NamedTuple):
+    """A logical table over the rows of another that meet a condition: SQL columns and condition.
+    The condition is true or false for every row, never NULL."""
+
+    columns: Sequence[str]
+    condition: str
+
+
 class LayerStore:
     def __init__(self, spark: SparkSession, root: str, prefix: str, fmt: str = "parquet"):
         self.spark, self.root, self.prefix, self.fmt = spark, root.rstrip("/"), prefix, fmt
@@ -58,25 +67,39 @@ class LayerStore:
         return self.spark.table(f"{self.name(layer, table)}__v{version}")
 
     def write(
-        self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        partition_by: Sequence[str] = (),
+        rebalance: bool = True,
+        sinks: Mapping[str, Sink] | None = None,
     ) -> DataFrame:
         """Full refresh with schema replacement (K1, K4); returns the written table.
 
         Rows are counted by the write itself (K8). A partitioned table is rebalanced on its
         partition columns first: AQE splits a hot partition over several tasks and packs small
-        ones, so files are neither tiny nor written by one task.
+        ones, so files are neither tiny nor written by one task. A few partitions that every task
+        has rows of need no ``rebalance``. ``sinks`` are logical tables over the same rows, so that
+        one pass fills all of them; each is counted by the same write.
         """
         version = max(self.versions(layer, table), default=0) + 1
         target = f"{self.name(layer, table)}__v{version}"
-        if partition_by:
+        if partition_by and rebalance:
             df = df.hint("rebalance", *partition_by)
-        df, seen = quality.audited(df, f"{table}_v{version}")
+        sinks = dict(sinks or {})
+        counts = [F.count_if(F.expr(sink.condition)).alias(f"rows_{k}") for k, sink in enumerate(sinks.values())]
+        df, seen = quality.audited(df, f"{table}_v{version}", counts)
         writer = df.write.mode("overwrite").format(self.fmt)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(target)
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS SELECT * FROM {target}")
         self.written[self.name(layer, table)] = int(seen.get["record_count"])
+        for k, (name, sink) in enumerate(sinks.items()):
+            columns = ", ".join(sink.columns)
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, name)} AS SELECT {columns} FROM {target} WHERE {sink.condition}")
+            self.written[self.name(layer, name)] = int(seen.get[f"rows_{k}"] or 0)
         return self.read(layer, table)
 
     def append(self, df: DataFrame, layer: str, table: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import measure_registry, registry
-from subscope.operators import conform, kpi, rollup, star
+from subscope.operators import conform, enrich, kpi, rollup, star
 from subscope.plans import measures as M
 from subscope.plans.context import FilterContext
 
@@ -55,6 +55,85 @@ def test_hot_customer_join_is_split_at_run_time(spark, plan):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+@pytest.fixture()
+def conf(spark):
+    """Settings for one test."""
+    before = {}
+
+    def put(**settings):
+        for k, v in settings.items():
+            k = "spark.sql." + k.replace("__", ".")
+            before.setdefault(k, spark.conf.get(k, None))
+            spark.conf.set(k, v)
+
+    yield put
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_clean_and_quarantine_are_one_dedupe(wh, plan):
+    df, sinks = wh._judged("billing")
+    assert plan(df).count("Exchange hashpartitioning(xxhash64") + plan(df).count("Exchange hashpartitioning(_w") == 1 and len(sinks) == 2
+    for name in sinks:
+        text = plan(wh.silver(name))
+        assert "Exchange" not in text and re.search(r"PartitionFilters: \[[^\]]*outcome", text)
+
+
+def test_outcomes_are_counted_by_their_write(wh):
+    for source in conform.JUDGED:
+        counts = {n: wh.silver(n).count() for n in (f"{source}_clean", f"{source}_quarantine")}
+        assert counts == {n: wh.store.written[wh.store.name("silver", n)] for n in counts}
+        assert sum(counts.values()) == wh.silver(f"{source}_clean").sparkSession.table(wh.store.name("silver", f"{source}_judged")).count()
+
+
+@pytest.mark.parametrize("name, table", [("billing", "billing_clean"), ("complaints", "complaints_clean"), ("network_events", "network_events_clean")])
+def test_facts_get_their_key_without_an_exchange(wh, plan, conf, name, table):
+    conf(autoBroadcastJoinThreshold="-1")
+    some = wh.gold("dim_customer").filter("contract_type <> 'Two year'")
+    for dim in (wh.gold("dim_customer"), some):
+        df = getattr(star, f"fact_{name}")(wh.silver(table), dim)
+        text = plan(df)
+        assert "hashpartitioning" not in text and "SortMergeJoin" not in text
+        joined = df.join(dim.select("customer_id", F.lit(1).alias("known")), "customer_id", "left")
+        assert joined.filter("(customer_key is null) <> (known is null)").count() == 0
+    assert df.filter("customer_key is null").count() > 0
+
+
+def test_many_unknown_customers_are_joined_not_sent(wh, plan, conf, monkeypatch):
+    conf(autoBroadcastJoinThreshold="-1")
+    monkeypatch.setattr(star, "SENT", 0)
+    some = wh.gold("dim_customer").filter("contract_type <> 'Two year'")
+    df = star.fact_billing(wh.silver("billing_clean"), some)
+    assert "SortMergeJoin" in plan(df)
+    want = wh.silver("billing_clean").join(some.select("customer_id"), "customer_id", "left_anti").count()
+    assert df.filter("customer_key is null").count() == want > 0
+
+
+def test_three_network_facts_move_the_events_once(wh, plan, conf):
+    conf(adaptive__enabled="false")
+    df, sinks = enrich.placed(wh.spark, wh.gold("fact_network_events"), wh.gold("dim_customer"), "sha2")
+    assert "hashpartitioning" not in plan(df)  # small lookups
+    conf(autoBroadcastJoinThreshold="-1")
+    df, sinks = enrich.placed(wh.spark, wh.gold("fact_network_events"), wh.gold("dim_customer"), "sha2")
+    assert len(re.findall(r"Exchange hashpartitioning\(customer_key", plan(df))) == 2  # events, customers
+    for name in sinks:
+        assert "Exchange" not in plan(wh.gold(name)) and "Join" not in plan(wh.gold(name))
+
+
+def test_network_facts_equal_the_operators_alone(wh):
+    events, dim = wh.gold("fact_network_events"), wh.gold("dim_customer")
+    alone = {
+        "fact_network_cabinets": enrich.with_cabinets(events, dim, "sha2"),
+        "fact_network_cities": enrich.with_cities(wh.spark, events, dim, "sha2"),
+    }
+    for name, df in alone.items():
+        one = wh.gold(name)
+        assert set(one.columns) == set(df.columns)
+        same = [F.col(c) for c in df.columns if not c.startswith("_")]
+        a, b = df.select(same), one.select(same)
+        assert a.count() > 0 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
 def test_raw_scan_reads_only_needed_columns(spark, wh, plan):
     text = plan(conform.valid_keys(wh.raw("customers_raw"), ["customerID"]).select("customerID", "tenure"))
     assert "ReadSchema: struct<c_custkey:bigint>" in text
