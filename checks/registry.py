@@ -360,6 +360,11 @@ COUNTS = [
 
 add("k8_write_audit", _k8, _counts_sql(COUNTS))
 add("k9_preview", lambda w: preview(w.gold("fact_billing").select("invoice_id", "total_amount"), 10))
+add(
+    "k9_ordered_preview",
+    lambda w: preview(w.gold("fact_billing").select("invoice_id", "total_amount"), 10, ["invoice_id"]),
+    "SELECT invoice_id, total_amount FROM billing ORDER BY invoice_id LIMIT 10",
+)
 
 # ------------------------------------------------------------------- conforming and quality
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -88,7 +89,7 @@ def probability_band(p: str | Column) -> Column:
 
 
 def predictions(
-    df: DataFrame, probability: Column, model_name: str, run_id: str, predicted: Column | None = None
+    df: DataFrame, probability: Column, model_name: str, run_id: str, predicted: Column | None = None, more: Sequence[Column] = ()
 ) -> DataFrame:
     """Publishable predictions (L13): band first, then round the probability to 4 digits."""
     scored = df.withColumn("_p", probability)
@@ -101,6 +102,7 @@ def predictions(
         probability_band("_p").alias("risk_category"),
         F.lit(model_name).alias("model_name"),
         F.lit(run_id).alias("run_id"),
+        *more,
     )
 
 

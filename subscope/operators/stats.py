@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from subscope.functions import columns as C
+from subscope.session import work_dir
 
 _ACCURACY = 10_000
 
@@ -77,16 +79,57 @@ def median(df: DataFrame, c: str, buckets: int = 10_000) -> DataFrame:
     )
 
 
+def present(c: str) -> Column:
+    """The number in a column, NULL where there is none or it is not a number."""
+    v = F.col(c).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact medians of several columns, as (column, median), from two scans.
+
+    The first scan brackets the middle of every column by an approximate percentile with a rank
+    guarantee. The second counts what lies below each bracket and the distinct values inside it,
+    combined within tasks; running counts over those (under 0.1 % of the ranks) give the medians.
+    """
+    margin, values = 2 / _ACCURACY, {c: present(c) for c in columns}
+    ends = [0.5 - margin, 0.5 + margin]
+    # two ends and a count for each column
+    row = df.agg(
+        *[F.percentile_approx(v, ends, _ACCURACY).alias(f"{c}__ends") for c, v in values.items()],
+        *[F.count(v).alias(f"{c}__count") for c, v in values.items()],
+    ).first()
+    found = {c: (k, row[f"{c}__ends"], row[f"{c}__count"]) for k, c in enumerate(columns) if row[f"{c}__count"]}
+    shape = "struct<k:int,v:double>"
+    cells = [
+        F.when(values[c] < low, F.struct(F.lit(k).alias("k"), F.lit(None).cast("double").alias("v")).cast(shape))
+        .when(values[c] <= high, F.struct(F.lit(k).alias("k"), values[c].alias("v")).cast(shape))
+        for c, (k, (low, high), _) in found.items()
+    ]
+    sizes = df.sparkSession.createDataFrame([(k, c, n) for c, (k, _, n) in found.items()], "k int, column string, n long")
+    inside = F.explode(F.array_compact(F.array(*cells))) if cells else F.explode(F.array().cast(f"array<{shape}>"))
+    counts = df.select(inside.alias("x")).groupBy("x.k", "x.v").agg(F.count(F.lit(1)).alias("count"))
+    # values below the bracket are one row without a value, which comes first
+    upto = F.sum("count").over(W.partitionBy("k").orderBy(F.col("v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0))
+    ranked = counts.withColumn("upto", upto).join(F.broadcast(sizes), "k")
+    at = lambda rank: F.min(F.when(F.col("upto") >= rank, F.col("v")))
+    return ranked.groupBy("column").agg(((at(F.floor((F.col("n") + 1) / 2)) + at(F.floor(F.col("n") / 2) + 1)) / 2).alias("median"))
+
+
 def stratified_split(
     df: DataFrame, label: str, key: str, fraction: float = 0.2, seed: int = 42
 ) -> DataFrame:
     """Add ``is_test``: exactly ``round(fraction * n)`` rows of every label, chosen by key hash.
 
+    The rows are read once and written with their hashes; histogram, cut and flag read that table.
     The cut is the quota-th smallest hash of the label. Its 16-bit prefix comes from a
     histogram of at most 65,536 rows per label, so only one prefix's rows are ever ranked.
     """
     digest = F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))), 256)
+    path = work_dir(df.sparkSession, "split")
     hashed = df.withColumn("_h", digest)
+    hashed.write.parquet(path)
+    hashed = df.sparkSession.read.schema(hashed.schema).parquet(path)
     ranked = hashed.select(label, "_h", F.substring("_h", 1, 4).alias("_p"))
     in_label = W.partitionBy(label)
     running = in_label.orderBy("_p").rowsBetween(W.unboundedPreceding, 0)
@@ -214,8 +257,13 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 256) -> DataFr
         )
     )
     cuts = scores.agg(F.percentile_approx("s", [k / buckets for k in range(1, buckets)], _ACCURACY).alias("q")).scalar()
-    scores = scores.withColumn("_cuts", cuts)
-    scores = scores.withColumn("b", F.size(F.filter("_cuts", lambda cut: cut <= F.col("s")))).drop("_cuts")
+    # the number of cuts not above the score, found by halving
+    scores = scores.withColumns({"_cuts": cuts, "b": F.lit(0)})
+    step = 1 << (buckets - 1).bit_length()
+    while step := step // 2:
+        ahead = F.col("b") + step
+        scores = scores.withColumn("b", F.when((ahead < buckets) & (F.get("_cuts", ahead - 1) <= F.col("s")), ahead).otherwise(F.col("b")))
+    scores = scores.drop("_cuts")
     exact = lambda c: c.cast("decimal(19,0)")
     wins = exact(F.col("pos")) * exact(2 * F.col("neg_below") + F.col("neg"))
     return (

@@ -9,34 +9,22 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subscope.operators import scoring, stats
+from subscope.operators import conform, scoring, stats
 from subscope.operators.rollup import FEATURES
+from subscope.plans import encoding
 from subscope.session import work_dir
 
 LABEL, KEY = "churn_label", "customer_id"
-CATEGORICAL = [
-    "gender",
-    "has_partner",
-    "has_dependents",
-    "phone_service",
-    "internet_service",
-    "online_security",
-    "online_backup",
-    "device_protection",
-    "tech_support",
-    "contract_type",
-    "paperless_billing",
-    "payment_method",
-]
+# texts among the features; the others are numbers
+CATEGORICAL = [name for _, name, how in conform.CUSTOMER_SPEC if how in ("lower", "trim") and name in FEATURES]
 NUMERIC = [c for c in FEATURES if c not in CATEGORICAL]
 METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
 
@@ -48,33 +36,19 @@ def prepared(features: DataFrame) -> DataFrame:
     )
 
 
-def modes(train: DataFrame) -> dict[str, str]:
-    """Most frequent value per category column, smallest value on ties: one row, one scan."""
-    row = train.agg(*[F.mode(c, deterministic=True).alias(c) for c in CATEGORICAL]).first()
-    return {c: row[c] if row[c] is not None else "missing" for c in CATEGORICAL}
-
-
 def filled(df: DataFrame, fill: Mapping[str, str]) -> DataFrame:
     return df.fillna(dict(fill))
 
 
-def preprocessing() -> list:
-    """Median impute and standardise numbers; one-hot categories.
+class ChurnModel(NamedTuple):
+    """A fitted classifier and the encoding it was fitted on."""
 
-    An unknown category gets the extra slot that ``keep`` adds, and ``dropLast`` removes it,
-    which leaves all zeros.
-    """
-    indexed = [f"{c}__index" for c in CATEGORICAL]
-    encoded = [f"{c}__hot" for c in CATEGORICAL]
-    imputed = [f"{c}__filled" for c in NUMERIC]
-    return [
-        Imputer(strategy="median", inputCols=NUMERIC, outputCols=imputed),
-        VectorAssembler(inputCols=imputed, outputCol="numbers", handleInvalid="keep"),
-        StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
-        StringIndexer(inputCols=CATEGORICAL, outputCols=indexed, handleInvalid="keep"),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
-        VectorAssembler(inputCols=["scaled", *encoded], outputCol="features"),
-    ]
+    encoding: encoding.Encoding
+    classifier: Model
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Predictions for encoded rows, or for rows of the feature table."""
+        return self.classifier.transform(df if "features" in df.columns else self.encoding.encode(df))
 
 
 def logistic_regression(train_rows: int, c: float = 1.0, max_iter: int = 1000) -> LogisticRegression:
@@ -107,12 +81,13 @@ def random_forest(trees: int = 300, depth: int = 12, min_split: int = 5, seed: i
     )
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score(model: ChurnModel, df: DataFrame) -> DataFrame:
     """Predicted label and probability of class 1 for every row."""
     out = model.transform(df)
     return out.select(
         KEY,
         LABEL,
+        *[c for c in df.columns if c == "is_test"],
         F.col("prediction").cast("int").alias("predicted"),
         vector_to_array("probability")[1].alias("probability"),
     )
@@ -121,39 +96,39 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 def evaluate(scored: DataFrame) -> dict[str, float]:
     """Accuracy, precision, recall, F1 and exact ROC AUC."""
     row = stats.binary_metrics(scored, LABEL, "predicted").first()
-    auc = BinaryClassificationEvaluator(
-        rawPredictionCol="probability", labelCol=LABEL, metricName="areaUnderROC", numBins=0
-    ).evaluate(scored.withColumn(LABEL, F.col(LABEL).cast("double")))
-    return {**row.asDict(), "roc_auc": auc}
+    return {**row.asDict(), "roc_auc": stats.roc_auc(scored, LABEL, "probability").first()["roc_auc"] or 0.0}
 
 
-def train_and_log(
-    name: str, estimator, params: Mapping[str, object], train: DataFrame, test: DataFrame, folder: str | None = None
-) -> dict:
-    """Fit, save, evaluate on the test rows and describe the run.
+def train_and_log(name: str, estimator, params: Mapping[str, object], ready: Prepared) -> dict:
+    """Fit on the training rows, save, evaluate on its test rows and describe
+    the run (L10).
 
     What is evaluated is the saved model read back: it carries no training summary, so it
     ships to the executors as the bare model it will be in production.
     """
+    example = ready.split.select(*CATEGORICAL, *NUMERIC)
+    spark = example.sparkSession
     run_id = uuid.uuid4().hex
-    path = f"{folder or work_dir(train.sparkSession, 'models')}/{run_id}"
-    fill = modes(train)
-    weighted = stats.balanced_weight(filled(train, fill), LABEL)
-    Pipeline(stages=[*preprocessing(), estimator]).fit(weighted).write().save(path)
-    model = PipelineModel.load(path)
-    run = {
+    path = f"{ready.folder}/{run_id}"
+    table = spark.read.parquet(ready.rows)
+    fitted = estimator.fit(table.filter("is_test = 0"))
+    fitted.write().save(path)
+    model = ChurnModel(ready.encoding, type(fitted).load(path))
+    scored = score(model, table.filter("is_test = 1"))
+    scored.write.parquet(f"{path}/test_scores")
+    return {
         "model_name": name,
         "run_id": run_id,
         "params": {k: str(v) for k, v in params.items()},
-        "metrics": evaluate(score(model, filled(test, fill))),
-        "input_schema": train.select(*CATEGORICAL, *NUMERIC).schema.json(),
+        "metrics": evaluate(spark.read.parquet(f"{path}/test_scores")),
+        "input_schema": example.schema.json(),
         "output_schema": json.dumps({"predicted": "int", "probability": "double"}),
-        "input_example": train.select(*CATEGORICAL, *NUMERIC).limit(5).toJSON().collect(),
+        "input_example": example.limit(5).toJSON().collect(),
         "model": model,
-        "fill": fill,
+        "fill": ready.encoding.fill,
         "path": path,
+        "rows": ready.rows,
     }
-    return run
 
 
 def best(runs: Sequence[dict]) -> dict:
@@ -161,41 +136,54 @@ def best(runs: Sequence[dict]) -> dict:
     return max(runs, key=lambda r: (r["metrics"]["roc_auc"], r["model_name"]))
 
 
+class Prepared(NamedTuple):
+    """One stratified split with its encoding, written: the split rows, and the vectors for them."""
+
+    split: DataFrame
+    encoding: encoding.Encoding
+    rows: str
+    folder: str
+
+
+def prepare(features: DataFrame, folder: str | None = None) -> Prepared:
+    """Split, fit the preprocessing on the training rows, encode every row; each once."""
+    spark = features.sparkSession
+    folder = folder or work_dir(spark, "models")
+    stats.stratified_split(prepared(features), LABEL, KEY).write.parquet(f"{folder}/split")
+    split = spark.read.parquet(f"{folder}/split")
+    train = split.filter("is_test = 0")
+    coded = encoding.fit(train, NUMERIC, CATEGORICAL, f"{folder}/encoding")
+    weights = stats.balanced_weight(train, LABEL).select(LABEL, "weight").distinct()  # a row for each label
+    rows = coded.encode(split.join(F.broadcast(weights), LABEL, "left")).select(KEY, LABEL, "is_test", "weight", "features")
+    # a file for every core at least, so that fits use all of them
+    rows.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{folder}/rows")
+    return Prepared(split, coded, f"{folder}/rows", folder)
+
+
+def fits(ready: Prepared, trees: int = 300, depth: int = 12, max_iter: int = 1000) -> list[dict]:
+    """Both candidate models on the prepared rows."""
+    train = ready.split.filter("is_test = 0").count()
+    forest = {"algorithm": "RandomForest", "n_estimators": trees, "max_depth": depth, "class_weight": "balanced"}
+    linear = {"algorithm": "LogisticRegression", "max_iter": max_iter, "class_weight": "balanced"}
+    return [
+        train_and_log(name, estimator, params, ready)
+        for name, estimator, params in [
+            ("Logistic Regression", logistic_regression(train, max_iter=max_iter), linear),
+            ("Random Forest", random_forest(trees, depth), forest),
+        ]
+    ]
+
+
 def train_all(
     features: DataFrame, folder: str | None = None, trees: int = 300, depth: int = 12, max_iter: int = 1000
 ) -> tuple[list[dict], DataFrame]:
     """Both candidate models on one stratified split; returns runs and the split frame.
 
-    The split is written once, in files of even size: every fit and iteration then reads a
-    plain table instead of repeating the split's joins.
+    The preprocessing is fitted once, on the training rows, and every row is encoded and written
+    once: fits, evaluation and publishing read that table.
     """
-    spark = features.sparkSession
-    folder = folder or work_dir(spark, "models")
-    split = stats.stratified_split(prepared(features), LABEL, KEY)
-    split.hint("rebalance").write.parquet(f"{folder}/split")
-    split = spark.read.parquet(f"{folder}/split")
-    train = split.filter(F.col("is_test") == 0).drop("is_test")
-    test = split.filter(F.col("is_test") == 1).drop("is_test")
-    rows = train.count()
-    runs = [
-        train_and_log(
-            "Logistic Regression",
-            logistic_regression(rows, max_iter=max_iter),
-            {"algorithm": "LogisticRegression", "max_iter": max_iter, "class_weight": "balanced"},
-            train,
-            test,
-            folder,
-        ),
-        train_and_log(
-            "Random Forest",
-            random_forest(trees, depth),
-            {"algorithm": "RandomForest", "n_estimators": trees, "max_depth": depth, "class_weight": "balanced"},
-            train,
-            test,
-            folder,
-        ),
-    ]
-    return runs, split
+    ready = prepare(features, folder)
+    return fits(ready, trees, depth, max_iter), ready.split
 
 
 def run_table(spark, runs: Sequence[dict]) -> DataFrame:
@@ -221,33 +209,33 @@ def performance(spark, runs: Sequence[dict]) -> DataFrame:
     )
 
 
-def publish(run: dict, features: DataFrame) -> DataFrame:
-    """Predictions for all customers, banded and rounded for publishing."""
-    scored = score(run["model"], filled(prepared(features), run["fill"]))
+def publish(run: dict, features: DataFrame | None = None) -> DataFrame:
+    """Predictions for all customers, banded and rounded for publishing.
+
+    ``split`` tells the rows that the model was fitted on (train) from those that it was evaluated
+    on (test). Without ``features`` the run's own encoded rows are scored; rows of another table
+    are found by their id, and are ``unseen`` if the run has not met it.
+    """
+    own = run["model"].encoding.dictionary.sparkSession.read.parquet(run["rows"])
+    if features is None:
+        rows = own.drop("weight")
+    else:
+        rows = prepared(features).join(own.select(KEY, "is_test"), KEY, "left")
+    scored = score(run["model"], rows)
+    which = F.when(F.col("is_test") == 1, "test").when(F.col("is_test") == 0, "train").otherwise("unseen")
     return scoring.predictions(
-        scored, F.col("probability"), run["model_name"], run["run_id"], F.col("predicted")
+        scored, F.col("probability"), run["model_name"], run["run_id"], F.col("predicted"), [which.alias("split")]
     ).withColumn("prediction_timestamp", F.current_timestamp())
 
 
-def feature_names(model: PipelineModel, sample: DataFrame) -> list[str]:
-    """Names of the encoded features from the column metadata of the assembled vector."""
-    schema = model.transform(sample.limit(1)).schema["features"].metadata["ml_attr"]["attrs"]
-    names = {a["idx"]: a["name"] for group in schema.values() for a in group}
-    numbers = {f"scaled_{i}": f"numeric__{c}" for i, c in enumerate(NUMERIC)}
-    clean = lambda n: numbers.get(n, "categorical__" + n.replace("__hot_", "_"))
-    return [clean(names[i]) for i in sorted(names)]
-
-
-def importance(spark, run: dict, sample: DataFrame) -> DataFrame:
+def importance(spark, run: dict, sample: DataFrame | None = None) -> DataFrame:
     """Impurity importances, or absolute coefficients of a linear model."""
-    model = run["model"]
-    classifier = model.stages[-1]
+    classifier = run["model"].classifier
     if hasattr(classifier, "featureImportances"):
         values = classifier.featureImportances.toArray()
     else:
         values = abs(classifier.coefficients.toArray())
-    names = feature_names(model, filled(prepared(sample), run["fill"]))
-    rows = [(n, float(v)) for n, v in zip(names, values, strict=True)]
-    return spark.createDataFrame(rows, "feature_name string, importance double").orderBy(
+    rows = spark.createDataFrame([(k, float(v)) for k, v in enumerate(values)], "place long, importance double")
+    return run["model"].encoding.names().join(rows, "place").select("feature_name", "importance").orderBy(
         F.col("importance").desc(), "feature_name"
     )

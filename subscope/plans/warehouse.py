@@ -59,6 +59,7 @@ class Warehouse:
         self.bucket_method = bucket_method
         self._built: set[tuple[str, str]] = set()
         self._runs: list[dict] = []
+        self._encoded: churn.Prepared | None = None
 
     def raw(self, name: str) -> DataFrame:
         """A raw source as it arrives, not copied."""
@@ -182,20 +183,22 @@ class Warehouse:
         build, partition_by = builders[name]
         return self._table("gold", name, build, partition_by)
 
+    def encoded(self) -> churn.Prepared:
+        """The split and encoding that all models share."""
+        if self._encoded is None:
+            self._encoded = churn.prepare(self.gold("customer_ml_features"), work_dir(self.spark, "models"))
+        return self._encoded
+
     def models(self, trees: int = 300, depth: int = 12, max_iter: int = 1000) -> dict[str, DataFrame]:
         """Train the churn models once and return the published tables, read back."""
         published = {
             "ml_runs": lambda: churn.run_table(self.spark, self._runs),
             "ml_model_performance": lambda: churn.performance(self.spark, self._runs),
-            "ml_predictions": lambda: churn.publish(churn.best(self._runs), features),
-            "ml_feature_importance": lambda: churn.importance(
-                self.spark, churn.best(self._runs), features
-            ),
+            "ml_predictions": lambda: churn.publish(churn.best(self._runs)),
+            "ml_feature_importance": lambda: churn.importance(self.spark, churn.best(self._runs)),
         }
-        features = self.gold("customer_ml_features")
         if not self._runs:
-            folder = work_dir(self.spark, "models")
-            self._runs, _ = churn.train_all(features, folder, trees, depth, max_iter)
+            self._runs = churn.fits(self.encoded(), trees, depth, max_iter)
         return {n: self._table("gold", n, build) for n, build in published.items()}
 
     def _fact_days(self) -> DataFrame:

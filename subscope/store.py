@@ -147,6 +147,6 @@ class LayerStore:
         return self.spark.createDataFrame(rows, "layer string, table_name string")
 
 
-def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """First rows for a look (K9)."""
-    return df.select(F.expr("*")).limit(n)
+def preview(df: DataFrame, n: int = 10, order: Sequence[str] = ()) -> DataFrame:
+    """First rows for a look (K9), the same ones each time if an order is named."""
+    return (df.orderBy(*order) if order else df.select(F.expr("*"))).limit(n)
