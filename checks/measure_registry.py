@@ -641,3 +641,31 @@ _Q = {
 }
 for _key, _query in dashboards.QUERIES.items():
     add(_key, lambda w, q=_query: q(StarModel.of(w)), _Q[_key], ROWS)
+
+# ------------------------------------------------------------------ a second date role
+
+PAYMENT = {"billing": "payment"}
+add(
+    "f1_d18_revenue_by_payment_month",
+    lambda w: measures.query(
+        StarModel.of(w), ["total_billed_revenue", "collected_revenue", "total_invoices"], ["dim_date.year_month_sort"], FilterContext(date_roles=PAYMENT)
+    ).filter("year_month_sort IS NOT NULL"),
+    f"""SELECT CAST(strftime(payment_date, '%Y%m') AS BIGINT) AS year_month_sort, {tot("total_amount")} AS total_billed_revenue,
+    {tot(when("is_unpaid = 0", "total_amount"))} AS collected_revenue, COUNT(*) AS total_invoices FROM billing WHERE payment_date IS NOT NULL GROUP BY 1""",
+)
+add(
+    "f8_d18_payments_in_a_range_by_contract",
+    lambda w: measures.query(
+        StarModel.of(w), ["collected_revenue", "total_invoices"], ["dim_customer.contract_type"], FilterContext("1996-02-10", "1997-05-20", date_roles=PAYMENT)
+    ),
+    f"""SELECT contract_type, {tot(when("is_unpaid = 0", "total_amount"))} AS collected_revenue, COUNT(*) AS total_invoices
+    FROM billing b LEFT JOIN dim_customer d ON b.customer_id = d.customer_id
+    WHERE payment_date BETWEEN DATE '1996-02-10' AND DATE '1997-05-20' GROUP BY 1""",
+)
+add(
+    "f10_d18_latest_payment_month",
+    lambda w: measures.query(StarModel.of(w), ["billed_revenue_latest_month", "billed_revenue_previous_month"], (), FilterContext(date_roles=PAYMENT)),
+    f"""SELECT {tot(when("date_trunc('month', payment_date) = m", "total_amount"))} AS billed_revenue_latest_month,
+    {tot(when("date_trunc('month', payment_date) = m - INTERVAL 1 MONTH", "total_amount"))} AS billed_revenue_previous_month
+    FROM billing, (SELECT date_trunc('month', MAX(payment_date)) AS m FROM billing)""",
+)

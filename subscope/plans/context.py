@@ -16,6 +16,8 @@ from subscope.sources import calendars
 # Columns are named "table.column" with these table names.
 CUSTOMER_TABLES = ("dim_customer", "predictions", "retention")
 FACT_DATES = {"billing": "billing_month", "complaints": "opened_at", "network": "event_timestamp"}
+# Further dates of a fact, by role; each is a relationship to the calendar that a context can activate.
+DATE_ROLES = {("billing", "payment"): "payment_date"}
 # Tables whose selections reach each measure table. Facts never filter dimensions.
 REACH = {
     "customers": CUSTOMER_TABLES,
@@ -42,6 +44,9 @@ def flat(ref: str) -> str:
 class FilterContext:
     """What the user has selected: a date range and allowed values per dimension column.
 
+    ``date_roles`` names the date by which a fact is seen where it is not its first one
+    (``{"billing": "payment"}``). Rows without that date belong to no day.
+
     ``anchor`` says which day is "today" for month and year windows: the last selected day of
     the calendar, or the last day on which the fact has data.
     """
@@ -50,6 +55,7 @@ class FilterContext:
     date_to: str | None = None
     filters: Mapping[str, Sequence[object]] = field(default_factory=dict)
     anchor: str = "last_data"
+    date_roles: Mapping[str, str] = field(default_factory=dict)
 
     def in_range(self, d: Column) -> Column:
         conditions = []
@@ -60,6 +66,16 @@ class FilterContext:
         return C.all_of(conditions)
 
 
+def date_column(fact: str, ctx: FilterContext) -> str:
+    """The column that relates a fact to the calendar in a context."""
+    role = ctx.date_roles.get(fact)
+    if role is None:
+        return FACT_DATES[fact]
+    if (fact, role) not in DATE_ROLES:
+        raise ValueError(f"{fact} has no date role {role!r}")
+    return DATE_ROLES[fact, role]
+
+
 def allowed(c: Column, values: Sequence[object]) -> Column:
     plain = [v for v in values if v is not None]
     keep = c.isin(*plain) if plain else F.lit(False)
@@ -83,8 +99,8 @@ class StarModel:
         }
         return StarModel(lambda name: warehouse.gold(names.get(name, name)))
 
-    def fact(self, name: str) -> DataFrame:
-        return self.table(name).withColumn("_day", F.to_date(FACT_DATES[name]))
+    def fact(self, name: str, ctx: FilterContext = FilterContext()) -> DataFrame:
+        return self.table(name).withColumn("_day", F.to_date(date_column(name, ctx)))
 
     def dates(self, ctx: FilterContext) -> DataFrame:
         return self.table("dim_date").filter(ctx.in_range(F.col("full_date")))
@@ -116,7 +132,7 @@ class StarModel:
         if ctx.anchor == "calendar":
             days = self.dates(ctx).select(F.col("full_date").alias("day"))
         elif ctx.anchor == "last_data":
-            days = self.table("fact_days").filter(F.col("fact") == fact)
+            days = self.table("fact_days").filter(F.col("fact") == ctx.date_roles.get(fact, fact))
             days = days.filter(ctx.in_range(F.col("day")))
         else:
             raise ValueError(f"unknown anchor {ctx.anchor!r}")

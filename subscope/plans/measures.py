@@ -22,12 +22,14 @@ from subscope.functions import columns as C
 from subscope.operators import kpi
 from subscope.plans.context import (
     CUSTOMER_TABLES,
+    FACT_DATES,
     REACH,
     FilterContext,
     StarModel,
     allowed,
     column_of,
     date_attribute,
+    date_column,
     flat,
     month_windows,
     table_of,
@@ -575,7 +577,7 @@ def _aggregate_fact(model, table, atoms, keys, picks, ctx, windows=False) -> Dat
     place = [r for r in (*keys, *picks) if table_of(r) == "dim_network_location"]
     person = [r for r in (*keys, *picks) if table_of(r) in CUSTOMER_TABLES]
 
-    rows, within = _windowed(model.fact(table), model, table, {w for _, w in atoms.values()}, ctx)
+    rows, within = _windowed(model.fact(table, ctx), model, table, {w for _, w in atoms.values()}, ctx)
     rows = rows.filter(_selected([r for r in picks if r in near], ctx, dated))
     key_columns = {flat(r): dated(r) for r in keys if r in near}
     partials = [a.first(own, within[w]).alias(n) for n, (a, w) in atoms.items()]
@@ -611,7 +613,8 @@ def _aggregate_fact(model, table, atoms, keys, picks, ctx, windows=False) -> Dat
 def _windowed(rows: DataFrame, model, table, windows, ctx) -> tuple[DataFrame, dict]:
     """Rows cut to the days that any window needs, and the condition of each window.
 
-    The cut is repeated on the month key, so that only the months' partitions are read.
+    The cut is repeated on the month key, so that only the months' partitions are read; they follow
+    the first date role only.
     """
     day = F.col("_day")
     to_date = lambda text: dt.date.fromisoformat(text) if text else None
@@ -629,10 +632,13 @@ def _windowed(rows: DataFrame, model, table, windows, ctx) -> tuple[DataFrame, d
     }
     month = lambda d: F.lit(d.year * 100 + d.month)
     lows, highs = [lo for lo, _ in spans.values()], [hi for _, hi in spans.values()]
+    partitioned = date_column(table, ctx) == FACT_DATES[table]
     if all(lows):
-        rows = rows.filter((F.col("month_key") >= month(min(lows))) & (day >= F.lit(min(lows))))
+        rows = rows.filter(day >= F.lit(min(lows)))
+        rows = rows.filter(F.col("month_key") >= month(min(lows))) if partitioned else rows
     if all(highs):
-        rows = rows.filter((F.col("month_key") <= month(max(highs))) & (day <= F.lit(max(highs))))
+        rows = rows.filter(day <= F.lit(max(highs)))
+        rows = rows.filter(F.col("month_key") <= month(max(highs))) if partitioned else rows
     return rows, within
 
 
@@ -764,13 +770,11 @@ def funnel(model: StarModel, stages: DataFrame, ctx: FilterContext = FilterConte
 
 
 def share_of_parent(df: DataFrame, value: str, parent: Sequence[str], name: str = "share") -> DataFrame:
-    """Each row's part of the total over its parent keys."""
+    """Each row's part of the total over its parent keys (A20). ``df`` is evaluated once: its rows
+    are groups, and the parent's total is a window over those that share it."""
     if not parent:
         return df.withColumn(name, C.ratio(F.col(value), df.agg(F.sum(value).alias("t")).scalar()))
-    totals = df.groupBy(*parent).agg(F.sum(value).alias("_total"))
-    return _spread(df, totals, list(parent), ["_total"]).withColumn(
-        name, C.ratio(F.col(value), F.col("_total"))
-    ).drop("_total")
+    return df.withColumn(name, C.ratio(F.col(value), F.sum(value).over(W.partitionBy(*parent))))
 
 
 def drill_down(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import measure_registry, registry
 from subscope.operators import conform, enrich, kpi, rollup, star
+from subscope.plans import dashboards
 from subscope.plans import measures as M
 from subscope.plans.context import FilterContext
 
@@ -187,3 +188,19 @@ def test_no_query_pairs_rows_or_gathers_a_table(spark, name, plan):
     assert "PythonUDF" not in text and "ArrowEvalPython" not in text and "MapInPandas" not in text
     # a nested loop join is allowed only against a one-row scalar or a fixed lookup
     assert "BroadcastNestedLoopJoin" not in text
+
+
+def test_payment_dates_replace_billing_months(model, plan):
+    ctx = FilterContext("1996-02-10", "1997-05-20", date_roles={"billing": "payment"})
+    text = plan(M.query(model, ["collected_revenue"], (), ctx))
+    assert "PartitionFilters: []" in text and "GreaterThanOrEqual(payment_date" in text
+    with pytest.raises(ValueError):
+        M.query(model, ["collected_revenue"], (), FilterContext(date_roles={"billing": "delivery"}))
+    # other facts keep their date
+    both = M.query(model, ["total_complaints"], (), FilterContext("1996-02-10", "1997-05-20", date_roles={"billing": "payment"}))
+    assert both.first() == M.query(model, ["total_complaints"], (), FilterContext("1996-02-10", "1997-05-20")).first()
+
+
+def test_shares_of_a_parent_read_the_rows_once(model, plan):
+    text = plan(dashboards.q8_priority_status(model))
+    assert text.count("FileScan") == 1
