@@ -59,6 +59,12 @@ def _edge(token: bytes) -> bool:
     return token[0] & 0xC0 != 0x80
 
 
+def _merged(data: bytes, enc: tiktoken.Encoding) -> list[int]:
+    """The encoding of part of one stretch. It goes past the pattern, whose matcher gives up on long
+    runs of blanks and would have nothing to cut here."""
+    return enc._encode_single_piece(data)
+
+
 def join(left: list[int], right: list[int], enc: tiktoken.Encoding) -> list[int]:
     """The encoding of two neighbours of one stretch, from the encodings of both."""
     if not left or not right:
@@ -71,7 +77,7 @@ def join(left: list[int], right: list[int], enc: tiktoken.Encoding) -> list[int]
             i -= 1
         while j < len(right) and not _edge(token(right[j])):
             j += 1
-        again = enc.encode_ordinary(enc.decode_bytes(left[i:] + right[:j]).decode())
+        again = _merged(enc.decode_bytes(left[i:] + right[:j]), enc)
         if (i == 0 or again[0] == left[i]) and (j == len(right) or again[-1] == right[j - 1]):
             return left[:i] + again + right[j:]
         reach *= 2
@@ -121,14 +127,25 @@ def _settled(text: str, start: int, end: int, solid: int) -> Iterator[tuple[int,
         yield 0, m[0]
 
 
+def _even(text: str, leaf: int) -> bool:
+    """Whether no run of blanks, and none of letters, digits or signs, is longer than ``leaf``."""
+    if len(text) <= leaf:
+        return True
+    sizes = list(map(len, text.split()))
+    # blanks beyond one between two words: if a run is too long, there are as many
+    blanks = len(text) - sum(sizes) - (len(sizes) - 1)
+    # split() also parts words at signs that the pattern counts among the others
+    return max(sizes, default=0) <= leaf and blanks < leaf and not any(c in text for c in "\x1c\x1d\x1e\x1f")
+
+
 def _ordinary(text: str, enc: tiktoken.Encoding, leaf: int) -> list[int]:
-    if len(text) <= leaf or (max(map(len, text.split()), default=0) <= leaf and " " * leaf not in text):
+    if _even(text, leaf):
         return enc.encode_ordinary(text)
     return concat(((s, _stretch(p, enc, leaf) if s else enc.encode_ordinary(p)) for s, p in cut(text, leaf)), enc)
 
 
 def _stretch(text: str, enc: tiktoken.Encoding, leaf: int) -> list[int]:
-    return tree(enc.encode_ordinary_batch(halves(text, leaf), num_threads=1), enc)
+    return tree([_merged(part.encode(), enc) for part in halves(text, leaf)], enc)
 
 
 def concat(pieces, enc: tiktoken.Encoding) -> list[int]:

@@ -33,6 +33,27 @@ def test_long_stretches(unit):
     assert bpe.encode_text(text, PATH, 64) == library(text)
 
 
+# every class of the pattern, alone and mixed, far above what the encoder takes at once
+RUNS = [" ", "\n", "\t", "\xa0", "\u2003", " \n", "\n ", "\r\n", "\x1c", "\x85", "a", "é", "中", "7", "٣", "-", "=+", "\U0001f600", "\u0301", "\u200b", "'s", "a ", "1a"]
+
+
+@pytest.mark.parametrize("unit", RUNS)
+def test_a_million_characters_of_a_class(unit):
+    text = "x" + unit * (1_000_000 // len(unit)) + "y"
+    ids = bpe.encode_text(text, PATH)
+    assert bpe.decode_ids(ids, PATH) == text
+    assert ids == library(text)
+
+
+def test_three_million_blanks_of_all_kinds_over_tasks(spark):
+    rng = random.Random(2)
+    texts = ["\n" * 3_000_000, "".join(rng.choice(["\n" * 5000, " " * 3000, "\t\xa0" * 4000, "word ", "ab" * 2500]) for _ in range(600))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in bpe.decode(bpe.encode(docs, PATH), PATH).collect()}
+    for k, text in enumerate(texts):
+        assert rows[k]["decoded"] == text and np.frombuffer(rows[k]["ids"], "<u4").tolist() == library(text)
+
+
 @pytest.mark.parametrize("part", [50, 700, bpe.PART])
 def test_whole_tables_and_pieces_over_tasks(spark, part):
     docs = cases.odd(spark)

@@ -1,3 +1,5 @@
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -38,6 +40,7 @@ def test_stages_one_by_one(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     ids = stage["BPE encoding and decoding"](spark, private, cases.TABLES)
     assert {r["doc_id"]: r["decoded"] for r in bpe.decode(ids, path).collect()} == {i: r["text"] for i, r in rows.items()}
+    assert {r["doc_id"]: r["decoded_sha256"] for r in ids.collect()} == {i: hashlib.sha256(r["text"].encode()).hexdigest() for i, r in rows.items()}
 
 
 def test_odd_rows_through_all_stages(spark, tmp_path):
