@@ -2,40 +2,59 @@
 
 The incidence matrix has a row for each distinct set of n-grams, so exact copies are one row. The
 columns have one total order, rare columns first. Two rows whose similarity reaches the threshold
-share a column among the first ``n - ceil(t * n) + 1`` of each, so the product is taken over those
-prefix columns first, and the bounds that follow from the two sizes and the places of the shared
-column discard the rest. Only pairs that pass have their remaining product taken, exactly.
+``t`` share a column among the first ``n - ceil(t * n) + 1`` of each; the first one they share is
+rare or common. Rare columns are multiplied as they are: few rows hold one. A pair whose first
+shared column is common shares no rare one, so both rows have almost only common columns, and a row
+with more than ``(1 - t) / t * n`` rare ones is in no such pair.
+
+Common columns are multiplied in blocks. Two rows of which the smaller has ``s`` columns differ in
+``(1 - t) / t * s`` columns at most. Dealt into more blocks than that, the rows agree in all columns
+of some block, so rows are brought together by the hash of their columns in a block, not by a single
+column that a third of all rows may hold. The number of blocks follows from a class of sizes; a row
+is dealt out for each class that the smaller row of a pair may be in.
+
+Bounds from the two sizes, the places of the shared column and a parity sketch, whose bits differ no
+more than the rows do, discard pairs before any row is read again. For the pairs that pass, overlaps
+are accumulated over all their columns, a block of pairs at a time, exactly.
 
 Connected rows need no expansion into all pairs: the first product pairs every row of a column with
 the column's hub (the row with the fewest rare columns). Rows that this links are contracted. The
 second product pairs what is still apart within a column, outside the column's largest component
-against all of it, so that no link between components is missed; a parity sketch of every row, whose
-bits differ no more than the rows do, leaves out pairs that are too far apart.
+against all of it, so that no link between components is missed.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subscope.llm import common
 
-#: Slots of the table that says how common a column is. It only orders columns, so its size is fixed.
-SLOTS = 1 << 20
+#: Documents that a column has at least to be common, and slots of the table that says how common a
+#: column is: many for each common column, 64 MB at most. A rare column in a common one's slot counts
+#: as common, which costs work, never a link.
+COMMON, SLOTS_LEAST, SLOTS_MOST = 16, 1 << 20, 1 << 26
+#: Sizes grow by this factor from class to class.
+CLASS = 1.25
+#: Times that a row is dealt out anew where too many of its blocks are empty.
+SEEDS = 8
 #: Bits of the filter that says which rows have a candidate.
 FILTER_BITS = 1 << 24
 #: Numbers of 64 parity bits of a row's sketch.
-WORDS = 4
+WORDS = 8
 _PARITY = [f"parity_{k}" for k in range(WORDS)]
 #: N-grams that one block of the counting pass holds.
 BLOCK = 1 << 21
-#: Rows over which one common column is spread before the hubs of the parts meet.
-SPREAD = 16
+#: Parts over which a block's rows are spread at least before the hubs of the parts meet, and rows of
+#: the table for each further part.
+SPREAD, PART_ROWS = 16, 1 << 20
 
 _STEP = np.random.default_rng(7).integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -96,6 +115,75 @@ def parities(total: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+@lru_cache(8)
+def size_classes(permille: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(least size, blocks, empty blocks that are expected at most) of the classes of sizes, from the
+    least size at which two different rows can link."""
+    spare = lambda size: (1000 - permille) * size // permille  # noqa: E731 - columns that linked rows differ in
+    low = next((k for k in range(1, 1002) if spare(k)), 1 << 62)
+    lows, blocks, empty = [], [], []
+    while low < 1 << 40:
+        high = max(low + 1, int(low * CLASS))
+        most, less = spare(high - 1), 0
+        for _ in range(50):  # to a fixed point: more blocks, more of them empty
+            many = most + 1 + less
+            mean = many * math.exp(-(low - spare(low)) / many)
+            less = math.ceil(mean + 2 * math.sqrt(mean) + 1)
+        lows.append(low)
+        blocks.append(most + 1 + less)
+        empty.append(less)
+        low = high
+    return np.array(lows, np.int64), np.array(blocks, np.int64), np.array(empty, np.int64)
+
+
+def signatures(total: np.ndarray, owner: np.ndarray, size: np.ndarray, permille: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of the blocks of the rows' common columns ``total``; ``size`` has all rows' sizes.
+
+    A pair of rows agrees in more blocks than a row has empty ones, unless it has too many: then
+    both are dealt out again by another hash, and in the end their empty blocks count too.
+    """
+    lows, blocks, empty = size_classes(permille)
+    # classes that the smaller row of a pair can be in: its size is t n to n
+    high = np.searchsorted(lows, size, "right") - 1
+    low = np.maximum(np.searchsorted(lows, (size * permille + 999) // 1000, "right") - 1, 0)
+    rows = np.unique(owner) if len(owner) else owner
+    rows = rows[high[rows] >= 0]
+    found, of = [], []
+    span = int((high - low)[rows].max(initial=-1)) + 1
+    for back in range(span):
+        row = rows[high[rows] - back >= low[rows]]
+        kind = np.full(len(size), -1)
+        kind[row] = high[row] - back
+        for seed in range(SEEDS):
+            if not len(row):
+                break
+            mine = np.flatnonzero(kind[owner] >= 0)
+            hashed = common.mix(total[mine] + np.uint64((seed * 0x9E3779B97F4A7C15) % (1 << 64)))
+            at = owner[mine]
+            many = blocks[kind[at]]
+            first = np.zeros(len(size) + 1, np.int64)
+            first[row + 1] = blocks[kind[row]]
+            first = np.cumsum(first)
+            place = first[at] + (hashed % many.astype(np.uint64)).astype(np.int64)
+            sums = np.zeros(int(first[-1]), np.uint64)
+            np.add.at(sums, place, common.mix(hashed))
+            count = np.bincount(place, minlength=len(sums))
+            who = np.repeat(np.arange(len(size)), np.diff(first))
+            block = np.arange(len(sums)) - first[who]
+            name = common.mix(sums + common.mix((block * SEEDS + seed).astype(np.uint64) * np.uint64(4099) + kind[who].astype(np.uint64)))
+            bare = np.bincount(who[count == 0], minlength=len(size))
+            again = np.zeros(len(size), bool)
+            again[row] = bare[row] > empty[kind[row]]
+            keep = (count > 0) | (again[who] & (seed == SEEDS - 1))
+            found.append(name[keep])
+            of.append(who[keep])
+            row = row[again[row]]
+            kind[~again] = -1
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(found), np.concatenate(of)
+
+
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -144,19 +232,26 @@ def _postings(n: int, permille: int, levels):
             if len(seen) > 500_000:  # only saves repeats
                 seen.clear()
             owner = np.repeat(np.arange(len(node)), size)
-            common_level = level[(total & np.uint64(SLOTS - 1)).astype(np.int64)]
-            order = np.lexsort((total, common_level, owner))
+            slot = (total & np.uint64(len(level) - 1)).astype(np.int64)
+            own_level = level[slot]
+            order = np.lexsort((total, own_level, owner))
             place = np.arange(len(total)) - np.repeat(offsets[:-1], size)
             prefix = size - (size * permille + 999) // 1000 + 1
-            take = (place < np.repeat(prefix, size)) & np.repeat(fresh, size)
+            rare = own_level[order] == 0
+            take = (place < np.repeat(prefix, size)) & np.repeat(fresh, size) & rare
             gram = total[order][take]
+            # rows that can link without a rare column
+            lone = np.bincount(owner[own_level == 0], minlength=len(size))
+            plain = fresh & (lone <= (1000 - permille) * size // permille)
+            inside = plain[owner] & (own_level > 0)
+            block, at = signatures(total[inside], owner[inside], size, permille)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(gram.view(np.int64)),
-                    pa.array(node[owner[take]]),
-                    pa.array(size[owner[take]], pa.int32()),
-                    pa.array(place[take], pa.int32()),
-                    pa.array(common_level[order][take].astype(np.int32)),
+                    pa.array(np.concatenate([gram, block]).view(np.int64)),
+                    pa.array(np.concatenate([node[owner[take]], node[at]])),
+                    pa.array(np.concatenate([size[owner[take]], size[at]]), pa.int32()),
+                    pa.array(np.concatenate([place[take], np.zeros(len(at), np.int64)]), pa.int32()),
+                    pa.array(np.concatenate([np.zeros(int(take.sum()), np.int32), np.ones(len(at), np.int32)])),
                 ],
                 names=["gram", "node", "n", "place", "level"],
             )
@@ -245,42 +340,44 @@ def _wanted(n: int, bits):
 
 
 def _product(permille: int):
-    """Overlap counts of a block of pairs: one sorted pass over (pair, column) entries."""
+    """Overlap counts of a block of pairs, accumulated in one pass over its (pair, column) entries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def entries(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            sets = [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+            size = np.array([len(x) for x in sets], np.int64)
+            return np.concatenate(sets), size
+
         for batch in batches:
-            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-            left, right = batch.column("grams_a").to_pylist(), batch.column("grams_b").to_pylist()
-            overlap = np.zeros(len(a), np.int64)
-            size = np.zeros(len(a), np.int64)
-            for i, (x, y) in enumerate(zip(left, right, strict=True)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
-                overlap[i] = np.count_nonzero(both[1:] == both[:-1])
-                size[i] = len(both)
-            linked = overlap * 1000 >= (size - overlap) * permille
-            yield pa.RecordBatch.from_arrays([pa.array(a[linked]), pa.array(b[linked]), pa.array(overlap[linked])], names=["a", "b", "overlap"])
+            # about as many entries at once whatever the rows' sizes
+            size = pc.add(pc.binary_length(batch.column("grams_a")), pc.binary_length(batch.column("grams_b")))
+            upto, start = np.cumsum(size.to_numpy(zero_copy_only=False).astype(np.int64)), 0
+            while start < batch.num_rows:
+                stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + 8 * BLOCK, "right")))
+                part = batch.slice(start, stop - start)
+                (x, n_a), (y, n_b) = entries(part.column("grams_a")), entries(part.column("grams_b"))
+                pair = np.concatenate([np.repeat(np.arange(len(n)), n) for n in (n_a, n_b)])
+                column = np.concatenate([x, y])
+                order = np.lexsort((column, pair))
+                pair, column = pair[order], column[order]
+                overlap = np.bincount(pair[1:][(column[1:] == column[:-1]) & (pair[1:] == pair[:-1])], minlength=len(n_a))
+                linked = overlap * 1000 >= (n_a + n_b - overlap) * permille
+                a, b = part.column("a").to_numpy(), part.column("b").to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(a[linked]), pa.array(b[linked]), pa.array(overlap[linked])], names=["a", "b", "overlap"])
+                start = stop
 
     return run
 
 
-def _bounded(pairs: DataFrame, prefix: DataFrame, permille: int) -> DataFrame:
-    """Pairs whose overlap in the prefix columns leaves room for the threshold.
-
-    Of the two prefixes, all common columns up to the end of the one that ends first are counted;
-    beyond it that row has ``n - prefix`` columns, which bounds what the rest can add.
-    """
-    side = lambda k: prefix.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("grams").alias(f"grams_{k}"))
-    rest = lambda n: F.floor((n * permille + 999) / 1000) - 1
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    most = F.size(F.array_intersect("grams_a", "grams_b")) + rest(F.greatest("n_a", "n_b"))
-    return joined.where(most * (1000 + permille) >= (F.col("n_a") + F.col("n_b")) * permille).select("a", "b")
+def _bounded(pairs: DataFrame, sketch: DataFrame, permille: int) -> DataFrame:
+    """Pairs whose sizes and parities leave room for the threshold."""
+    side = lambda k: sketch.select(F.col("node").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in ("n", *_PARITY)))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(_near(permille)).select("a", "b")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, prefix: DataFrame, n: int, permille: int) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, sketch: DataFrame, n: int, permille: int) -> DataFrame:
     """The pairs that reach the threshold, from their whole rows."""
-    kept = common.saved(_bounded(pairs, prefix, permille), "bounded")
+    kept = common.saved(_bounded(pairs, sketch, permille), "bounded")
     if kept.isEmpty():
         return kept.withColumn("overlap", F.lit(0).cast("long"))
     nodes = common.saved(kept.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
@@ -339,44 +436,47 @@ def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
     rows_full = first.where("node is not null")
     rows = rows_full.select("doc_id", "text_key", "node", "n")
 
-    slot = F.col("gram").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")
-    heavy = first.where("gram is not null").groupBy("gram").agg(F.sum("times").alias("times")).where("times >= 16")
-    heavy = heavy.groupBy(slot).agg(F.max("times").alias("times")).toArrow()  # a row for each slot at most
-    level = np.zeros(SLOTS, np.uint8)
-    level[heavy["slot"].to_numpy()] = np.minimum(np.log2(np.maximum(heavy["times"].to_numpy(), 1)), 60).astype(np.uint8)
+    heavy = first.where("gram is not null").groupBy("gram").agg(F.sum("times").alias("times")).where(F.col("times") >= COMMON)
+    heavy = common.saved(heavy, "common")
+    slots = SLOTS_LEAST
+    while slots < min(SLOTS_MOST, 64 * heavy.count()):
+        slots *= 2
+    slot = F.col("gram").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot")
+    used = heavy.groupBy(slot).agg(F.max("times").alias("times")).toArrow()  # a row for each slot at most
+    level = np.zeros(slots, np.uint8)
+    level[used["slot"].to_numpy()] = np.minimum(np.log2(used["times"].to_numpy()), 60).astype(np.uint8)
 
     posted = texts.select("text").mapInArrow(_postings(n, permille, common.shared(spark, level)), "gram long, node long, n int, place int, level int")
-    salt = F.when(F.col("level") > 0, F.pmod(F.xxhash64("node"), F.lit(SPREAD))).otherwise(F.lit(0)).cast("int")
+    spread = max(SPREAD, first.where("node is not null").count() // PART_ROWS)
+    salt = F.when(F.col("level") > 0, F.pmod(F.xxhash64("node"), F.lit(spread))).otherwise(F.lit(0)).cast("int")
     ratio = F.col("place") / F.col("n")
     parts = posted.withColumn("salt", salt).repartition("gram", "salt").sortWithinPartitions("gram", "salt", ratio, "n", "node")
     hubs = common.saved(parts.mapInArrow(_hubs, _HUBS), "hubs")
 
-    # the parts of a common column: their hubs meet at the best of them
+    # the parts of a block: their hubs meet at the best of them
     lone = hubs.where("level > 0 and hub is null")
-    best = lone.groupBy("gram").agg(F.min(F.struct(ratio.alias("r"), "n", "node", "place")).alias("h"))
+    best = lone.groupBy("gram").agg(F.min(F.struct(ratio.alias("r"), "n", "node", "place")).alias("h"), F.count("*").alias("parts")).where("parts > 1")
     met = lone.join(best, "gram").where("node <> h.node").select("node", "n", "place", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.place").alias("hub_place"))
     star = hubs.where("hub is not null").select("node", "n", "place", "hub", "hub_n", "hub_place").union(met)
     star = star.where(_reach(F.col("n"), F.col("place"), F.col("hub_n"), F.col("hub_place"), permille))
     pairs = common.saved(star.select(*_pair(F.col("node"), F.col("hub"))).distinct(), "pairs")
 
-    # rows of columns that two rows share at least
     posts = hubs.select("gram", "node", "n", "place")
-    prefix = common.saved(posts.groupBy("node").agg(F.first("n").alias("n"), F.collect_set("gram").alias("grams")), "prefix")
-    links = _verified(texts, pairs, prefix, n, permille)
+    sketch = rows_full.groupBy("node").agg(F.first("n").alias("n"), *[F.first(p).alias(p) for p in _PARITY])
+    links = _verified(texts, pairs, sketch, n, permille)
 
     joined = components(links)
     own = common.saved(posts.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")).distinct(), "own")
     size = own.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size"))
     main = size.groupBy("gram").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    sketch = rows_full.groupBy("node").agg(*[F.first(p).alias(p) for p in _PARITY])
-    apart = common.saved(own.join(main.select("gram", "main"), "gram").join(sketch, "node"), "apart")
+    apart = common.saved(own.join(main.select("gram", "main"), "gram").join(sketch.drop("n"), "node"), "apart")
     a = apart.where("component <> main").select("gram", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "place", "component", *_PARITY)))
     b = apart.select("gram", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "component", "main", *_PARITY)))
     # a pair outside the main component comes from either side: take it once
     cross = a.join(b, "gram").where("component_a <> component_b and (component_b = main_b or node_a < node_b)")
     cross = cross.where(_reach(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), permille) & _near(permille))
     cross = cross.select(*_pair(F.col("node_a"), F.col("node_b"))).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = _verified(texts, common.saved(cross, "pairs"), prefix, n, permille)
+    more = _verified(texts, common.saved(cross, "pairs"), sketch, n, permille)
     if not more.isEmpty():
         joined = components(links.select("a", "b").union(more.select("a", "b")))
 

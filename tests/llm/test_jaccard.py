@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from subscope.llm import jaccard
@@ -77,6 +78,54 @@ def test_common_columns_are_spread_and_met(spark, monkeypatch):
     assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 4, 0.85) == brute(rows, 4, 850)
 
 
+@pytest.mark.parametrize("permille", [500, 800, 850, 950, 1000])
+def test_linked_rows_agree_in_a_block(permille):
+    rng = np.random.default_rng(permille)
+    missed = 0
+    for size in [*range(1, 30), 47, 100, 333, 2000]:
+        for _ in range(6):
+            base = rng.integers(1, 1 << 62, size, dtype=np.uint64)
+            spare = (1000 - permille) * size // permille
+            gone = int(rng.integers(0, spare + 1))
+            # as different as is allowed: some columns left out, others added
+            other = np.concatenate([base[: size - gone], rng.integers(1, 1 << 62, spare - gone if gone < size else 0, dtype=np.uint64)])
+            both = len(np.intersect1d(base, other))
+            if both * 1000 < (len(base) + len(other) - both) * permille or set(base) == set(other):
+                continue
+            total = np.concatenate([np.sort(base), np.sort(other)])
+            owner = np.repeat([0, 1], [len(base), len(other)])
+            name, of = jaccard.signatures(total, owner, np.array([len(base), len(other)]), permille)
+            missed += not len(np.intersect1d(name[of == 0], name[of == 1]))
+    assert missed == 0
+
+
+def test_pages_of_common_paragraphs_make_few_pairs(spark):
+    """Pages of 6 out of 60 paragraphs: no two link, every column is common."""
+    rng = random.Random(8)
+    paragraphs = [" ".join("p%dw%d" % (k, rng.randrange(10**6)) for _ in range(50)) for k in range(60)]
+    pages = lambda count: [(i, " ".join(paragraphs[k] for k in sorted(rng.sample(range(60), 6)))) for i in range(count)]
+    made = {}
+    saved = jaccard.common.saved
+    for count in (500, 2000):
+        seen = {}
+
+        def kept(df, purpose, seen=seen):
+            out = saved(df, purpose)
+            seen[purpose] = seen.get(purpose, 0) + (out.count() if purpose == "pairs" else 0)
+            return out
+
+        jaccard.common.saved = kept
+        try:
+            rows = pages(count) + [(10_000 + i, " ".join(paragraphs[:6]) + f" own{i}") for i in range(20)]
+            got = jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string"), 4, 0.85).collect()
+        finally:
+            jaccard.common.saved = saved
+        made[count] = seen["pairs"]
+        assert {r["component_id"] for r in got if r["doc_id"] >= 10_000} == {min(r["component_id"] for r in got if r["doc_id"] >= 10_000)}
+    # pairs that share half of their paragraphs at least; a product by single columns makes 4,239,170
+    assert made[2000] < 2000 * 30, made
+
+
 def test_odd_rows(spark):
     docs = cases.odd(spark)
     assert found(docs, 4, 0.85) == brute(cases.texts_of(docs), 4, 850)
