@@ -48,7 +48,7 @@ SEEDS = 8
 #: Bits of the filter that says which rows have a candidate.
 FILTER_BITS = 1 << 24
 #: Numbers of 64 parity bits of a row's sketch.
-WORDS = 8
+WORDS = 4
 _PARITY = [f"parity_{k}" for k in range(WORDS)]
 #: N-grams that one block of the counting pass holds.
 BLOCK = 1 << 21
@@ -250,7 +250,8 @@ def _postings(n: int, permille: int, levels):
                     pa.array(np.concatenate([gram, block]).view(np.int64)),
                     pa.array(np.concatenate([node[owner[take]], node[at]])),
                     pa.array(np.concatenate([size[owner[take]], size[at]]), pa.int32()),
-                    pa.array(np.concatenate([place[take], np.zeros(len(at), np.int64)]), pa.int32()),
+                    # a pair of these rows shares no rare column: those are the places before the first shared one
+                    pa.array(np.concatenate([place[take], lone[at]]), pa.int32()),
                     pa.array(np.concatenate([np.zeros(int(take.sum()), np.int32), np.ones(len(at), np.int32)])),
                 ],
                 names=["gram", "node", "n", "place", "level"],
