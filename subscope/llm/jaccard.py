@@ -34,6 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from subscope.llm import common
 
@@ -50,6 +51,10 @@ FILTER_BITS = 1 << 24
 #: Numbers of 64 parity bits of a row's sketch.
 WORDS = 4
 _PARITY = [f"parity_{k}" for k in range(WORDS)]
+#: Rows with more n-grams than this have a wide sketch too, of four parity bits for each n-gram at least.
+NARROW = 400
+#: Rows of which a pair has one that are sent to every task at most.
+SENT = 1_000_000
 #: N-grams that one block of the counting pass holds.
 BLOCK = 1 << 21
 #: Parts over which a block's rows are spread at least before the hubs of the parts meet, and rows of
@@ -184,6 +189,23 @@ def signatures(total: np.ndarray, owner: np.ndarray, size: np.ndarray, permille:
     return np.concatenate(found), np.concatenate(of)
 
 
+def wide(total: np.ndarray) -> bytes:
+    """Parity bits of one set, a power of two and four for each n-gram at least."""
+    bits = 1 << int(4 * len(total) - 1).bit_length()
+    slot = common.mix(total + np.uint64(0x632BE59BD9B4E019)) & np.uint64(bits - 1)
+    return np.packbits(np.bincount(slot.astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Bits that two wide sketches differ in; the longer one is folded to the shorter one's size."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -194,15 +216,16 @@ def _sets(n: int):
             value, times = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
             value, times = value[times > 1].view(np.int64), times[times > 1]
             none = pa.nulls(len(value), pa.int64())
-            return pa.RecordBatch.from_arrays([none] * (4 + WORDS) + [pa.array(value), pa.array(times, pa.int64())], names=names)
+            return pa.RecordBatch.from_arrays([none] * (4 + WORDS) + [pa.array(value), pa.array(times, pa.int64()), pa.nulls(len(value), pa.binary())], names=names)
 
-        names = ["doc_id", "text_key", "node", "n", *_PARITY, "gram", "times"]
+        names = ["doc_id", "text_key", "node", "n", *_PARITY, "gram", "times", "wide"]
         for part in common.slices(batches):
             total, offsets = grams(part.column("text"), n)
             node, size = digests(total, offsets), np.diff(offsets)
             none = pa.nulls(len(node), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").cast(pa.int64()), part.column("text_key"), pa.array(node), pa.array(size, pa.int64()), *map(pa.array, parities(total, offsets)), none, none], names=names
+                [part.column("doc_id").cast(pa.int64()), part.column("text_key"), pa.array(node), pa.array(size, pa.int64()), *map(pa.array, parities(total, offsets)), none, none,
+                 pa.array([wide(total[a:b]) if b - a > NARROW else None for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.binary())], names=names
             )
             for i, key in enumerate(node.tolist()):
                 if key not in seen:
@@ -370,10 +393,28 @@ def _product(permille: int):
     return run
 
 
+def _apart(permille: int):
+    """Pairs whose wide sketches leave room for the threshold, where both rows have one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            bits = np.array([0 if x is None or y is None else differing(x, y) for x, y in zip(batch.column("wide_a").to_pylist(), batch.column("wide_b").to_pylist(), strict=True)], np.int64)
+            near = pa.array(bits * (1000 + permille) <= n * (1000 - permille))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(near) for c in ("a", "b")], names=["a", "b"])
+
+    return run
+
+
 def _bounded(pairs: DataFrame, sketch: DataFrame, permille: int) -> DataFrame:
-    """Pairs whose sizes and parities leave room for the threshold."""
-    side = lambda k: sketch.select(F.col("node").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in ("n", *_PARITY)))
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(_near(permille)).select("a", "b")
+    """Pairs whose sizes, parities and wide sketches leave room for the threshold."""
+    nodes = common.saved(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "met")
+    few = F.broadcast(nodes) if nodes.count() <= SENT else nodes
+    own = common.saved(sketch.join(few, "node", "left_semi"), "sketches")
+    side = lambda k, *more: own.select(F.col("node").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in ("n", *more)))
+    near = pairs.join(side("a", *_PARITY), "a").join(side("b", *_PARITY), "b").where(_near(permille)).select("a", "b")
+    both = near.join(side("a", "wide"), "a").join(side("b", "wide"), "b")
+    return both.select("a", "b", "n_a", "n_b", "wide_a", "wide_b").mapInArrow(_apart(permille), "a long, b long")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, sketch: DataFrame, n: int, permille: int) -> DataFrame:
@@ -433,7 +474,7 @@ def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
     permille = round(threshold * 1000)
     spark = docs.sparkSession
     texts = common.body(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    first = common.saved(texts.mapInArrow(_sets(n), f"doc_id long, text_key long, node long, n long, {' long, '.join(_PARITY)} long, gram long, times long"), "sets")
+    first = common.saved(texts.mapInArrow(_sets(n), f"doc_id long, text_key long, node long, n long, {' long, '.join(_PARITY)} long, gram long, times long, wide binary"), "sets")
     rows_full = first.where("node is not null")
     rows = rows_full.select("doc_id", "text_key", "node", "n")
 
@@ -463,14 +504,16 @@ def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
     pairs = common.saved(star.select(*_pair(F.col("node"), F.col("hub"))).distinct(), "pairs")
 
     posts = hubs.select("gram", "node", "n", "place")
-    sketch = rows_full.groupBy("node").agg(F.first("n").alias("n"), *[F.first(p).alias(p) for p in _PARITY])
+    # copies of a set have the same sketch: one of them stands for all
+    once = Window.partitionBy("node").orderBy("text_key", "doc_id")
+    sketch = rows_full.select("node", "n", *_PARITY, "wide", "text_key", "doc_id").withColumn("_k", F.row_number().over(once)).where("_k = 1").select("node", "n", *_PARITY, "wide")
     links = _verified(texts, pairs, sketch, n, permille)
 
     joined = components(links)
     own = common.saved(posts.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")).distinct(), "own")
     size = own.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size"))
     main = size.groupBy("gram").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    apart = common.saved(own.join(main.select("gram", "main"), "gram").join(sketch.drop("n"), "node"), "apart")
+    apart = common.saved(own.join(main.select("gram", "main"), "gram").join(sketch.drop("n", "wide"), "node"), "apart")
     a = apart.where("component <> main").select("gram", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "place", "component", *_PARITY)))
     b = apart.select("gram", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "component", "main", *_PARITY)))
     # a pair outside the main component comes from either side: take it once

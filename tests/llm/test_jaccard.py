@@ -99,6 +99,17 @@ def test_linked_rows_agree_in_a_block(permille):
     assert missed == 0
 
 
+def test_wide_sketches_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        base = rng.integers(1, 1 << 62, int(rng.integers(2, 3000)), dtype=np.uint64)
+        other = np.concatenate([base[rng.random(len(base)) < rng.random()], rng.integers(1, 1 << 62, int(rng.integers(1, 2000)), dtype=np.uint64)])
+        apart = len(np.setxor1d(base, other))
+        got = jaccard.differing(jaccard.wide(base), jaccard.wide(other))
+        assert got <= apart and got == jaccard.differing(jaccard.wide(other), jaccard.wide(base))
+        assert got >= 0.4 * min(apart, len(base))
+
+
 def test_pages_of_common_paragraphs_make_few_pairs(spark):
     """Pages of 6 out of 60 paragraphs: no two link, every column is common."""
     rng = random.Random(8)
