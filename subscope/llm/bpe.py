@@ -189,9 +189,12 @@ def _packed(ids: list[int]) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 
 
-def encode(docs: DataFrame, path: str, leaf: int = LEAF, part: int = PART) -> DataFrame:
+def encode(docs: DataFrame, path: str, leaf: int = LEAF, part: int = PART, decoded: bool = False) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian unsigned 32-bit) of every whole text.
 
+    With ``decoded`` the ids are decoded again by the task that made them, into a further column of
+    that name; ``decode`` does the same for ids that are read from anywhere.
+
     One row per row: repeated rows stay, a NULL text is the empty text (no ids), a NULL doc_id stays
     NULL, other columns are ignored whatever their names.
     """
@@ -200,10 +203,16 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF, part: int = PART) -> Da
 
     def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = [encode_text(t, path, leaf) for t in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(map(len, ids), pa.int64()), pa.array(map(_packed, ids), pa.binary())], names=["doc_id", "n_tokens", "ids"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns(ids)], names=names)
 
     kind = dict(texts.dtypes)["doc_id"]
-    out = f"doc_id {kind}, n_tokens long, ids binary"
+    out = f"doc_id {kind}, n_tokens long, ids binary" + (", decoded string" if decoded else "")
+    names = ["doc_id", "n_tokens", "ids", *(["decoded"] if decoded else [])]
+
+    def columns(ids: list[list[int]]) -> list[pa.Array]:
+        own = [pa.array(map(len, ids), pa.int64()), pa.array(map(_packed, ids), pa.binary())]
+        return [*own, pa.array([decode_ids(x, path) for x in ids], pa.string())] if decoded else own
+
     done = common.mapped(short, whole, out)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +243,7 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF, part: int = PART) -> Da
         enc, _ = tokenizer(path)
         group = group.sort_by("at")
         ids = concat(((max(0, s), np.frombuffer(b, "<u4").tolist()) for s, b in zip(group["stretch"].to_pylist(), group["ids"].to_pylist(), strict=True)), enc)
-        return pa.table({"doc_id": group["doc_id"].slice(0, 1), "n_tokens": pa.array([len(ids)], pa.int64()), "ids": pa.array([_packed(ids)], pa.binary())})
+        return pa.table([group["doc_id"].slice(0, 1), *columns([ids])], names=names)
 
     long = texts.where(F.char_length("text") > part).withColumn("row", F.monotonically_increasing_id())
     pieces = long.mapInArrow(deal, f"doc_id {kind}, row long, at long, stretch long, text string").repartition("row", "at")

@@ -62,6 +62,8 @@ def test_whole_tables_and_pieces_over_tasks(spark, part):
     assert sorted((repr(r["doc_id"]), tuple(np.frombuffer(r["ids"], "<u4"))) for r in rows) == sorted((repr(i), tuple(library(t))) for i, t in cases.texts_of(docs))
     assert sorted((repr(r["doc_id"]), r["decoded"]) for r in rows) == sorted((repr(i), t) for i, t in cases.texts_of(docs))
     assert all(r["n_tokens"] == len(r["ids"]) // 4 for r in rows)
+    at_once = bpe.encode(docs, PATH, leaf=64, part=part, decoded=True)
+    assert sorted(map(repr, at_once.collect())) == sorted(map(repr, bpe.decode(found, PATH).collect()))
 
 
 def test_empty_table(spark):

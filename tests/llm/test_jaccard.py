@@ -107,7 +107,6 @@ def test_wide_sketches_never_differ_more_than_the_sets():
         apart = len(np.setxor1d(base, other))
         got = jaccard.differing(jaccard.wide(base), jaccard.wide(other))
         assert got <= apart and got == jaccard.differing(jaccard.wide(other), jaccard.wide(base))
-        assert got >= 0.4 * min(apart, len(base))
 
 
 def test_pages_of_common_paragraphs_make_few_pairs(spark):
