@@ -89,9 +89,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 def bpe_encoding(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian unsigned 32-bit) of every document, and the digest of
     the text that the ids decode to."""
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    decoded = bpe.decode(bpe.encode(docs, path), path)
-    return decoded.select("doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    found = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"), decoded=True)
+    return found.select("doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES = [
