@@ -377,7 +377,7 @@ def _product(permille: int):
             size = pc.add(pc.binary_length(batch.column("grams_a")), pc.binary_length(batch.column("grams_b")))
             upto, start = np.cumsum(size.to_numpy(zero_copy_only=False).astype(np.int64)), 0
             while start < batch.num_rows:
-                stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + 8 * BLOCK, "right")))
+                stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + 2 * BLOCK, "right")))
                 part = batch.slice(start, stop - start)
                 (x, n_a), (y, n_b) = entries(part.column("grams_a")), entries(part.column("grams_b"))
                 pair = np.concatenate([np.repeat(np.arange(len(n)), n) for n in (n_a, n_b)])
