@@ -69,22 +69,26 @@ def _sum(items: Column) -> Column:
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """(start, end, match) of the leftmost non-overlapping matches, in code points.
+    """(start, end, match, before, after) of the leftmost non-overlapping matches, in code points;
+    ``before`` has up to ``BEFORE`` characters, ``after`` one.
 
     The text between matches and the matches themselves come from two passes of one pattern; their
-    lengths are summed in chunks, so that many matches stay cheap.
+    lengths are summed in chunks, and what is around a match is put together from its neighbours, so
+    that many matches stay cheap.
     """
 
     def placed(x: Column) -> Column:
         gap = F.transform(x["gaps"], lambda g: F.char_length(g))
         size = F.transform(x["found"], lambda m: F.char_length(m))
-        return _let(F.struct(gap.alias("gap"), size.alias("size"), x["found"].alias("found")), stepped)
+        tails = F.transform(x["gaps"], lambda g: F.right(g, F.lit(BEFORE)))
+        heads = F.transform(x["gaps"], lambda g: F.left(g, F.lit(1)))
+        return _let(F.struct(gap.alias("gap"), size.alias("size"), x["found"].alias("found"), tails.alias("tails"), heads.alias("heads")), stepped)
 
     def stepped(x: Column) -> Column:
         step = F.zip_with(x["size"], F.slice(x["gap"], 1, F.size(x["size"])), lambda s, g: s + g)
         chunks = F.sequence(F.lit(0), F.floor((F.size(x["size"]) - 1) / CHUNK).cast("int"))
         return _let(
-            F.struct(step.alias("step"), x["gap"].alias("gap"), x["size"].alias("size"), x["found"].alias("found"), chunks.alias("chunks")),
+            F.struct(step.alias("step"), x["gap"].alias("gap"), x["size"].alias("size"), x["found"].alias("found"), chunks.alias("chunks"), x["tails"].alias("tails"), x["heads"].alias("heads")),
             lambda y: _let(
                 F.transform(y["chunks"], lambda c: _sum(F.slice(y["step"], c * CHUNK + 1, CHUNK))),
                 lambda sums: _let(F.transform(y["chunks"], lambda c: _sum(F.slice(sums, F.lit(1), c))), lambda offsets: spans(y, offsets)),
@@ -95,7 +99,12 @@ def matches(text: Column, pattern: str) -> Column:
         def one(m: Column, i: Column) -> Column:
             chunk = F.floor(i / CHUNK).cast("int")
             start = F.get(offsets, chunk) + _sum(F.slice(y["step"], chunk * CHUNK + 1, i - chunk * CHUNK)) + F.get(y["gap"], i)
-            return _let(start, lambda s: F.struct(s.alias("start"), (s + F.char_length(m)).alias("end"), m.alias("match")))
+            # the shortest match has four characters, so six of them fill what is looked at
+            near = F.sequence(F.greatest(i - 6, F.lit(0)), i)
+            pieces = F.transform(near, lambda k: F.concat(F.get(y["tails"], k), F.when(k < i, F.get(y["found"], k)).otherwise("")))
+            before = F.right(F.array_join(pieces, ""), F.lit(BEFORE))
+            follows = F.concat(F.get(y["heads"], i + 1), F.coalesce(F.get(y["found"], i + 1), F.lit("")))
+            return _let(start, lambda s: F.struct(s.alias("start"), (s + F.char_length(m)).alias("end"), m.alias("match"), before.alias("before"), F.left(follows, F.lit(1)).alias("after")))
 
         return F.transform(y["found"], one)
 
@@ -105,7 +114,7 @@ def matches(text: Column, pattern: str) -> Column:
     )
 
 
-_SPANS = "array<struct<start:int,end:int,match:string>>"
+_SPANS = "array<struct<start:int,end:int,match:string,before:string,after:string>>"
 
 
 def _valid(kind: str, match: Column) -> Column:
@@ -119,12 +128,12 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _voted(kind: str, text: Column, spans: Column, strict: bool) -> Column:
+def _voted(kind: str, spans: Column, strict: bool) -> Column:
     """Candidates with their votes (1 yes, 0 no, 2 abstains) and the features of the classifier."""
 
     def one(x: Column) -> Column:
-        before = F.substring(text, F.greatest(x["start"] - BEFORE, F.lit(0)) + 1, F.least(x["start"], F.lit(BEFORE)))
-        edge = before.rlike("[A-Za-z0-9_]$") | F.substring(text, x["end"] + 1, F.lit(1)).rlike("[A-Za-z0-9_]")
+        before = x["before"]
+        edge = before.rlike("[A-Za-z0-9_]$") | x["after"].rlike("[A-Za-z0-9_]")
         digits = F.regexp_replace(x["match"], "[^0-9]", "")
         base = _valid(kind, x["match"]) if strict else F.lit(False)
         gazetteer = (digits if kind == "card" else x["match"]).rlike(GAZETTEER[kind])
@@ -148,9 +157,9 @@ def candidates(text: Column) -> Column:
     """All candidates of a text, by start and kind."""
     parts = []
     for kind in KINDS:
-        own = _voted(kind, text, matches(text, BASE[kind]), True)
+        own = _voted(kind, matches(text, BASE[kind]), True)
         if LOOSE[kind]:
-            own = F.concat(own, _voted(kind, text, matches(text, LOOSE[kind]), False))
+            own = F.concat(own, _voted(kind, matches(text, LOOSE[kind]), False))
         parts.append(F.when(text.rlike(HINT[kind]), own).otherwise(F.array().cast(_CANDIDATES)))
     return F.when(text.rlike("[0-9@]|[\\[(]at[\\])]"), F.array_sort(F.concat(*parts))).otherwise(F.array().cast(_CANDIDATES))
 
@@ -229,15 +238,30 @@ def accepted(rows: DataFrame) -> list[str]:
     return sorted(k for k, p in score.items() if p >= 0.5)
 
 
+def _chunks(items: Column) -> Column:
+    """Places of the chunks of a non-empty array."""
+    return F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int"))
+
+
 def kept(candidate: Column, patterns: list[str]) -> Column:
-    """Base spans, and accepted ones that meet none of them, by start and kind."""
+    """Base spans, and accepted ones that meet none of them, by start and kind.
+
+    Base spans are held in chunks with the reach of each, so that a span is compared with few.
+    """
+
+    def met(base: Column, more: Column) -> Column:
+        chunk = lambda c: _let(F.slice(base, c * CHUNK + 1, CHUNK), lambda xs: F.struct(F.array_min(xs["start"]).alias("low"), F.array_max(xs["end"]).alias("high"), xs.alias("items")))
+        meets = lambda x, y: (x["start"] < y["end"]) & (y["start"] < x["end"])
+        clear = lambda cs, x: ~F.exists(cs, lambda c: F.when((c["low"] < x["end"]) & (x["start"] < c["high"]), F.exists(c["items"], lambda y: meets(x, y))).otherwise(False))
+        return F.when(F.size(base) == 0, more).otherwise(F.concat(base, _let(F.transform(_chunks(base), chunk), lambda cs: F.filter(more, lambda x: clear(cs, x)))))
 
     def chosen(xs: Column) -> Column:
         more = F.filter(xs, lambda x: ~x["base"] & x["key"].isin(patterns))
-        return _let(F.filter(xs, lambda x: x["base"]), lambda b: F.concat(b, F.filter(more, lambda x: ~F.exists(b, lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"])))))
+        return _let(F.filter(xs, lambda x: x["base"]), lambda base: met(base, more))
 
     shown = lambda xs: F.transform(xs, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), x["base"].alias("base")))
-    return _let(candidate, lambda xs: F.when(F.size(xs) == 0, F.array().cast(_KEPT)).otherwise(F.array_sort(F.array_distinct(shown(chosen(xs))))))
+    once = lambda xs: F.filter(xs, lambda x, i: (i == 0) | (x != F.get(xs, i - 1)))
+    return _let(candidate, lambda xs: F.when(F.size(xs) == 0, F.array().cast(_KEPT)).otherwise(_let(F.array_sort(shown(chosen(xs))), once)))
 
 
 def spans(docs: DataFrame) -> DataFrame:
@@ -261,13 +285,31 @@ def written(found: Column) -> Column:
 
 
 def redacted(text: Column, found: Column) -> Column:
-    """The text with every span replaced by its kind in brackets; overlapping spans leave no gap."""
+    """The text with every span replaced by its kind in brackets; overlapping spans leave no gap.
+
+    Each chunk of spans takes its part of the text, and each span its piece of that part.
+    """
     name = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
+    reach = lambda xs, upto: F.aggregate(F.slice(xs, F.lit(1), upto), F.lit(0), lambda a, x: F.greatest(a, x["end"]))
+
+    def part(xs: Column, low: Column, own: Column) -> Column:
+        def piece(x: Column, i: Column) -> Column:
+            return _let(F.greatest(low, reach(xs, i)), lambda r: F.concat(F.substring(own, r - low + 1, F.greatest(x["start"] - r, F.lit(0))), F.get(name, x["kind"])))
+
+        return F.array_join(F.transform(xs, piece), "")
 
     def replaced(xs: Column) -> Column:
-        reach = lambda i: F.aggregate(F.slice(xs, F.lit(1), i), F.lit(0), lambda a, x: F.greatest(a, x["end"]))
-        piece = lambda x, i: _let(reach(i), lambda r: F.concat(F.substring(text, r + 1, F.greatest(x["start"] - r, F.lit(0))), F.get(name, x["kind"])))
-        tail = _let(reach(F.size(xs)), lambda r: F.substring(text, r + 1, F.char_length(text)))
-        return F.when(F.size(xs) == 0, text).otherwise(F.concat(F.array_join(F.transform(xs, piece), ""), tail))
+        def chunk(c: Column, ends: Column) -> Column:
+            # up to the last start in the chunk, from where all chunks before it end
+            low = F.greatest(F.lit(0), F.coalesce(F.array_max(F.slice(ends, F.lit(1), c)), F.lit(0)))
+            return _let(
+                F.struct(F.slice(xs, c * CHUNK + 1, CHUNK).alias("items"), low.alias("low")),
+                lambda y: _let(F.substring(text, y["low"] + 1, F.greatest(F.array_max(y["items"]["start"]) - y["low"], F.lit(0))), lambda own: part(y["items"], y["low"], own)),
+            )
+
+        ends = F.transform(_chunks(xs), lambda c: F.array_max(F.slice(xs, c * CHUNK + 1, CHUNK)["end"]))
+        whole = _let(ends, lambda es: F.array_join(F.transform(_chunks(xs), lambda c: chunk(c, es)), ""))
+        tail = _let(F.array_max(xs["end"]), lambda r: F.substring(text, r + 1, F.char_length(text)))
+        return F.when(F.size(xs) == 0, text).otherwise(F.concat(whole, tail))
 
     return _let(found, replaced)

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -64,3 +65,34 @@ def test_odd_rows(spark):
     docs = cases.odd(spark)
     assert pii.spans(docs).count() == docs.count()
     assert pii.spans(cases.none(spark)).count() == 0
+
+
+def test_redaction_of_many_and_overlapping_spans_equals_a_plain_one(spark):
+    rng = random.Random(4)
+    rows = []
+    for n in (0, 1, 5, 255, 256, 257, 700):
+        text = "".join(rng.choice("abcdé中 ") for _ in range(4 * n + 20))
+        spans = sorted({(s := rng.randrange(len(text) - 8), rng.randrange(4), s + rng.randint(1, 8), True) for _ in range(n)})
+        rows.append((n, text, spans))
+    df = spark.createDataFrame(rows, "n int, text string, spans array<struct<start:int,kind:int,end:int,base:boolean>>")
+    got = {r["n"]: r["t"] for r in df.select("n", pii.redacted(F.col("text"), F.col("spans")).alias("t")).collect()}
+    for n, text, spans in rows:
+        out, reach = "", 0
+        for start, kind, end, _ in spans:
+            out += text[reach : max(reach, start)] + f"[{pii.KINDS[kind].upper()}]"
+            reach = max(reach, end)
+        assert got[n] == out + text[reach:]
+
+
+def test_long_contact_lists_take_time_in_proportion(spark):
+    def seconds(count):
+        text = " ".join(f"mail user{k}@host{k % 7}.org, 10.0.{k % 256}.{k % 200}; " for k in range(count))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.time()
+        found = pii.spans(docs)
+        row = docs.join(found, "doc_id").select(F.size("spans").alias("n"), pii.redacted(F.col("text"), F.col("spans")).alias("t")).first()
+        assert row["n"] == 2 * count and "@" not in row["t"] and row["t"].count("[EMAIL]") == count
+        return time.time() - start
+
+    seconds(100)
+    assert seconds(16_000) < 12 * max(1.0, seconds(4_000))
