@@ -58,7 +58,7 @@ def test_odd_rows_through_all_stages(spark, tmp_path):
     joined = cp.jaccard_join(spark, read, folder)
     assert joined.where("doc_id = 101").count() == joined.where("doc_id = 102").count() == 1
     assert joined.where("doc_id = 0").count() == 1 and joined.where("doc_id = 100").count() == 0
-    assert cp.run(spark, folder).columns == ["doc_id", "n_tokens", "ids"]
+    assert cp.run(spark, folder).columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
 
 
 def test_text_that_is_null_stays_null(spark):
