@@ -45,40 +45,46 @@ class Counter:
             self.automaton.add_word(piece, value)
         self.automaton.make_automaton()
         self.single = {p for p in pieces if len(p) == 1}
+        self.longest = max(map(len, pieces), default=1)
         self.unknown = min((score for _, score in vocabulary), default=0.0) - PENALTY
         scores = [score for _, score in vocabulary] + [self.unknown]
         self.apart = all(float(s).is_integer() for s in scores) and not any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces) and MARK in self.single
         self.known: dict[str, tuple[int, float]] = {}
 
     def search(self, unit: str) -> tuple[int, float]:
-        """(pieces, score) of the best segmentation."""
+        """(pieces, score) of the best segmentation.
+
+        A place is only looked back at from the end of a piece, so a ring of as many places as the
+        longest piece has characters is carried along, however long the unit is.
+        """
         n = len(unit)
-        score, count, open_ = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
+        ring = min(n + 1, self.longest + 2)
+        score, count, open_, reached = [0.0] * ring, [0] * ring, [False] * ring, [False] * ring
         done = 0
 
         def close(until: int) -> None:
             """Places up to ``until`` get their unknown character, if it has no piece of its own."""
             nonlocal done
             while done < until:
+                before, at = done % ring, (done + 1) % ring
                 done += 1
                 if unit[done - 1] not in self.single:
-                    value = self.unknown + score[done - 1]
-                    if not reached[done] or value > score[done]:
-                        score[done], count[done], open_[done] = value, count[done - 1] + (not open_[done - 1]), True
-                        reached[done] = True
+                    value = self.unknown + score[before]
+                    if not reached[at] or value > score[at]:
+                        score[at], count[at], open_[at] = value, count[before] + (not open_[before]), True
+                reached[(done + 1) % ring] = False
 
-        reached = [False] * (n + 1)
         for last, (size, own, is_unknown) in self.automaton.iter(unit):
-            end = last + 1
-            close(last)
-            start = end - size
+            if done < last:
+                close(last)
+            end, start = (last + 1) % ring, (last + 1 - size) % ring
             value = own + score[start]
             if not reached[end] or value > score[end]:
                 joins = is_unknown and open_[start]
                 score[end], count[end], open_[end] = value, count[start] + (not joins), is_unknown
                 reached[end] = True
         close(n)
-        return count[n], score[n]
+        return count[n % ring], score[n % ring]
 
     def units(self, text: str) -> list[str]:
         if not self.apart:

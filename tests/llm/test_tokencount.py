@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -56,3 +57,14 @@ def test_whole_tables(spark):
         found = sorted((repr(r["doc_id"]), r["n_tokens"]) for r in tc.counts(docs, PATH).collect())
         assert found == sorted((repr(i), EXPECTED(t)) for i, t in cases.texts_of(docs))
     assert tc.counts(cases.none(spark), PATH).count() == 0
+
+
+def test_memory_does_not_follow_an_unbroken_stretch():
+    own = tc.Counter(*whole())
+    text = "thequickbrownfox" * 20_000 + "\u4e2d" * 1000
+    assert own.count(text)[0] == EXPECTED(text)
+    tracemalloc.start()
+    own.search(tc.MARK + text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * len(text)  # four arrays of all places took 95 bytes a character
