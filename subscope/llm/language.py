@@ -172,6 +172,9 @@ def train(docs: DataFrame, parts: int = 4, held: int = 2, most: int = SAMPLE) ->
     """The network, from windows of at most ``most`` documents of each language outside the held-out
     fold, those least in hash order; None where no document has a language and a letter."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (common.fold(F.col("doc_id"), parts) != held))
+    # only what can be learned from is ranked, so that a language is not lost to texts that cannot
+    text = F.col("text").cast("string")
+    known = known.where(F.char_length(text).between(1, SAMPLE_CHARS) & text.rlike(r"\p{L}"))
     hashed = known.select("doc_id", F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id").alias("h"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
     picked = common.saved(hashed.withColumn("rank", rank).where(F.col("rank") <= most).select("doc_id", F.col("lang").alias("label")), "sample")

@@ -91,6 +91,17 @@ def test_language_on_held_out_documents(spark):
     assert len(rows) == 1000 and np.mean(held) > 0.97
 
 
+def test_a_language_is_learned_although_its_first_documents_cannot_be(spark):
+    # of each language many documents without a letter, or too long, and a few good ones
+    good = {"en": "the house and the garden of the people ", "de": "das haus und der garten der leute ist schoen "}
+    rows = [(i, "12 34", x) for x, base in (("en", 0), ("de", 1000)) for i in range(base, base + 300)]
+    rows += [(2000 + 10 * k + i, good[x] * 8, x) for k, x in enumerate(good) for i in range(8)]
+    rows += [(3000 + i, "long " * 15_000, "de") for i in range(20)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most=4)
+    asked = spark.createDataFrame([(1, good["en"] * 3), (2, good["de"] * 3)], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in language.predictions(asked, model).collect()} == {1: "en", 2: "de"}
+
+
 def test_toxicity_on_held_out_documents(spark):
     # the larger table: the smaller one has six toxic documents held out
     truth = _truth(spark, "toxic", cases.LARGE)
