@@ -4,13 +4,20 @@ A paragraph is a sentence or line, blocks of at most ``BLOCK`` characters of lon
 also counts how often the text has had it before, so that digests of a text are distinct. A sketch
 adds every digest to one cell in each of three tables: a count, the XOR of the digests and the XOR of
 their check hashes. Cells of two sketches subtract; what both hold vanishes, and peeling cells that
-hold one digest recovers the digests that differ. If peeling gets stuck, larger sketches are built,
-with a new salt, until it succeeds.
+hold one digest recovers the digests that differ.
+
+A fingerprint stores sketches of growing size, each with its own salt, up to the first from which the
+text's own digests can be peeled. Two fingerprints are compared by themselves, whatever their texts:
+the smallest sketches are subtracted and peeled, larger ones after a failure, and where no size that
+both have is large enough, the digests of either are peeled from its largest sketch.
 """
 
 from __future__ import annotations
 
+import base64
+import bisect
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -23,11 +30,16 @@ from pyspark.sql import functions as F
 from subscope.llm import common
 
 BLOCK = 96
-#: Cells of each of the three tables of a stored fingerprint.
-CELLS = 16
+#: Cells of each of the three tables of a fingerprint's smallest sketch, and how sketches grow.
+CELLS, GROWTH = 16, 4
+#: Digests a cell of a table for which peeling a sketch by itself is tried.
+LOAD = 2.4
+#: Documents of a range at least; a range holds the root of all documents if that is more.
+RANGE = 4000
 _UNITS = re.compile(rf"[^\n.!?]{{1,{BLOCK}}}[\n.!?]*|[\n.!?]+")
 _CHECK = np.uint64(0xA24BAED4963EE407)
 _SALT = np.uint64(0x9FB21C651E98DF25)
+_CELL = np.dtype([("count", "<i4"), ("key", "<u8"), ("check", "<u4")])
 
 
 def digests(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -47,6 +59,10 @@ def digests(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return common.mix(value + nth.astype(np.uint64) * _SALT), np.concatenate([[0], np.cumsum(count)])
 
 
+def _check(key: np.ndarray) -> np.ndarray:
+    return common.mix(key + _CHECK) & np.uint64(0xFFFFFFFF)
+
+
 def _cells(key: np.ndarray, sketch: np.ndarray, size: np.ndarray, base: np.ndarray, salt: int) -> np.ndarray:
     """(3, key) cell numbers: sketch s has 3 * size[s] cells from base[s]."""
     h = common.mix(key ^ common.mix(np.array([salt], np.uint64)))
@@ -61,7 +77,7 @@ def build(key: np.ndarray, sketch: np.ndarray, sign: np.ndarray, size: np.ndarra
     base = np.cumsum(3 * size) - 3 * size
     total = int(3 * size.sum())
     count, keys, checks = np.zeros(total, np.int64), np.zeros(total, np.uint64), np.zeros(total, np.uint64)
-    check = common.mix(key + _CHECK)
+    check = _check(key)
     for cell in _cells(key, sketch, size, base, salt):
         np.add.at(count, cell, sign)
         np.bitwise_xor.at(keys, cell, key)
@@ -75,7 +91,7 @@ def peel(count, keys, checks, base, size, salt: int = 0) -> tuple[np.ndarray, np
     found = []
     cells = np.flatnonzero(np.abs(count) == 1)
     while len(cells):
-        pure = cells[(np.abs(count[cells]) == 1) & (common.mix(keys[cells] + _CHECK) == checks[cells])]
+        pure = cells[(np.abs(count[cells]) == 1) & (_check(keys[cells]) == checks[cells])]
         if not len(pure):
             break
         sketch, key, sign = owner[pure], keys[pure], count[pure]
@@ -85,7 +101,7 @@ def peel(count, keys, checks, base, size, salt: int = 0) -> tuple[np.ndarray, np
         once[1:] = (key[1:] != key[:-1]) | (sketch[1:] != sketch[:-1])
         sketch, key, sign = sketch[once], key[once], sign[once]
         found.append((sketch, key, sign))
-        check, touched = common.mix(key + _CHECK), _cells(key, sketch, size, base, salt)
+        check, touched = _check(key), _cells(key, sketch, size, base, salt)
         for cell in touched:
             np.add.at(count, cell, -sign)
             np.bitwise_xor.at(keys, cell, key)
@@ -96,46 +112,86 @@ def peel(count, keys, checks, base, size, salt: int = 0) -> tuple[np.ndarray, np
     return *(np.concatenate([f[i] for f in found] or [none[i]]) for i in range(3)), left == 0
 
 
-def differences(key_a, at_a, key_b, at_b) -> np.ndarray:
-    """How many digests each pair of texts has apart, from subtracted sketches; always complete."""
-    pairs = len(at_a) - 1
-    out, open_ = np.zeros(pairs, np.int64), np.arange(pairs)
-    n_a, n_b = np.diff(at_a), np.diff(at_b)
-    owner_a, owner_b = np.repeat(np.arange(pairs), n_a), np.repeat(np.arange(pairs), n_b)
-    cells, salt = CELLS, 0
-    while len(open_):
-        place = np.full(pairs, -1)
-        place[open_] = np.arange(len(open_))
-        use_a, use_b = place[owner_a] >= 0, place[owner_b] >= 0
-        key = np.concatenate([key_a[use_a], key_b[use_b]])
-        sketch = np.concatenate([place[owner_a[use_a]], place[owner_b[use_b]]])
-        sign = np.concatenate([np.ones(use_a.sum(), np.int64), -np.ones(use_b.sum(), np.int64)])
-        size = np.full(len(open_), cells)
-        built = build(key, sketch, sign, size, salt)
-        got, _, _, done = peel(*built, size, salt)
-        out[open_] = np.where(done, np.bincount(got, minlength=len(open_)), 0)
-        open_ = open_[~done]
-        # beyond what both hold a larger sketch helps no more, only another salt
-        cells, salt = (cells * 4 if len(open_) and cells < 2 * int((n_a + n_b)[open_].max()) else cells), salt + 1
-    return out
-
-
-def likeness(key_a, at_a, key_b, at_b) -> np.ndarray:
-    """The share of each pair's digests that the two have in common; two empty texts are alike."""
-    total = np.diff(at_a) + np.diff(at_b)
-    apart = differences(key_a, at_a, key_b, at_b)
-    return np.where(total == 0, 1.0, 1 - apart / np.maximum(total, 1))
+def _first(level: int) -> int:
+    """Cells of all sketches below a level."""
+    return 3 * CELLS * (GROWTH**level - 1) // (GROWTH - 1)
 
 
 def written(key: np.ndarray, offsets: np.ndarray) -> list[str]:
-    """Stored fingerprints: paragraph count, then every cell's count, key and check in hex."""
-    n = len(offsets) - 1
-    count, keys, checks, _ = build(key, np.repeat(np.arange(n), np.diff(offsets)), np.ones(len(key), np.int64), np.full(n, CELLS))
-    rows = np.zeros((n, 3 * CELLS, 16), np.uint8)
-    rows[:, :, :4] = (count.reshape(n, -1) & 0xFFFFFFFF).astype("<u4")[:, :, None].view(np.uint8)
-    rows[:, :, 4:12] = keys.reshape(n, -1).astype("<u8")[:, :, None].view(np.uint8)
-    rows[:, :, 12:] = (checks.reshape(n, -1) & np.uint64(0xFFFFFFFF)).astype("<u4")[:, :, None].view(np.uint8)
-    return [f"{size:x}:{row.tobytes().hex()}" for size, row in zip(np.diff(offsets).tolist(), rows, strict=True)]
+    """Stored fingerprints: the number of digests, then the cells of every level in base 64."""
+    n = np.diff(offsets)
+    out, open_, level = [[] for _ in n], np.arange(len(n)), 0
+    while len(open_):
+        own, at = _picked(key, offsets, open_)
+        size = np.full(len(open_), CELLS * GROWTH**level)
+        count, keys, checks, base = build(own, np.repeat(np.arange(len(open_)), np.diff(at)), np.ones(len(own), np.int64), size, level)
+        cells = np.empty(len(count), _CELL)
+        cells["count"], cells["key"], cells["check"] = count, keys, checks
+        for i, row in zip(open_.tolist(), cells.reshape(len(open_), -1), strict=True):
+            out[i].append(row.tobytes())
+        done = n[open_] <= LOAD * size
+        *_, empty = peel(count, keys, checks, base, size, level)
+        open_, level = open_[~(done & empty)], level + 1
+    return [f"{size:x}:{base64.b64encode(b''.join(x)).decode()}" for size, x in zip(n.tolist(), out, strict=True)]
+
+
+def stored(prints: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(number of digests, number of levels, cells) of every stored fingerprint."""
+    parts = [p.split(":") for p in prints]
+    cells = [np.frombuffer(base64.b64decode(x), _CELL) for _, x in parts]
+    level = {_first(k): k for k in range(1, 24)}
+    return np.array([int(n, 16) for n, _ in parts], np.int64), np.array([level[len(c)] for c in cells], np.int64), cells
+
+
+def _alone(levels: np.ndarray, cells: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprint, digest) of everything that fingerprints hold, peeled from their last levels."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    for level in np.unique(levels).tolist():
+        own = np.flatnonzero(levels == level)
+        rows = np.concatenate([cells[i][_first(level - 1) :] for i in own])
+        sketch, key, _, done = _peeled(rows["count"].astype(np.int64), rows["key"].copy(), rows["check"].astype(np.uint64), len(own), level - 1)
+        if not done.all():
+            raise ValueError("a fingerprint is damaged")
+        found.append((own[sketch], key))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _peeled(count, keys, checks, sketches: int, level: int):
+    size = np.full(sketches, CELLS * GROWTH**level)
+    return peel(count, keys, checks, np.cumsum(3 * size) - 3 * size, size, level)
+
+
+def differences(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """How many digests the two stored fingerprints of each pair have apart, and how many they hold;
+    always complete, from the fingerprints alone."""
+    (n_a, level_a, cells_a), (n_b, level_b, cells_b) = stored(a), stored(b)
+    out, common_ = np.zeros(len(a), np.int64), np.minimum(level_a, level_b)
+    open_, level = np.arange(len(a)), 0
+    while (common_[open_] > level).any():
+        # no more digests than cells can be told from a sketch
+        tried = open_[(common_[open_] > level) & (np.abs(n_a - n_b)[open_] <= 3 * CELLS * GROWTH**level)]
+        if len(tried):
+            part = slice(_first(level), _first(level + 1))
+            x, y = (np.concatenate([cells[i][part] for i in tried]) for cells in (cells_a, cells_b))
+            got, _, _, done = _peeled(x["count"].astype(np.int64) - y["count"], x["key"] ^ y["key"], (x["check"] ^ y["check"]).astype(np.uint64), len(tried), level)
+            out[tried] = np.bincount(got, minlength=len(tried))
+            open_ = np.setdiff1d(open_, tried[done], assume_unique=True)
+        level += 1
+    if len(open_):
+        (doc_a, key_a), (doc_b, key_b) = (_alone(levels[open_], [cells[i] for i in open_]) for levels, cells in ((level_a, cells_a), (level_b, cells_b)))
+        doc, key = np.concatenate([doc_a, doc_b]), np.concatenate([key_a, key_b])
+        order = np.lexsort((key, doc))
+        doc, key = doc[order], key[order]
+        both = doc[1:][(doc[1:] == doc[:-1]) & (key[1:] == key[:-1])]
+        out[open_] = (n_a + n_b)[open_] - 2 * np.bincount(both, minlength=len(open_))
+    return out, n_a + n_b
+
+
+def likeness(a: list[str], b: list[str]) -> np.ndarray:
+    """The share of digests that the two stored fingerprints of each pair have in common; two of
+    empty texts are alike."""
+    apart, total = differences(a, b)
+    return np.where(total == 0, 1.0, 1 - apart / np.maximum(total, 1))
 
 
 def edited(text: str, other: str) -> str:
@@ -147,47 +203,42 @@ def edited(text: str, other: str) -> str:
 def _in_order(docs: DataFrame, parts: int) -> DataFrame:
     """Documents dealt into ranges of descending doc_id, each followed by the document after it.
 
-    Cuts come from the ids alone. The first document of every range is repeated at the end of the
-    range before it, and the first of all at the end of the last.
+    Ids and text hashes are sorted into ranges by themselves; their ends, two rows a range, deal out
+    the texts in one pass. The first document of every range is repeated at the end of the range
+    before it, and the first of all at the end of the last.
     """
-    spark = docs.sparkSession
-    key = F.xxhash64("text")
-    texts = common.body(docs).withColumn("key", key)
-    ids = docs.select("doc_id")
-    cuts = sorted(set(ids.select(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10_000)).head()[0] or [])) if parts > 1 else []
-    bucket = F.lit(0)
-    if cuts:
-        # two steps, so that a row looks at the root of the number of cuts twice
-        width = max(1, int(len(cuts) ** 0.5))
-        groups = [cuts[i : i + width] for i in range(0, len(cuts), width)]
-        heads, rows = F.array(*(F.lit(g[0]) for g in groups)), F.array(*(F.array(*(F.lit(c) for c in g)) for g in groups))
-        reached = lambda xs: F.coalesce(F.size(F.filter(xs, lambda c: c <= F.col("doc_id"))), F.lit(0))
-        group = reached(heads)
-        bucket = F.when(group == 0, F.lit(0)).otherwise((group - 1) * width + reached(F.get(rows, group - 1)))
-    dealt = texts.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(bucket).cast("int"))
-    tops = dealt.groupBy("bucket").agg(F.max(F.struct("doc_id", "key")).alias("top")).orderBy(F.desc("bucket")).collect()  # a row per range
-    if not tops:
-        return dealt.withColumn("extra", F.lit(0))
-    after = [(tops[(i + 1) % len(tops)]["top"]["doc_id"], tops[(i + 1) % len(tops)]["top"]["key"], t["bucket"]) for i, t in enumerate(tops)]
-    kind = dict(texts.dtypes)["doc_id"]
-    extra = spark.createDataFrame(after, f"top_id {kind}, top_key long, bucket int")
-    firsts = texts.join(F.broadcast(extra), F.col("doc_id").eqNullSafe(F.col("top_id")) & (F.col("key") == F.col("top_key"))).select("doc_id", "text", "key", "bucket", F.lit(1).alias("extra"))
-    every = dealt.withColumn("extra", F.lit(0)).unionByName(firsts)
+    texts = common.body(docs).withColumn("key", F.xxhash64("text"))
+    place = F.struct("doc_id", "key")
+    ranged = texts.select("doc_id", "key").repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "key")
+    ends = ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.min(place).alias("low"), F.max(place).alias("high")).toArrow()
+    ordered = lambda rows: sorted((r["doc_id"] is not None, r["doc_id"], r["key"]) for r in rows)
+    shared = common.shared(docs.sparkSession, (ordered(ends["low"].to_pylist()), ordered(ends["high"].to_pylist())))
+
+    @F.arrow_udf("array<int>")
+    def buckets(doc_id: pa.Array, key: pa.Array) -> pa.Array:
+        lows, highs = shared.value
+        out = []
+        for row in zip(doc_id.is_valid().to_pylist(), doc_id.to_pylist(), key.to_pylist(), strict=True):
+            own = bisect.bisect_right(lows, row) - 1
+            out.append([own, (own + 1) % len(lows)] if row == highs[own] else [own])
+        return pa.array(out, pa.list_(pa.int32()))
+
+    every = texts.select("doc_id", "text", "key", F.posexplode(buckets("doc_id", "key")).alias("extra", "bucket"))
     return every.repartition("bucket").sortWithinPartitions("bucket", "extra", F.desc_nulls_last("doc_id"), F.desc("key"))
 
 
-def fingerprints(docs: DataFrame, per_range: int = 4000) -> DataFrame:
+def fingerprints(docs: DataFrame, per_range: int | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    The next document is that of the next lower doc_id; after the last comes the first. Rows of
-    one doc_id are in the order of their texts' hashes, a NULL doc_id comes last; a document that is
-    alone is its own next. NULL and empty texts have no paragraph: two of them are alike (1), one
-    and another text are not (0). Repeated rows stay; other columns are ignored.
+    Likeness comes from the fingerprints returned. The next document is that of the next lower
+    doc_id (a number, text or date); after the last comes the first. Rows of one doc_id are in the
+    order of their texts' hashes, a NULL doc_id comes last; a document that is alone is its own next.
+    NULL and empty texts have no paragraph: two of them are alike (1), one and another text are not
+    (0). Repeated rows stay; other columns are ignored.
     """
     kind = dict(docs.dtypes)["doc_id"]
-    if kind == "string":
-        raise TypeError("doc_id must be a number")
-    parts = max(1, -(-docs.count() // per_range))
+    rows_ = docs.count()
+    parts = max(1, -(-rows_ // (per_range or max(RANGE, math.isqrt(rows_)))))
     ordered = _in_order(docs, parts).select("doc_id", "text", "bucket", "extra")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,21 +252,16 @@ def fingerprints(docs: DataFrame, per_range: int = 4000) -> DataFrame:
             # a document and the row after it; rows repeated at the end of a range have no own result
             own = [i for i in range(len(rows) - 1) if not rows[i][3]]
             changed = [edited(texts[i], texts[i + 1]) for i in own]
-            key, at = digests(texts)
-            key_e, at_e = digests(changed)
-            pick = np.array(own, np.int64)
-            key_a, at_a = _picked(key, at, pick)
-            key_n, at_n = _picked(key, at, pick + 1)
-            prints = written(key, at)
+            prints, prints_e = written(*digests(texts)), written(*digests(changed))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([rows[i][0] for i in own], batch.schema.field("doc_id").type),
                     pa.array([len(texts[i]) for i in own], pa.int64()),
                     pa.array([hashlib.sha256(c.encode()).hexdigest() for c in changed], pa.string()),
                     pa.array([prints[i] for i in own], pa.string()),
-                    pa.array(written(key_e, at_e), pa.string()),
-                    pa.array(likeness(key_a, at_a, key_e, at_e), pa.float64()),
-                    pa.array(likeness(key_a, at_a, key_n, at_n), pa.float64()),
+                    pa.array(prints_e, pa.string()),
+                    pa.array(likeness([prints[i] for i in own], prints_e), pa.float64()),
+                    pa.array(likeness([prints[i] for i in own], [prints[i + 1] for i in own]), pa.float64()),
                 ],
                 names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
             )
