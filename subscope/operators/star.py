@@ -92,12 +92,13 @@ def unknown_customers(rows: DataFrame, dim: DataFrame) -> DataFrame:
     return rows.select("customer_id").distinct().join(dim.select("customer_id"), "customer_id", "left_anti")
 
 
-def keyed(rows: DataFrame, dim: DataFrame) -> DataFrame:
+def keyed(rows: DataFrame, dim: DataFrame, lay_out_by: str | None = None) -> DataFrame:
     """Left lookup of the surrogate key (J2) where it is computed from the id: in place, without
     moving the fact; rows of unknown customers keep a NULL key.
 
     The ids that the dimension lacks are written first. Up to ``SENT`` of them go to every task,
-    more are joined.
+    more are joined. Rows that are to be laid out by a column are moved before they get their key,
+    so that hashes, which do not compress, do not travel.
     """
     spark = rows.sparkSession
     path = work_dir(spark, "unknown-customers")
@@ -108,32 +109,42 @@ def keyed(rows: DataFrame, dim: DataFrame) -> DataFrame:
     if count:
         rows = rows.join(F.broadcast(unknown) if count <= SENT else unknown, "customer_id", "left")
         known &= F.col("_unknown").isNull()
+    if lay_out_by:
+        rows = rows.hint("rebalance", lay_out_by)
     return rows.withColumn("customer_key", F.when(known, surrogate("customer_id"))).drop("_unknown")
 
 
 def fact(
-    rows: DataFrame, dim: DataFrame, spec: conform.Spec, month: str, flags: Sequence[str], dates: dict[str, str]
+    rows: DataFrame,
+    dim: DataFrame,
+    spec: conform.Spec,
+    month: str,
+    flags: Sequence[str],
+    dates: dict[str, str],
+    by_month: bool = False,
 ) -> DataFrame:
     """A fact table: the conformed columns and flags, the customer's key, a key for every date role
-    (``dates``: name by column), and the month that partitions it."""
+    (``dates``: name by column), and the month that partitions it; ``by_month`` lays it out by that
+    before any key is added."""
     own = [name for _, name, _ in spec]
-    return keyed(rows, dim).select(
+    rows = rows.withColumn("month_key", C.month_key(month))
+    return keyed(rows, dim, "month_key" if by_month else None).select(
         "customer_key",
         *own,
         *flags,
         *(C.date_key(column).alias(name) for column, name in dates.items()),
-        C.month_key(month).alias("month_key"),
+        "month_key",
     )
 
 
-def fact_billing(billing: DataFrame, dim: DataFrame) -> DataFrame:
+def fact_billing(billing: DataFrame, dim: DataFrame, by_month: bool = False) -> DataFrame:
     dates = {"billing_month": "billing_date_key", "payment_date": "payment_date_key"}
-    return fact(billing, dim, conform.BILLING_SPEC, "billing_month", ("is_paid", "is_late", "is_unpaid"), dates)
+    return fact(billing, dim, conform.BILLING_SPEC, "billing_month", ("is_paid", "is_late", "is_unpaid"), dates, by_month)
 
 
-def fact_complaints(complaints: DataFrame, dim: DataFrame) -> DataFrame:
+def fact_complaints(complaints: DataFrame, dim: DataFrame, by_month: bool = False) -> DataFrame:
     flags = ("is_critical", "is_escalated", "is_unresolved")
-    return fact(complaints, dim, conform.COMPLAINT_SPEC, "opened_at", flags, {"opened_at": "opened_date_key"})
+    return fact(complaints, dim, conform.COMPLAINT_SPEC, "opened_at", flags, {"opened_at": "opened_date_key"}, by_month)
 
 
 def fact_network_events(events: DataFrame, dim: DataFrame) -> DataFrame:

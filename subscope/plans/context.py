@@ -87,6 +87,8 @@ class StarModel:
     """The gold tables the measures read, by name, each looked up when it is needed."""
 
     table: Callable[[str], DataFrame]
+    #: The days of one fact or date role, where they can be had without the other facts.
+    days: Callable[[str], DataFrame] | None = None
 
     @staticmethod
     def of(warehouse) -> "StarModel":
@@ -97,7 +99,7 @@ class StarModel:
             "complaints": "fact_complaints",
             "network": "fact_network_cities",
         }
-        return StarModel(lambda name: warehouse.gold(names.get(name, name)))
+        return StarModel(lambda name: warehouse.gold(names.get(name, name)), warehouse.days)
 
     def fact(self, name: str, ctx: FilterContext = FilterContext()) -> DataFrame:
         return self.table(name).withColumn("_day", F.to_date(date_column(name, ctx)))
@@ -132,7 +134,8 @@ class StarModel:
         if ctx.anchor == "calendar":
             days = self.dates(ctx).select(F.col("full_date").alias("day"))
         elif ctx.anchor == "last_data":
-            days = self.table("fact_days").filter(F.col("fact") == ctx.date_roles.get(fact, fact))
+            role = ctx.date_roles.get(fact, fact)
+            days = self.days(role) if self.days else self.table("fact_days").filter(F.col("fact") == role)
             days = days.filter(ctx.in_range(F.col("day")))
         else:
             raise ValueError(f"unknown anchor {ctx.anchor!r}")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,13 @@ STAMPS = {
 }
 
 
+# Clean source and date column of every fact and date role that the calendar spans.
+DAYS = {
+    "billing": ("billing_clean", "billing_month"),
+    "payment": ("billing_clean", "payment_date"),
+    "complaints": ("complaints_clean", "opened_at"),
+    "network": ("network_events_clean", "event_timestamp"),
+}
 NETWORK_FACTS = ("fact_network_events", "fact_network_cabinets", "fact_network_cities")
 
 
@@ -65,12 +73,12 @@ class Warehouse:
         """A raw source as it arrives, not copied."""
         return self.raw_sources[name]()
 
-    def _table(self, layer, name, build, partition_by=()):
+    def _table(self, layer, name, build, partition_by=(), **how):
         if (layer, name) not in self._built:
             df = build()
             if name in STAMPS:
                 df = ingest.stamped(df, STAMPS[name])
-            self.store.write(df, layer, name, partition_by)
+            self.store.write(df, layer, name, partition_by, **how)
             self._built.add((layer, name))
         return self.store.read(layer, name)
 
@@ -134,12 +142,14 @@ class Warehouse:
             "fact_days": (self._fact_days, ()),
             "dim_date": (self._dim_date, ()),
             "fact_billing": (
-                lambda: star.fact_billing(self.silver("billing_clean"), self.gold("dim_customer")),
+                lambda: star.fact_billing(
+                    self.silver("billing_clean"), self.gold("dim_customer"), by_month=True
+                ),
                 monthly,
             ),
             "fact_complaints": (
                 lambda: star.fact_complaints(
-                    self.silver("complaints_clean"), self.gold("dim_customer")
+                    self.silver("complaints_clean"), self.gold("dim_customer"), by_month=True
                 ),
                 monthly,
             ),
@@ -181,7 +191,8 @@ class Warehouse:
             ),
         }
         build, partition_by = builders[name]
-        return self._table("gold", name, build, partition_by)
+        # both facts are laid out by month before they get their keys
+        return self._table("gold", name, build, partition_by, rebalance=False)
 
     def encoded(self) -> churn.Prepared:
         """The split and encoding that all models share."""
@@ -201,15 +212,15 @@ class Warehouse:
             self._runs = churn.fits(self.encoded(), trees, depth, max_iter)
         return {n: self._table("gold", n, build) for n, build in published.items()}
 
+    def days(self, fact: str) -> DataFrame:
+        """The days of one fact or date role. A fact has the rows and dates of its clean source, which
+        is read instead, so that an anchor or the calendar lays out no fact by month."""
+        source, column = DAYS[fact]
+        build = lambda: calendars.fact_days({fact: (self.silver(source), column)})
+        return self._table("gold", f"fact_days_{fact}", build)
+
     def _fact_days(self) -> DataFrame:
-        return calendars.fact_days(
-            {
-                "billing": (self.gold("fact_billing"), "billing_month"),
-                "payment": (self.gold("fact_billing"), "payment_date"),
-                "complaints": (self.gold("fact_complaints"), "opened_at"),
-                "network": (self.gold("fact_network_events"), "event_timestamp"),
-            }
-        )
+        return reduce(DataFrame.unionByName, [self.days(fact) for fact in DAYS])
 
     def _dim_date(self) -> DataFrame:
         return calendars.date_dimension(calendars.spine_over([(self.gold("fact_days"), "day")]))

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from checks import measure_registry, registry
 from subscope.operators import conform, enrich, kpi, rollup, star
-from subscope.plans import dashboards
+from subscope.plans import dashboards, warehouse
 from subscope.plans import measures as M
-from subscope.plans.context import FilterContext
+from subscope.plans.context import FilterContext, StarModel
+from subscope.sources import tables
+from subscope.store import LayerStore
 
 assert measure_registry
 
@@ -204,3 +206,25 @@ def test_payment_dates_replace_billing_months(model, plan):
 def test_shares_of_a_parent_read_the_rows_once(model, plan):
     text = plan(dashboards.q8_priority_status(model))
     assert text.count("FileScan") == 1
+
+
+def test_an_anchor_or_calendar_lays_out_no_fact(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path), "anchor_only")
+    own = warehouse.Warehouse(spark, tables.raw_frames(spark, "/root/testdata/sf0.001"), store, "sha2")
+    day = StarModel.of(own).anchor_day(FilterContext(), "complaints")
+    assert {name for _, name in own._built} == {"complaints_judged", "fact_days_complaints"}
+    assert day == own.silver("complaints_clean").agg(F.max(F.to_date("opened_at"))).first()[0]
+    days = own.gold("dim_date").count()
+    assert not {"fact_billing", "fact_complaints", "network_placed", "dim_customer"} & {name for _, name in own._built}
+    last = own.gold("fact_days").agg(F.max("day"), F.min("day")).first()
+    assert days == (last[0] - last[1]).days + 1
+
+
+def test_facts_move_to_their_month_without_keys(wh, plan):
+    df = star.fact_billing(wh.silver("billing_clean"), wh.gold("dim_customer"), by_month=True)
+    moved = [line for line in plan(df).splitlines() if "Exchange hashpartitioning(month_key" in line]
+    assert len(moved) == 1
+    below = plan(df).split(moved[0])[1]
+    assert "xxhash64" not in below and "billing_date_key" not in below and "month_key" in below
+    plain = star.fact_billing(wh.silver("billing_clean"), wh.gold("dim_customer"))
+    assert df.exceptAll(plain).count() == plain.exceptAll(df).count() == 0
