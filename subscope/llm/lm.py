@@ -14,12 +14,13 @@ The predictors' logits are added with weights that a gate selects (how well the
 are known), the weights are learned online, block after block of bits, and an adaptive map corrects
 the mixed probability at last. The bits' costs add up to the probability of the text.
 
-Counts grow with the corpus and are added in 64 bits; the tables have a fixed size. Topics and byte
-code are fitted on a bounded sample, and weights and map start there. Then a fixed share of all
-training documents, dealt into groups by hash, goes on learning online, a task a group; the groups'
-weights are averaged by the bits they saw and their maps' counts are added, exactly, so that neither
-the order nor the partitions of the input matter. A training document's own bits are taken out of
-the counts that predict them.
+Counts grow with the corpus and are added in 64 bits; the tables have a fixed size. The byte code
+comes from the bytes of all training words. Topics, weights and map start from a bounded sample, then
+all training documents teach them: topics by rounds of expectation-maximisation, weights and map
+online, in groups dealt out by hash, a task a group; the groups' weights are averaged by the bits
+they saw and their maps' counts are added. All sums are exact, so that neither the order nor the
+partitions of the input matter. A training document's own bits are taken out of the counts that
+predict them.
 """
 
 from __future__ import annotations
@@ -35,11 +36,12 @@ from pyspark.sql import functions as F
 
 from subscope.llm import common
 
-#: Training documents that fit topics and byte code and start weights and map at most, and their
-#: longest text.
+#: Training documents from which topics, weights and map start at most, and their longest text.
 SAMPLE, SAMPLE_CHARS = 600, 20_000
-#: One training document in so many goes on learning weights and map, in groups of about so many.
-SHARE, GROUP = 64, 256
+#: Rounds in which all training documents fit the topics.
+ROUNDS = 2
+#: One training document in so many learns weights and map (1: all of them), in groups of about so many.
+SHARE, GROUP = 1, 4096
 #: Bits that a task counts before it hands its tables on.
 HANDED = 1 << 30
 #: Most frequent words that every task knows for the base score, and those that are leaves, if they
@@ -121,11 +123,13 @@ class Code:
 class Setting:
     """What training and scoring share: leaves, codes and topics."""
 
-    def __init__(self, words: pa.Array, times: np.ndarray, rest: int, ends: int, sample: pa.Array):
+    def __init__(self, words: pa.Array, times: np.ndarray, rest: int, ends: int, sample: pa.Array, symbols: np.ndarray | None = None):
         self.words = words
         self.tree = Code(np.concatenate([times, [rest, ends]]))
-        data, _ = _raw(pc.ascii_lower(sample))
-        self.bytes = Code(np.bincount(data, minlength=256) + np.bincount([_BLANK], minlength=256) * max(1, len(data) // 8))
+        if symbols is None:
+            data, _ = _raw(pc.ascii_lower(sample))
+            symbols = np.bincount(data, minlength=256) + np.bincount([_BLANK], minlength=256) * max(1, len(data) // 8)
+        self.bytes = Code(symbols)
         self.topics = np.zeros((len(words) + 2, TOPICS), np.float32)
         self.prior = np.zeros(TOPICS, np.float32)
         self._learn_topics(sample)
@@ -145,8 +149,7 @@ class Setting:
             for _ in range(40):
                 mass = np.stack([np.bincount(leaf, weights=times * share[text, k], minlength=len(self.words) + 2) for k in range(TOPICS)], 1)
                 average = mass.sum(1, keepdims=True) / max(1, mass.sum())
-                rate = np.log((mass + 20 * average + 1e-9) / (mass.sum(0) + 20 + 1e-9 * len(mass)))
-                prior = np.log((share.sum(0) + 1) / (len(share) + TOPICS))
+                rate, prior = _rates(mass, average, share.sum(0), len(share))
                 score = np.stack([np.bincount(text, weights=times * rate[leaf, k], minlength=len(per_text)) for k in range(TOPICS)], 1) + prior
                 top = score.max(1, keepdims=True)
                 share = np.exp(score - top)
@@ -163,6 +166,62 @@ class Setting:
         return pc.index_in(words, value_set=self.words.cast(words.type)).fill_null(len(self.words)).to_numpy().astype(np.int64)
 
 
+def _rates(mass: np.ndarray, average: np.ndarray, share: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Log rates of the leaves in each topic, and log shares of the topics."""
+    rate = np.log((mass + 20 * average + 1e-9) / (mass.sum(0) + 20 + 1e-9 * len(mass)))
+    return rate, np.log((share + 1) / (texts + TOPICS))
+
+
+#: Parts of one that a text's shares in the topics are added up in.
+_PARTS = 1 << 16
+
+
+def _parted(shared):
+    """What a partition's texts give to (leaf, topic), as whole numbers; the leaf -1 stands for the
+    texts themselves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        setting: Setting = shared.value
+        leaves = len(setting.words) + 2
+        mass, share_of = np.zeros((leaves, TOPICS), np.int64), np.zeros(TOPICS, np.int64)
+        for part in common.slices(batches):
+            words, number, per_text = tokens(part.column("text"))
+            leaf = setting.leaves(words)[number]
+            text = np.repeat(np.arange(len(per_text)), per_text)
+            gain = setting.topics[leaf].astype(np.float64)
+            score = np.stack([np.bincount(text, weights=gain[:, k], minlength=len(per_text)) for k in range(TOPICS)], 1) + setting.prior
+            share = np.exp(score - score.max(1, keepdims=True))
+            share = np.rint(share / share.sum(1, keepdims=True) * _PARTS)
+            share_of += share.sum(0).astype(np.int64)
+            for k in range(TOPICS):
+                mass[:, k] += np.bincount(leaf, weights=share[text, k], minlength=leaves).astype(np.int64)
+        used = np.flatnonzero(mass.any(1))
+        rows = np.concatenate([mass[used], share_of[None]])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(used, -1), pa.int32()), *(pa.array(rows[:, k]) for k in range(TOPICS))], names=["leaf", *(f"m{k}" for k in range(TOPICS))]
+        )
+
+    return run
+
+
+def fit_topics(train: DataFrame, setting: Setting) -> None:
+    """Rounds of expectation-maximisation over all training documents, from the sample's topics."""
+    if not setting.topics.any():
+        return
+    names = [f"m{k}" for k in range(TOPICS)]
+    for _ in range(ROUNDS):
+        known = common.shared(train.sparkSession, setting)
+        parts = train.select("text").mapInArrow(_parted(known), "leaf int, " + ", ".join(f"{n} long" for n in names))
+        added = parts.groupBy("leaf").agg(*[F.sum(n).alias(n) for n in names]).toArrow()  # a row for each leaf
+        known.unpersist()
+        leaf, sums = added["leaf"].to_numpy(), np.stack([added[n].to_numpy() for n in names], 1) / _PARTS
+        mass = np.zeros((len(setting.words) + 2, TOPICS))
+        mass[leaf[leaf >= 0]] = sums[leaf >= 0]
+        share = sums[leaf < 0].sum(0)
+        rate, prior = _rates(mass, mass.sum(1, keepdims=True) / max(1, mass.sum()), share, share.sum())
+        setting.topics, setting.prior = (rate - rate.mean(1, keepdims=True)).astype(np.float32), prior.astype(np.float32)
+
+
 class Bits:
     """The bits of a few texts' tokens, ends put in: token by token, tree bits then byte bits."""
 
@@ -347,7 +406,7 @@ class Learned:
                 continue
             inputs, known = [np.ones(len(bit))], []
             for table, slot in zip(counts, slots, strict=True):
-                zero, one = table[2 * slot].astype(np.float64), table[2 * slot + 1].astype(np.float64)
+                zero, one = table.take(2 * slot), table.take(2 * slot + 1)
                 # the text is part of the counts: what predicts a bit has not seen that bit
                 zero, one = np.maximum(zero - (bit == 0), 0), np.maximum(one - (bit == 1), 0)
                 inputs.append(_logit(zero, one))
@@ -420,13 +479,13 @@ def _taught(shared):
 
 
 def learned(train: DataFrame, setting: Setting, counts: list[np.ndarray], start: Learned) -> Learned:
-    """The start and a share of all training documents (columns doc_id, text), learned in groups."""
+    """What all training documents (columns doc_id, text) teach from the start on, in groups."""
     spark = train.sparkSession
     chosen = train.select("text", F.xxhash64("doc_id", "text").alias("h")).where(F.pmod("h", F.lit(SHARE)) == 0)
     groups = max(1, chosen.count() // GROUP)
     known = common.shared(spark, (setting, counts, start))
     rows = chosen.repartition(groups, "h").sortWithinPartitions("h", "text").select("text").mapInArrow(_taught(known), "place int, amount long")
-    total = start.sums()
+    total = np.zeros_like(start.sums())
     added = rows.groupBy("place").agg(F.sum("amount").alias("amount")).toArrow()  # as many rows as the model has numbers
     total[added["place"].to_numpy()] += added["amount"].to_numpy()
     known.unpersist()
@@ -505,6 +564,17 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([words.take(pa.array(used)).cast(pa.string()), pa.array(times[used], pa.int64())], names=["word", "times"])
 
 
+def _symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes of counted words, a blank after each."""
+    total = np.zeros(256, np.int64)
+    for batch in batches:
+        data, offsets = _raw(batch.column("word"))
+        times = batch.column("times").to_numpy()
+        total += np.bincount(data, weights=np.repeat(times, np.diff(offsets)), minlength=256).astype(np.int64)
+        total[_BLANK] += times.sum()
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(256), pa.int32()), pa.array(total)], names=["symbol", "times"])
+
+
 def _scored(model, frequent, total: tuple[int, int, int]):
     ends, all_, distinct = total
     floor = np.log10(all_ + 0.5 * (distinct + 1))
@@ -569,7 +639,11 @@ def scores(docs: DataFrame, parts: int = 5, held: int = 1) -> DataFrame:
     picked = train.where(F.char_length("text") <= SAMPLE_CHARS).select("doc_id", F.xxhash64("doc_id").alias("h"), "text").orderBy("h", "doc_id", "text").limit(SAMPLE).collect()
     sample = pa.array([r["text"] for r in picked], pa.large_string())
     leaves = frequent[1][:LEAVES][frequent[1][:LEAVES] >= LEAST]
-    setting = Setting(frequent[0].slice(0, len(leaves)), leaves, words - int(leaves.sum()), ends, sample)
+    found = counts.mapInArrow(_symbols, "symbol int, times long").groupBy("symbol").agg(F.sum("times").alias("times")).toArrow()  # 256 rows
+    symbols = np.zeros(256, np.int64)
+    symbols[found["symbol"].to_numpy()] = found["times"].to_numpy()
+    setting = Setting(frequent[0].slice(0, len(leaves)), leaves, words - int(leaves.sum()), ends, sample, symbols)
+    fit_topics(train, setting)
     gathered = train.select("text").mapInArrow(_gather(common.shared(spark, setting)), "table int, block int, counts binary")
     added = gathered.repartition("table", "block").sortWithinPartitions("table", "block").mapInArrow(_added, "table int, block int, counts binary")
     # sums are exact; what a model sees of them has the seven digits of a 32-bit float

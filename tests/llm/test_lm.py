@@ -180,3 +180,24 @@ def test_learning_goes_over_all_partitions_and_does_not_depend_on_them(spark, mo
         seen.append(one.bits.sum())
     bits = lm.Bits(setting, *lm.tokens(pa.array([t for _, t in cases.texts_of(docs)], pa.large_string())))
     assert seen[1] == len(bits.tree(slice(0, None))[1]) + len(bits.spelled(slice(0, None))[1]) and 0 < seen[0] < seen[1]
+
+
+def test_all_training_documents_teach(spark, monkeypatch):
+    # one document in the sample: the others are where topics, bytes, weights and map come from
+    rng = np.random.default_rng(3)
+    rows = [(k, " ".join(f"{'ab'[k % 2]}{w}" for w in rng.integers(0, 40, 60))) for k in range(200)]
+    train = spark.createDataFrame(rows, "doc_id long, text string")
+    vocabulary = [f"{c}{w}" for c in "ab" for w in range(40)]
+    sample = pa.array([t for _, t in rows[:20]], pa.large_string())
+    setting = lm.Setting(pa.array(vocabulary), np.full(80, 150), 1, 200, sample, np.bincount([97, 98, 32], minlength=256))
+    before = setting.topics.copy()
+    lm.fit_topics(train, setting)
+    assert not np.array_equal(before, setting.topics)
+    again = lm.Setting(pa.array(vocabulary), np.full(80, 150), 1, 200, sample, np.bincount([97, 98, 32], minlength=256))
+    lm.fit_topics(train.repartition(5), again)
+    assert np.array_equal(again.topics, setting.topics) and np.array_equal(again.prior, setting.prior)
+    counts = [np.zeros(2 << size, np.float32) for _, size in lm.TABLES]
+    bits = lm.Bits(setting, *lm.tokens(pa.array([t for _, t in rows], pa.large_string())))
+    lessons = lm.learned(train, setting, counts, lm.Learned())
+    seen = [sum(len((bits.spelled if tree else bits.tree)(piece)[1]) for piece in bits.pieces()) for tree in range(2)]
+    assert [round(n) for n in lessons.bits.sum(1)] == seen  # every bit of every document, once
