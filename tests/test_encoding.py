@@ -81,3 +81,18 @@ def test_split_reads_its_input_once(spark):
     split = stats.stratified_split(df, "y", "k")
     assert {r["y"]: r["n"] for r in split.groupBy("y").agg(F.sum("is_test").alias("n")).collect()} == {0: 67, 1: 67, 2: 67}
     assert seen.value == 1000
+
+
+def test_a_forest_that_keeps_reached_nodes_grows_the_same_trees(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    from subscope.plans import churn
+
+    columns = [F.randn(k).alias(f"x{k}") for k in range(4)]
+    rows = spark.range(0, 600, 1, 3).select((F.rand(9) < 0.3).cast("int").alias(churn.LABEL), F.lit(1.5).alias("weight"), *columns)
+    rows = VectorAssembler(inputCols=[f"x{k}" for k in range(4)], outputCol="features").transform(rows)
+    forest = churn.random_forest(5, 4)
+    assert forest.getCacheNodeIds()
+    kept, walked = forest.fit(rows), forest.copy({forest.cacheNodeIds: False}).fit(rows)
+    text = lambda model: model.toDebugString.split("\n", 1)[1]  # noqa: E731 - the first line names the model
+    assert text(kept) == text(walked)
