@@ -183,7 +183,7 @@ def test_learning_goes_over_all_partitions_and_does_not_depend_on_them(spark, mo
 
 
 def test_all_training_documents_teach(spark, monkeypatch):
-    # one document in the sample: the others are where topics, bytes, weights and map come from
+    # 20 documents in the sample: all of them are where topics, bytes, weights and map come from
     rng = np.random.default_rng(3)
     rows = [(k, " ".join(f"{'ab'[k % 2]}{w}" for w in rng.integers(0, 40, 60))) for k in range(200)]
     train = spark.createDataFrame(rows, "doc_id long, text string")
