@@ -88,7 +88,7 @@ def _csv(w, raw: str, name: str) -> str:
 
 def _json(w, raw: str, name: str) -> str:
     df = w.raw(raw)
-    return _written(w, name, lambda p: df.drop(ingest.VERSION).write.json(p))
+    return _written(w, name, lambda p: df.drop(ingest.VERSION).write.json(p, compression="gzip"))
 
 
 add(
@@ -317,10 +317,10 @@ def _landed(w) -> Landing:
     ]:
         df = w.raw(table).drop(ingest.VERSION)
         if kind == "csv":
-            options = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss", "ignoreTrailingWhiteSpace": False}
+            options = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss", "ignoreTrailingWhiteSpace": False, "compression": "gzip"}
             df.write.options(**options).csv(f"{folder}/{name}")
         else:
-            df.write.json(f"{folder}/{name}")
+            df.write.json(f"{folder}/{name}", compression="gzip")
     return Landing(w.spark, folder, _scratch(w)).ingest()
 
 

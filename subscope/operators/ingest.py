@@ -11,7 +11,9 @@ from subscope.functions import columns as C
 
 # Name under which a row sorts as newer; written once per batch, per micro-batch in a stream.
 VERSION = "_ingestion_timestamp"
-METADATA = ("_source_system", "_source_file", VERSION, "_batch_id", "_record_hash")
+# What the rows of one key have in common, for a source whose rows lie together by it already.
+PLACE = "_place"
+METADATA = (PLACE, "_source_system", "_source_file", VERSION, "_batch_id", "_record_hash")
 
 
 def new_batch_id() -> str:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscope.functions import columns as C
+from subscope.operators.ingest import PLACE
 
 EVENT_TYPES = {
     "view": "Normal",
@@ -89,7 +90,8 @@ def customers_raw(customer: DataFrame) -> DataFrame:
     )
 
 
-def billing_raw(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+def billing_raw(lineitem: DataFrame, orders: DataFrame, placed: bool = False) -> DataFrame:
+    """Invoices. ``placed`` adds the order that an invoice's id names, by which the join lays rows out."""
     price, part = _cents("l_extendedprice"), F.col("l_partkey")
     usage = F.when(part % 100 == 0, -price).otherwise(price)
     discount = F.when(part % 101 != 0, F.floor(price * _cents("l_discount") / 100))
@@ -110,6 +112,7 @@ def billing_raw(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         status.alias("payment_status"),
         F.when(F.col("l_returnflag") != "R", paid_on).alias("payment_date"),
         F.to_date("l_shipdate").alias("_ingestion_timestamp"),
+        *([F.col("l_orderkey").alias(PLACE)] if placed else []),
     )
 
 
@@ -162,11 +165,13 @@ def network_events_raw(
 
 
 def raw_frames(spark: SparkSession, folder: str) -> dict[str, Callable[[], DataFrame]]:
-    """The four raw sources of a folder of parquet tables, each built when it is asked for."""
+    """The four raw sources of a folder of parquet tables, each built when it is asked for; invoices also
+    with their place."""
     read = lambda name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
     return {
         "customers_raw": lambda: customers_raw(read("customer")),
         "billing_raw": lambda: billing_raw(read("lineitem"), read("orders")),
+        "billing_placed": lambda: billing_raw(read("lineitem"), read("orders"), placed=True),
         "complaints_raw": lambda: complaints_raw(read("orders")),
         "network_events_raw": lambda: network_events_raw(
             read("events"), read("customer"), read("nation"), read("region")

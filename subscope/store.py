@@ -21,6 +21,8 @@ LAYERS = {
     "silver": "Conformed records and per-customer summaries",
     "gold": "Star schema, scores and KPIs",
 }
+#: How written tables are compressed: record hashes are long and written as digits.
+CODEC = "zstd"
 
 
 class Sink(NamedTuple):
@@ -90,7 +92,7 @@ class LayerStore:
         sinks = dict(sinks or {})
         counts = [F.count_if(F.expr(sink.condition)).alias(f"rows_{k}") for k, sink in enumerate(sinks.values())]
         df, seen = quality.audited(df, f"{table}_v{version}", counts)
-        writer = df.write.mode("overwrite").format(self.fmt)
+        writer = df.write.mode("overwrite").format(self.fmt).option("compression", CODEC)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(target)
@@ -108,7 +110,7 @@ class LayerStore:
         if not versions:
             return self.write(df, layer, table)
         target = f"{self.name(layer, table)}__v{versions[-1]}"
-        df.write.mode("append").format(self.fmt).saveAsTable(target)
+        df.write.mode("append").format(self.fmt).option("compression", CODEC).saveAsTable(target)
         return self.read(layer, table)
 
     def backup_if_absent(self, layer: str, table: str, label: str, renew: bool = False) -> DataFrame:

@@ -1,5 +1,7 @@
 """What the physical plans must and must not contain, and how hot keys are split."""
 
+import datetime
+import hashlib
 import re
 
 import pytest
@@ -228,3 +230,33 @@ def test_facts_move_to_their_month_without_keys(wh, plan):
     assert "xxhash64" not in below and "billing_date_key" not in below and "month_key" in below
     plain = star.fact_billing(wh.silver("billing_clean"), wh.gold("dim_customer"))
     assert df.exceptAll(plain).count() == plain.exceptAll(df).count() == 0
+
+
+def test_invoices_keep_the_layout_of_their_join(spark, plan):
+    items = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz"
+    day = datetime.datetime(1997, 3, 4)
+    lineitem = spark.createDataFrame([(o, n, 7, 3, 5.0, float(p), 0.1, 0.0, "N", day) for o, n, p in [(1, 1, 10), (1, 2, 20), (1, 1, 30), (11, 1, 40), (2, None, 50), (2, None, 50), (None, 1, 60), (9, 1, 70)]], items)
+    orders = spark.createDataFrame([(1, 5), (11, 5), (2, None), (2, 6), (None, 7)], "o_orderkey long, o_custkey long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        own = conform.billing_candidates(tables.billing_raw(lineitem, orders, placed=True))
+        plain = conform.billing_candidates(tables.billing_raw(lineitem, orders))
+        assert own.columns == plain.columns and own.count() == 4
+        assert own.exceptAll(plain).count() == plain.exceptAll(own).count() == 0
+        moved = lambda df: plan(df).count("Exchange hashpartitioning")
+        assert moved(plain) == 3 and moved(own) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "_place" not in tables.billing_raw(lineitem, orders).columns
+
+
+def test_record_hashes_travel_as_bytes_in_the_order_of_their_digits(spark, plan):
+    rows = [(k, hashlib.sha256(f"{k} {v}".encode()).hexdigest(), v) for k in range(5) for v in range(4)]
+    rows += [(9, "b", 0), (9, "aa", 1), (8, None, 0), (8, "0" * 64, 1), (7, "z" * 64, 0), (7, "y" * 64, 1)]
+    df = spark.createDataFrame([(k, h, v, day) for k, h, v in rows for day in [datetime.datetime(2024, 1, 1)]], "k long, _record_hash string, v long, _ingestion_timestamp timestamp")
+    got = {r.k: r.v for r in conform.latest(df, ["k"]).collect()}
+    assert got == {k: min((h or "", v) for j, h, v in rows if j == k)[1] for k in {r[0] for r in rows}}
+    text = plan(conform.latest(df, ["k"]).select("k", "v"))
+    above = text[: text.index("Exchange")]
+    assert "unhex" not in above and "_record_hash" not in above

@@ -1,10 +1,12 @@
 import json
 import os
+import pathlib
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import registry
 from subscope.operators import ingest, quality, stats
 from subscope.session import work_dir
 from subscope.sources import files, schemas
@@ -196,3 +198,14 @@ def test_files_flow_to_executive_kpis(spark, wh, tmp_path, store):
     landing.ingest()
     assert landing.bronze("network_events_raw").count() == events, "a second run reads no file twice"
     assert store.versions("bronze", "customers_raw") == [1, 2]
+
+
+def test_tables_and_landing_files_are_compressed(spark, wh, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "store"), "compressed").create_layers()
+    store.write(spark.range(10), "gold", "t")
+    store.append(spark.range(3), "gold", "t")
+    written = [p.name for p in (tmp_path / "store").rglob("part-*")]
+    assert written and all(".zstd." in name for name in written) and store.read("gold", "t").count() == 13
+    path = registry._json(wh, "billing_raw", "billing")
+    assert all(p.name.endswith(".json.gz") for p in pathlib.Path(path).glob("part-*"))
+    assert files.billing(spark, path).count() == wh.raw("billing_raw").count()
