@@ -371,6 +371,19 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _restored(kind: str, packed: list[list[tuple[bytes, int]]]) -> Tables:
+    return Tables(np.concatenate([np.frombuffer(_CODEC.decompress(x, size, asbytes=True), kind) for x, size in own]) for own in packed)
+
+
+class Tables(list):
+    """Tables of one kind of number that travel and lie on disk packed: every executor keeps its own file
+    of what is sent to it, and most slots are empty until the corpus is large."""
+
+    def __reduce__(self):
+        cut = [[np.ascontiguousarray(t[a : a + 64 * BLOCK]) for a in range(0, len(t), 64 * BLOCK)] for t in self]
+        return _restored, (self[0].dtype.str, [[(_CODEC.compress(x.tobytes(), asbytes=True), x.nbytes) for x in own] for own in cut])
+
+
 def _logit(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
     return np.clip(np.log((one + 0.4) / (zero + 0.4)), -10.5, 10.5)
 
@@ -483,7 +496,7 @@ def learned(train: DataFrame, setting: Setting, counts: list[np.ndarray], start:
     spark = train.sparkSession
     chosen = train.select("text", F.xxhash64("doc_id", "text").alias("h")).where(F.pmod("h", F.lit(SHARE)) == 0)
     groups = max(1, chosen.count() // GROUP)
-    known = common.shared(spark, (setting, counts, start))
+    known = common.shared(spark, (setting, Tables(counts), start))
     rows = chosen.repartition(groups, "h").sortWithinPartitions("h", "text").select("text").mapInArrow(_taught(known), "place int, amount long")
     total = np.zeros_like(start.sums())
     added = rows.groupBy("place").agg(F.sum("amount").alias("amount")).toArrow()  # as many rows as the model has numbers
@@ -498,7 +511,7 @@ class Mixer:
     def __init__(self, setting: Setting, counts: list[np.ndarray], lessons: Learned):
         self.setting = setting
         self.weights, self.map = lessons.weights, lessons.map()
-        self.tables = []
+        self.tables = Tables()
         for table in counts:
             zero, one = table[::2].astype(np.float64), table[1::2].astype(np.float64)
             logit = np.rint(_logit(zero, one) * 12).astype(np.int16) + 128

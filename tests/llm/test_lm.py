@@ -1,5 +1,6 @@
 import collections
 import math
+import pickle
 import re
 import zlib
 
@@ -201,3 +202,16 @@ def test_all_training_documents_teach(spark, monkeypatch):
     lessons = lm.learned(train, setting, counts, lm.Learned())
     seen = [sum(len((bits.spelled if tree else bits.tree)(piece)[1]) for piece in bits.pieces()) for tree in range(2)]
     assert [round(n) for n in lessons.bits.sum(1)] == seen  # every bit of every document, once
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.uint16])
+def test_tables_travel_packed(kind):
+    tables = lm.Tables(np.zeros(2 << size, kind) for _, size in lm.TABLES)
+    spots = np.random.default_rng(1).integers(0, 1 << 18, 1000)
+    for table in tables:
+        table[spots] = spots % 60_000
+    sent = pickle.dumps(tables)
+    assert len(sent) < 1 << 20 < sum(t.nbytes for t in tables)
+    back = pickle.loads(sent)
+    assert isinstance(back, lm.Tables) and len(back) == len(tables)
+    assert all(a.dtype == b.dtype and (a == b).all() for a, b in zip(tables, back, strict=True))
