@@ -213,7 +213,7 @@ def fit_topics(train: DataFrame, setting: Setting) -> None:
         known = common.shared(train.sparkSession, setting)
         parts = train.select("text").mapInArrow(_parted(known), "leaf int, " + ", ".join(f"{n} long" for n in names))
         added = parts.groupBy("leaf").agg(*[F.sum(n).alias(n) for n in names]).toArrow()  # a row for each leaf
-        known.unpersist()
+        known.destroy()
         leaf, sums = added["leaf"].to_numpy(), np.stack([added[n].to_numpy() for n in names], 1) / _PARTS
         mass = np.zeros((len(setting.words) + 2, TOPICS))
         mass[leaf[leaf >= 0]] = sums[leaf >= 0]
@@ -501,7 +501,7 @@ def learned(train: DataFrame, setting: Setting, counts: list[np.ndarray], start:
     total = np.zeros_like(start.sums())
     added = rows.groupBy("place").agg(F.sum("amount").alias("amount")).toArrow()  # as many rows as the model has numbers
     total[added["place"].to_numpy()] += added["amount"].to_numpy()
-    known.unpersist()
+    known.destroy()
     return Learned.of(start, total)
 
 

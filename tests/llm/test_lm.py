@@ -1,5 +1,6 @@
 import collections
 import math
+import os
 import pickle
 import re
 import zlib
@@ -215,3 +216,13 @@ def test_tables_travel_packed(kind):
     back = pickle.loads(sent)
     assert isinstance(back, lm.Tables) and len(back) == len(tables)
     assert all(a.dtype == b.dtype and (a == b).all() for a, b in zip(tables, back, strict=True))
+
+
+def test_what_training_sends_leaves_no_file(spark, monkeypatch):
+    sent, shared = [], lm.common.shared
+    monkeypatch.setattr(lm.common, "shared", lambda *args: sent.append(shared(*args)) or sent[-1])
+    docs = spark.createDataFrame([(k, f"a{k % 5} b c{k % 3}") for k in range(60)], "doc_id long, text string")
+    setting, sample = small_model([f"a{k % 5} b c{k % 3}" for k in range(60)])
+    lm.fit_topics(docs, setting)
+    lm.learned(docs, setting, counted(setting, sample), lm.Learned())
+    assert sent and not any(os.path.exists(b._path) for b in sent)
