@@ -20,7 +20,9 @@ are accumulated over all their columns, a block of pairs at a time, exactly.
 Connected rows need no expansion into all pairs: the first product pairs every row of a column with
 the column's hub (the row with the fewest rare columns). Rows that this links are contracted. The
 second product pairs what is still apart within a column, outside the column's largest component
-against all of it, so that no link between components is missed.
+against all of it, so that no link between components is missed. Near rows share most columns: a pair
+is left to an earlier shared column where the columns just before this one in both rows hold one, so
+it is met about once and not once a column.
 """
 
 from __future__ import annotations
@@ -57,6 +59,8 @@ NARROW = 400
 SENT = 1_000_000
 #: N-grams that one block of the counting pass holds.
 BLOCK = 1 << 21
+#: Columns of a row before each that tell whether a pair has met already.
+BEFORE = 4
 #: Parts over which a block's rows are spread at least before the hubs of the parts meet, and rows of
 #: the table for each further part.
 SPREAD, PART_ROWS = 16, 1 << 20
@@ -334,6 +338,22 @@ def _near(permille: int):
     return apart.cast("long") * (1000 + permille) <= (F.col("n_a") + F.col("n_b")) * (1000 - permille)
 
 
+def _once(apart: DataFrame, *names: str) -> DataFrame:
+    """Pairs (columns with _a and _b) within a column whose components differ, in either order of the
+    rows outside the main component, each where the rows meet first as far as ``before`` tells.
+
+    Rare columns come in the order of all rows' places, so the first one that a pair shares is never
+    left out, and that is the one whose places bound a pair. Blocks have one place, so any order does.
+    """
+    earlier = Window.partitionBy("node", "level").orderBy("place", "gram").rowsBetween(-BEFORE, -1)
+    rows = common.saved(apart.withColumn("before", F.collect_list("gram").over(earlier)), "apart")
+    a = rows.where("component <> main").select("gram", *(F.col(c).alias(f"{c}_a") for c in ("node", "component", "before", *names)))
+    b = rows.select("gram", *(F.col(c).alias(f"{c}_b") for c in ("node", "component", "main", "before", *names)))
+    # a pair outside the main component comes from either side: take it once
+    cross = a.join(b, "gram").where("component_a <> component_b and (component_b = main_b or node_a < node_b)")
+    return cross.where(~F.arrays_overlap("before_a", "before_b"))
+
+
 def _pair(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -503,7 +523,7 @@ def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
     star = star.where(_reach(F.col("n"), F.col("place"), F.col("hub_n"), F.col("hub_place"), permille))
     pairs = common.saved(star.select(*_pair(F.col("node"), F.col("hub"))).distinct(), "pairs")
 
-    posts = hubs.select("gram", "node", "n", "place")
+    posts = hubs.select("gram", "level", "node", "n", "place")
     # copies of a set have the same sketch: one of them stands for all
     once = Window.partitionBy("node").orderBy("text_key", "doc_id")
     sketch = rows_full.select("node", "n", *_PARITY, "wide", "text_key", "doc_id").withColumn("_k", F.row_number().over(once)).where("_k = 1").select("node", "n", *_PARITY, "wide")
@@ -513,11 +533,8 @@ def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
     own = common.saved(posts.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")).distinct(), "own")
     size = own.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size"))
     main = size.groupBy("gram").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    apart = common.saved(own.join(main.select("gram", "main"), "gram").join(sketch.drop("n", "wide"), "node"), "apart")
-    a = apart.where("component <> main").select("gram", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "place", "component", *_PARITY)))
-    b = apart.select("gram", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "component", "main", *_PARITY)))
-    # a pair outside the main component comes from either side: take it once
-    cross = a.join(b, "gram").where("component_a <> component_b and (component_b = main_b or node_a < node_b)")
+    apart = own.join(main.select("gram", "main"), "gram").join(sketch.drop("n", "wide"), "node")
+    cross = _once(apart, "n", "place", *_PARITY)
     cross = cross.where(_reach(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), permille) & _near(permille))
     cross = cross.select(*_pair(F.col("node_a"), F.col("node_b"))).distinct().join(pairs, ["a", "b"], "left_anti")
     more = _verified(texts, common.saved(cross, "pairs"), sketch, n, permille)

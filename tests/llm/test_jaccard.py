@@ -146,3 +146,22 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     rows = {r["node"]: r["component"] for r in jaccard.components(edges).collect()}
     assert rows == {i: 0 for i in range(61)} | {100: 100, 101: 100}
+
+
+def test_pairs_that_share_many_columns_are_met_about_once(spark):
+    """Rows of families share most of 40 columns; the first shared one is never left out."""
+    rng = random.Random(6)
+    rows, posts = [], {}
+    for node in range(60):
+        columns = sorted(c for c in range(1000 * (node % 3), 1000 * (node % 3) + 40) if rng.random() < 0.8)
+        posts[node] = columns
+        rows += [(c, 0, node, place, node if node > 8 else 0, 0) for place, c in enumerate(columns)]
+    apart = spark.createDataFrame(rows, "gram long, level int, node long, place int, component long, main long")
+    got = jaccard._once(apart, "place").select("gram", "node_a", "node_b").collect()
+    pair = lambda a, b: (min(a, b), max(a, b))
+    own = lambda k: k if k > 8 else 0
+    first = {(min(both), a, b) for a in posts for b in posts if a < b and own(a) != own(b) and (both := set(posts[a]) & set(posts[b]))}
+    met = [(r["gram"], *pair(r["node_a"], r["node_b"])) for r in got]
+    assert first <= set(met) and {m[1:] for m in met} == {f[1:] for f in first}
+    # one pair a shared column would be about 25 times as many
+    assert len(met) < 1.2 * len(first), (len(met), len(first))
