@@ -42,8 +42,9 @@ SAMPLE, SAMPLE_CHARS = 600, 20_000
 ROUNDS = 2
 #: One training document in so many learns weights and map (1: all of them), in groups of about so many.
 SHARE, GROUP = 1, 4096
-#: Bits that a task counts before it hands its tables on.
-HANDED = 1 << 30
+#: Bits that a task counts before it hands its tables on, and different tokens that it holds before
+#: they are counted.
+HANDED, HELD = 1 << 30, 1 << 20
 #: Most frequent words that every task knows for the base score, and those that are leaves, if they
 #: are that frequent at least.
 FREQUENT, LEAVES, LEAST = 1 << 18, 1 << 17, 8
@@ -63,6 +64,8 @@ _BLANK = 0x20
 _K = np.random.default_rng(99).integers(1, 1 << 62, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _CODEC = pa.Codec("zstd", compression_level=1)
 _TOKENS = 1 << 11
+#: Tokens of a block of online learning, and those among which different ones are looked up once.
+_STEP, _WINDOW = 1 << 10, 1 << 18
 
 
 def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -112,12 +115,17 @@ class Code:
         self.first = np.concatenate([[0], np.cumsum(np.bincount(leaf, minlength=n))])
         self.size = np.diff(self.first)
 
-    def spell(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place of the leaf, node, bit) of every bit of the leaves in a row."""
+    def entries(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the leaf, entry) of every bit of the leaves in a row."""
         size = self.size[leaves]
         total = np.cumsum(size)
         entry = np.arange(int(total[-1]) if len(total) else 0) + np.repeat(self.first[leaves] - total + size, size)
-        return np.repeat(np.arange(len(leaves)), size), self.nodes.take(entry), self.bits.take(entry)
+        return np.repeat(np.arange(len(leaves)), size), entry
+
+    def spell(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the leaf, node, bit) of every bit of the leaves in a row."""
+        at, entry = self.entries(leaves)
+        return at, self.nodes.take(entry), self.bits.take(entry)
 
 
 class Setting:
@@ -159,6 +167,19 @@ class Setting:
                 best, self.topics, self.prior = total, rate.astype(np.float32), prior.astype(np.float32)
         self.topics -= self.topics.mean(1, keepdims=True)
 
+    def tree_bits(self, leaf: np.ndarray, topic: np.ndarray, ending: np.ndarray, past: np.ndarray):
+        """(token of each bit, bit, slots of the four tables) in the first tree."""
+        at, entry = self.tree.entries(leaf)
+        node = self.tree.nodes.take(entry)
+        far = node * _K[5]
+        contexts = (
+            node,
+            node * np.uint64(TOPICS) + topic.take(at),
+            _mixed(_ending(ending, topic).take(at) + far),
+            _mixed(_past(past).take(at) + far),
+        )
+        return at, self.tree.bits.take(entry), [_slot(c, k) for c, (_, k) in zip(contexts, TREE, strict=True)]
+
     def leaves(self, words: pa.Array) -> np.ndarray:
         """Leaves of words; the escape (the last but one) if a word is none."""
         if not len(self.words):
@@ -184,17 +205,19 @@ def _parted(shared):
         setting: Setting = shared.value
         leaves = len(setting.words) + 2
         mass, share_of = np.zeros((leaves, TOPICS), np.int64), np.zeros(TOPICS, np.int64)
-        for part in common.slices(batches):
+        for part in common.slices(batches, limit=4 * common.SLICE_BYTES):
             words, number, per_text = tokens(part.column("text"))
-            leaf = setting.leaves(words)[number]
+            of_word = setting.leaves(words)
             text = np.repeat(np.arange(len(per_text)), per_text)
-            gain = setting.topics[leaf].astype(np.float64)
-            score = np.stack([np.bincount(text, weights=gain[:, k], minlength=len(per_text)) for k in range(TOPICS)], 1) + setting.prior
+            gain = setting.topics[of_word].astype(np.float64)
+            score = np.stack([np.bincount(text, weights=gain[:, k].copy().take(number), minlength=len(per_text)) for k in range(TOPICS)], 1) + setting.prior
             share = np.exp(score - score.max(1, keepdims=True))
             share = np.rint(share / share.sum(1, keepdims=True) * _PARTS)
             share_of += share.sum(0).astype(np.int64)
-            for k in range(TOPICS):
-                mass[:, k] += np.bincount(leaf, weights=share[text, k], minlength=leaves).astype(np.int64)
+            own = np.stack([np.bincount(number, weights=share[:, k].copy().take(text), minlength=len(words)) for k in range(TOPICS)], 1).astype(np.int64)
+            known = of_word < len(setting.words)
+            mass[of_word[known]] += own[known]  # different words
+            mass[len(setting.words)] += own[~known].sum(0)
         used = np.flatnonzero(mass.any(1))
         rows = np.concatenate([mass[used], share_of[None]])
         yield pa.RecordBatch.from_arrays(
@@ -241,33 +264,54 @@ class Bits:
         self.ending, self.past = np.zeros(len(self.leaf), np.uint64), np.zeros(len(self.leaf), np.uint64)
         self.ending[1:], self.past[1:] = ending[self.number[:-1]], stands[self.number[:-1]]
         self.ending[first] = self.past[first] = 0
-        # the topic before each token
-        gain = setting.topics[self.leaf]
-        total = np.cumsum(gain, axis=0, dtype=np.float64) - gain
-        total -= np.repeat(total[first], self.per_text, axis=0)
-        self.topic = (total + setting.prior).argmax(1).astype(np.uint64)
+        # the topic before each token: the first of the likeliest
+        self.topic, best = np.zeros(len(self.leaf), np.uint64), None
+        for k in range(TOPICS):
+            gain = setting.topics[leaf, k].take(self.number)
+            total = np.cumsum(gain, dtype=np.float64)
+            total -= gain
+            total -= np.repeat(total[first], self.per_text)
+            total += setting.prior[k]
+            if best is None:
+                best = total
+            else:
+                self.topic[total > best] = k
+                np.maximum(best, total, out=best)
 
     def pieces(self) -> Iterator[slice]:
         for a in range(0, len(self.leaf), _TOKENS):
             yield slice(a, a + _TOKENS)
 
+    def keys(self, piece: slice = slice(None)) -> np.ndarray:
+        """What the first tree's bits and slots of every token depend on, as a number; see ``parts``."""
+        far = self.leaf[piece] * TOPICS + self.topic[piece].view(np.int64)
+        return ((far << 10) + self.past[piece].view(np.int64) << 8) + self.ending[piece].view(np.int64)
+
+    @staticmethod
+    def parts(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(leaf, topic, byte before, what stands for the word before) of such numbers."""
+        far = key >> 18
+        return far // TOPICS, (far % TOPICS).view(np.uint64), (key & 255).view(np.uint64), (key >> 8 & 1023).view(np.uint64)
+
     def tree(self, piece: slice):
         """(token of each bit, bit, slots of the four tables) in the first tree."""
-        leaf, topic = self.leaf[piece], self.topic[piece]
-        at, node, bit = self.setting.tree.spell(leaf)
-        ending = common.mix((self.ending[piece] << np.uint64(8) | topic) * _K[0]).take(at)
-        past = common.mix(self.past[piece] * _K[1]).take(at)
-        far = node * _K[5]
-        contexts = (node, node * np.uint64(TOPICS) + topic.take(at), _mixed(ending + far), _mixed(past + far))
-        return at, bit, [_slot(c, k) for c, (_, k) in zip(contexts, TREE, strict=True)]
+        return self.setting.tree_bits(self.leaf[piece], self.topic[piece], self.ending[piece], self.past[piece])
+
+    def rare(self, piece: slice) -> np.ndarray:
+        return np.flatnonzero(self.leaf[piece] == len(self.setting.words))
 
     def spelled(self, piece: slice):
         """The same in the second tree, for the piece's rare words."""
-        rare = np.flatnonzero(self.leaf[piece] == len(self.setting.words))
-        word = self.number[piece][rare]
+        rare = self.rare(piece)
+        at, bit, slots = self.letters(self.number[piece][rare], self.topic[piece][rare])
+        return rare.take(at), bit, slots
+
+    def letters(self, word: np.ndarray, topic: np.ndarray):
+        """(place of each bit, bit, slots) in the second tree of words by their numbers and topics."""
+        code = self.setting.bytes
         size = self.offsets[word + 1] - self.offsets[word] + 1
         total = np.cumsum(size)
-        owner = np.repeat(np.arange(len(rare)), size)
+        owner = np.repeat(np.arange(len(word)), size)
         place = np.arange(len(owner)) - np.repeat(total - size, size)
         last = place == size[owner] - 1
         at = np.minimum(self.offsets[word][owner] + place, max(0, len(self.data) - 1))
@@ -278,17 +322,19 @@ class Bits:
             past[k:] = symbol[:-k] if len(symbol) > k else past[k:]
             past[place < k] = _BLANK if k == 1 else 0
             before.append(past)
-        of, node, bit = self.setting.bytes.spell(symbol.astype(np.int64))
-        one, two, three, four = (b.take(of) for b in before)
-        topic = self.topic[piece][rare].take(owner.take(of))
-        near = (topic << np.uint64(16)) | (one << np.uint64(8)) | node
-        contexts = (
-            _mixed(near * _K[6]),
-            _mixed((near | (two << np.uint64(24))) * _K[2]),
-            _mixed((near | (two << np.uint64(24)) | (three << np.uint64(32))) * _K[3]),
-            _mixed(((four << np.uint64(32)) | (three << np.uint64(24)) | (two << np.uint64(16)) | (one << np.uint64(8)) | node) * _K[4]),
-        )
-        return rare.take(owner.take(of)), bit, [_slot(c, k) for c, (_, k) in zip(contexts, BYTES, strict=True)]
+        one, two, three, four = before
+        # a context's fields have bits of their own: their products by an odd number add up
+        near = (topic.take(owner) << np.uint64(16)) | (one << np.uint64(8))
+        two_ = near | (two << np.uint64(24))
+        three_ = two_ | (three << np.uint64(32))
+        four_ = (four << np.uint64(32)) | (three << np.uint64(24)) | (two << np.uint64(16)) | (one << np.uint64(8))
+        of, entry = code.entries(symbol.astype(np.int64))
+        node = code.nodes.take(entry)
+        slots = [
+            _slot(_mixed((context * key).take(of) + node * key), size)
+            for context, key, (_, size) in zip((near, two_, three_, four_), (_K[6], _K[2], _K[3], _K[4]), BYTES, strict=True)
+        ]
+        return owner.take(of), code.bits.take(entry), slots
 
 
 def _raw(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -300,6 +346,14 @@ def _raw(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def _ending(ending: np.ndarray, topic: np.ndarray) -> np.ndarray:
+    return common.mix((ending << np.uint64(8) | topic) * _K[0])
+
+
+def _past(past: np.ndarray) -> np.ndarray:
+    return common.mix(past * _K[1])
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     """One round: the upper bits of a product come down."""
     return (x ^ (x >> np.uint64(32))) * _K[7] >> np.uint64(20)
@@ -323,25 +377,60 @@ def _gather(shared):
                 )
             table[:] = 0
 
+    def counted(setting: Setting, tables: list[np.ndarray], held: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """The first tree's bits of all tokens held, each different token of a table once."""
+        key, times = _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        leaf, topic, ending, past = Bits.parts(key)
+        pair = leaf * TOPICS + topic.view(np.int64)
+        for k, own in enumerate((leaf, pair, (pair << 8) + ending.view(np.int64), (leaf << 10) + past.view(np.int64))):
+            own, often = _summed(own, times)
+            for a in range(0, len(own), _TOKENS):
+                x = own[a : a + _TOKENS]
+                at, entry = setting.tree.entries(x if k == 0 else x // TOPICS if k == 1 else (x >> 8) // TOPICS if k == 2 else x >> 10)
+                node = setting.tree.nodes.take(entry)
+                if k == 1:
+                    node = node * np.uint64(TOPICS) + (x % TOPICS).view(np.uint64).take(at)
+                elif k:
+                    context = _ending((x & 255).view(np.uint64), ((x >> 8) % TOPICS).view(np.uint64)) if k == 2 else _past((x & 1023).view(np.uint64))
+                    node = _mixed(context.take(at) + node * _K[5])
+                np.add.at(tables[k], 2 * _slot(node, TREE[k][1]) + setting.tree.bits.take(entry), often[a : a + _TOKENS].astype(np.int32).take(at))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         setting: Setting = shared.value
-        tables, seen = [np.zeros(2 << size, np.int32) for _, size in TABLES], 0
-        for part in common.slices(batches, limit=common.SLICE_BYTES):
+        tables, seen, held = [np.zeros(2 << size, np.int32) for _, size in TABLES], 0, []
+        for part in common.slices(batches, limit=2 * common.SLICE_BYTES):
             bits = Bits(setting, *tokens(part.column("text")))
-            for piece in bits.pieces():
-                for own, (_, bit, slots) in ((tables[:4], bits.tree(piece)), (tables[4:], bits.spelled(piece))):
-                    once = np.ones(len(bit), np.int32)
+            key = bits.keys()
+            for a in range(0, len(key), HELD):
+                own = key[a : a + HELD]
+                held.append(np.unique(own, return_counts=True))
+                seen += int(setting.tree.size[bits.leaf[a : a + HELD]].sum())
+                for b in range(a, a + len(own), _TOKENS):
+                    _, bit, slots = bits.spelled(slice(b, min(b + _TOKENS, a + len(own))))
                     seen += len(bit)
-                    for table, slot in zip(own, slots, strict=True):
-                        np.add.at(table, 2 * slot + bit, once)
+                    for table, slot in zip(tables[4:], slots, strict=True):
+                        np.add.at(table, 2 * slot + bit, np.int32(1))
+                if seen > HANDED or sum(len(x) for x, _ in held) > HELD:
+                    counted(setting, tables, held)
+                    held = []
                 if seen > HANDED:
                     yield from handed(tables)
                     seen = 0
+        if held:
+            counted(setting, tables, held)
         yield from handed(tables)
 
     return run
 
 
+def _summed(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and their times together."""
+    order = np.argsort(key)
+    key, times = key[order], times[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+    return key[first], np.add.reduceat(times, first) if len(first) else times
+
+
 _PART, _WHOLE = "<i4", "<i8"
 
 
@@ -393,6 +482,62 @@ def _seen(total: np.ndarray) -> np.ndarray:
     return (total > 0).astype(np.int8) + (total > 2) + (total > 15)
 
 
+class Before:
+    """What the tables say of a bit that they have not seen: logits by slot and bit, and levels of the
+    two longest contexts. A text is part of the counts, so the bit itself is taken out."""
+
+    def __init__(self, counts: list[np.ndarray]):
+        self.logits, self.levels = Tables(), Tables()
+        for k, table in enumerate(counts):
+            logit, level = np.empty(len(table), np.float32), np.empty(len(table), np.int8)
+            zero, one = table[::2], table[1::2]
+            for bit in range(2):
+                left = (np.maximum(zero - 1, 0), one) if bit == 0 else (zero, np.maximum(one - 1, 0))
+                logit[bit::2], level[bit::2] = _logit(*left), _seen(left[0] + left[1])
+            self.logits.append(logit)
+            if k % 4 > 1:
+                self.levels.append(level)
+
+    def _inputs(self, tree: int, bit: np.ndarray, slots: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+        """(the four predictors' logits, gates)."""
+        at = []
+        for slot in slots:
+            slot = slot << 1
+            slot += bit
+            at.append(slot)
+        third, fourth = (self.levels[2 * tree + k].take(at[2 + k]) for k in range(2))
+        return [self.logits[4 * tree + k].take(at[k]) for k in range(4)], (fourth << 2) + third
+
+    def tree(self, bits: Bits) -> Iterator[tuple[int, list[int], np.ndarray, list[np.ndarray], np.ndarray]]:
+        """(first token, ends of its blocks but the last, bits, logits, gates) of pieces of a text's
+        tokens in the first tree; tokens that all tables see alike are looked up once a window."""
+        setting = bits.setting
+        for w in range(0, len(bits.leaf), _WINDOW):
+            key, of = np.unique(bits.keys(slice(w, w + _WINDOW)), return_inverse=True)
+            found = []
+            for a in range(0, len(key), _TOKENS):
+                _, bit, slots = setting.tree_bits(*Bits.parts(key[a : a + _TOKENS]))
+                x, gate = self._inputs(0, bit, slots)
+                found.append((bit, gate, *x))
+            bit, gate, *x = (np.concatenate(c) for c in zip(*found, strict=True))
+            size = setting.tree.size[Bits.parts(key)[0]]
+            first = np.cumsum(size) - size
+            for a in range(0, len(of), _TOKENS):
+                own = of[a : a + _TOKENS]
+                many = size[own]
+                total = np.cumsum(many)
+                at = np.arange(int(total[-1])) + np.repeat(first[own] - total + many, many)
+                yield w + a, total[_STEP - 1 : -1 : _STEP].tolist(), bit.take(at), [c.take(at).astype(np.float64) for c in x], gate.take(at).astype(np.int64)
+
+    def spelled(self, bits: Bits) -> Iterator[tuple[int, list[int], np.ndarray, list[np.ndarray], np.ndarray]]:
+        """The same in the second tree."""
+        for a in range(0, len(bits.leaf), _TOKENS):
+            at, bit, slots = bits.spelled(slice(a, a + _TOKENS))
+            if len(bit):
+                x, gate = self._inputs(1, bit, slots)
+                yield a, np.searchsorted(at, np.arange(_STEP, _TOKENS, _STEP)).tolist(), bit, [c.astype(np.float64) for c in x], gate.astype(np.int64)
+
+
 class Learned:
     """Weights by gate and what the adaptive map has counted, of either tree."""
 
@@ -408,36 +553,50 @@ class Learned:
         self.bits = np.zeros((2, GATES))
         self.hits, self.mass = np.zeros((2, GATES, MAP)), np.zeros((2, GATES, MAP))
 
-    def learn(self, tree: int, bits: Bits, counts: list[np.ndarray], settled: int = 0) -> None:
+    def learn(self, tree: int, bits: Bits, known: Before, settled: int = 0) -> None:
         """Online: blocks of bits in their order, each predicted before it teaches; the map learns
         from the token ``settled`` on."""
-        weights = self.weights[tree]
-        for a in range(0, len(bits.leaf), 1024):
-            piece = slice(a, a + 1024)
-            _, bit, slots = (bits.spelled if tree else bits.tree)(piece)
-            if not len(bit):
-                continue
-            inputs, known = [np.ones(len(bit))], []
-            for table, slot in zip(counts, slots, strict=True):
-                zero, one = table.take(2 * slot), table.take(2 * slot + 1)
-                # the text is part of the counts: what predicts a bit has not seen that bit
-                zero, one = np.maximum(zero - (bit == 0), 0), np.maximum(one - (bit == 1), 0)
-                inputs.append(_logit(zero, one))
-                known.append(_seen(zero + one))
-            x, gate = np.stack(inputs, 1), known[3].astype(np.int64) * 4 + known[2]
-            z = np.clip((x * weights[gate]).sum(1), -12, 12)
-            gap = bit - 1 / (1 + np.exp(-z))
-            self.steps[tree] += 1
-            seen = np.bincount(gate, minlength=GATES)
-            self.bits[tree] += seen
-            for k in range(x.shape[1]):
-                weights[:, k] += RATE / (1 + self.steps[tree] / 20) ** 0.5 * np.bincount(gate, weights=gap * x[:, k], minlength=GATES) / (seen + 50.0)
-            if a >= settled:
-                low, share = _place(z)
-                for side, part in ((low, 1 - share), (low + 1, share)):
-                    cell = gate * MAP + side
-                    self.hits[tree] += np.bincount(cell, weights=bit * part, minlength=GATES * MAP).reshape(GATES, MAP)
-                    self.mass[tree] += np.bincount(cell, weights=part, minlength=GATES * MAP).reshape(GATES, MAP)
+        for a, ends, bit, x, gate in known.spelled(bits) if tree else known.tree(bits):
+            z, start = np.empty(len(bit)), len(bit)
+            cuts = [0, *ends, len(bit)]
+            for k, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                if a + k * _STEP >= settled:
+                    start = min(start, low)
+                if low < high:
+                    self._step(tree, self.weights[tree], [c[low:high] for c in x], gate[low:high], bit[low:high], z[low:high])
+            if start < len(bit):
+                self._mapped(tree, gate[start:], bit[start:], z[start:])
+
+    def _step(self, tree: int, weights: np.ndarray, x: list[np.ndarray], gate: np.ndarray, bit: np.ndarray, z: np.ndarray) -> None:
+        own = weights.T.copy()
+        z[:] = own[0].take(gate)
+        for k, c in enumerate(x, 1):
+            part = own[k].take(gate)
+            part *= c
+            z += part
+        np.clip(z, -12, 12, out=z)
+        gap = np.negative(z)
+        np.exp(gap, out=gap)
+        gap += 1
+        np.divide(-1, gap, out=gap)
+        gap += bit
+        self.steps[tree] += 1
+        seen = np.bincount(gate, minlength=GATES)
+        self.bits[tree] += seen
+        rate = RATE / (1 + self.steps[tree] / 20) ** 0.5
+        for k in range(len(x) + 1):
+            weights[:, k] += rate * np.bincount(gate, weights=gap * x[k - 1] if k else gap, minlength=GATES) / (seen + 50.0)
+
+    def _mapped(self, tree: int, gate: np.ndarray, bit: np.ndarray, z: np.ndarray) -> None:
+        """A bit is shared by the two places of the map beside its logit."""
+        low, share = _place(z)
+        cell = ((gate * MAP + low) << 1) + bit
+        many = np.bincount(cell, minlength=2 * GATES * MAP).reshape(GATES, MAP, 2)
+        upper = np.bincount(cell, weights=share, minlength=2 * GATES * MAP).reshape(GATES, MAP, 2)
+        lower = many - upper
+        for out, own in ((self.hits[tree], lambda y: y[:, :, 1]), (self.mass[tree], lambda y: y.sum(2))):
+            out += own(lower)
+            out[:, 1:] += own(upper)[:, :-1]
 
     def sums(self) -> np.ndarray:
         """What groups add up, in fixed-point numbers."""
@@ -466,9 +625,9 @@ def started(setting: Setting, counts: list[np.ndarray], sample: pa.Array) -> Lea
     """What the sample teaches; the map learns once the weights have settled."""
     out = Learned()
     if len(sample):
-        bits = Bits(setting, *tokens(sample))
+        bits, known = Bits(setting, *tokens(sample)), Before(counts)
         for tree in range(2):
-            out.learn(tree, bits, counts[4 * tree : 4 * tree + 4], len(bits.leaf) // 3)
+            out.learn(tree, bits, known, len(bits.leaf) // 3)
     return out
 
 
@@ -478,11 +637,11 @@ def _taught(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = None
         for part in common.slices(batches):
-            setting, counts, start = shared.value
+            setting, known, start = shared.value
             own = own or Learned(start)
             bits = Bits(setting, *tokens(part.column("text")))
             for tree in range(2):
-                own.learn(tree, bits, counts[4 * tree : 4 * tree + 4])
+                own.learn(tree, bits, known)
         if own is not None:
             sums = own.sums()
             used = np.flatnonzero(sums)
@@ -496,7 +655,7 @@ def learned(train: DataFrame, setting: Setting, counts: list[np.ndarray], start:
     spark = train.sparkSession
     chosen = train.select("text", F.xxhash64("doc_id", "text").alias("h")).where(F.pmod("h", F.lit(SHARE)) == 0)
     groups = max(1, chosen.count() // GROUP)
-    known = common.shared(spark, (setting, Tables(counts), start))
+    known = common.shared(spark, (setting, Before(counts), start))
     rows = chosen.repartition(groups, "h").sortWithinPartitions("h", "text").select("text").mapInArrow(_taught(known), "place int, amount long")
     total = np.zeros_like(start.sums())
     added = rows.groupBy("place").agg(F.sum("amount").alias("amount")).toArrow()  # as many rows as the model has numbers
@@ -521,13 +680,23 @@ class Mixer:
     def cost(self, words: pa.Array, number: np.ndarray, per_text: np.ndarray) -> np.ndarray:
         """Natural-log cost of every text, its end included."""
         bits = Bits(self.setting, words, number, per_text)
-        each = np.zeros(len(bits.leaf))
-        for piece in bits.pieces():
-            for tree, (at, bit, slots) in enumerate((bits.tree(piece), bits.spelled(piece))):
-                nats = self._nats(tree, bit, slots)
-                each[piece] += np.bincount(at, weights=nats, minlength=len(each[piece]))
+        # tokens that all tables see alike cost the same
+        key, of = np.unique(bits.keys(), return_inverse=True)
+        each = self._costs(0, key, lambda x: self.setting.tree_bits(*Bits.parts(x)))[of]
+        rare = bits.rare(slice(0, None))
+        if len(rare):
+            key, of = np.unique(bits.number[rare] * TOPICS + bits.topic[rare].view(np.int64), return_inverse=True)
+            each[rare] += self._costs(1, key, lambda x: bits.letters(x // TOPICS, (x % TOPICS).view(np.uint64)))[of]
         return np.bincount(np.repeat(np.arange(len(bits.per_text)), bits.per_text), weights=each, minlength=len(per_text))
 
+    def _costs(self, tree: int, key: np.ndarray, bits) -> np.ndarray:
+        out = np.zeros(len(key))
+        for a in range(0, len(key), _TOKENS):
+            own = key[a : a + _TOKENS]
+            at, bit, slots = bits(own)
+            out[a : a + len(own)] = np.bincount(at, weights=self._nats(tree, bit, slots), minlength=len(own))
+        return out
+
     def _settle(self) -> None:
         """What a bit costs, as look-ups: each predictor's share of the logit by gate and level, and
         the mapped cost of either bit by gate and place of the logit."""
@@ -595,7 +764,7 @@ def _scored(model, frequent, total: tuple[int, int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixer: Mixer = model.value
         known_words, known_times = frequent.value
-        for part in common.slices(batches, limit=2 * common.SLICE_BYTES):
+        for part in common.slices(batches, limit=4 * common.SLICE_BYTES):
             texts = part.column("text")
             words, number, per_text = tokens(texts)
             place = pc.index_in(words, value_set=known_words.cast(words.type)).fill_null(-1).to_numpy()

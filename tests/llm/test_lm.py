@@ -226,3 +226,42 @@ def test_what_training_sends_leaves_no_file(spark, monkeypatch):
     lm.fit_topics(docs, setting)
     lm.learned(docs, setting, counted(setting, sample), lm.Learned())
     assert sent and not any(os.path.exists(b._path) for b in sent)
+
+
+def test_tokens_that_tables_see_alike_are_counted_and_looked_up_once(monkeypatch):
+    setting, sample = small_model([*prose(40), "unseen unseen wörd1 unseen", ""])
+    bits = lm.Bits(setting, *lm.tokens(sample))
+    plain = [np.zeros(2 << size, np.int64) for _, size in lm.TABLES]
+    for own, (_, bit, slots) in ((plain[:4], bits.tree(slice(None))), (plain[4:], bits.spelled(slice(None)))):
+        for table, slot in zip(own, slots, strict=True):
+            np.add.at(table, 2 * slot + bit, 1)
+    spelled, entries = [], lm.Code.entries
+    monkeypatch.setattr(lm.Code, "entries", lambda code, leaves: (spelled.append(len(leaves) * (code is setting.tree)), entries(code, leaves))[1])
+    assert all((a == b).all() for a, b in zip(plain, counted(setting, sample), strict=True))
+    # 2,000 tokens in four tables
+    assert sum(spelled) < 2 * len(bits.leaf), (sum(spelled), len(bits.leaf))
+    monkeypatch.undo()
+    known = lm.Before(plain)
+    for window in (lm._WINDOW, 2 * lm._TOKENS):
+        monkeypatch.setattr(lm, "_WINDOW", window)
+        at = 0
+        for tree, found in enumerate((known.tree(bits), known.spelled(bits))):
+            found = list(found)
+            _, bit, slots = (bits.spelled if tree else bits.tree)(slice(None))
+            x, gate = known._inputs(tree, bit, slots)
+            assert np.array_equal(np.concatenate([f[2] for f in found]), bit) and np.array_equal(np.concatenate([f[4] for f in found]), gate)
+            assert all(np.array_equal(np.concatenate([f[3][k] for f in found]), x[k]) for k in range(4))
+            at += len(bit)
+        assert at == plain[0].sum() + plain[4].sum()
+
+
+def test_what_predicts_a_bit_has_not_seen_it():
+    counts = [np.zeros(2 << size, np.float32) for _, size in lm.TABLES]
+    for table in counts:
+        table[:6] = [3, 0, 1, 20, 0, 1]
+    known = lm.Before(counts)
+    for logits in known.logits:
+        expect = [math.log(0.4 / 2.4), math.log(0.4 / 3.4), math.log(20.4 / 0.4), math.log(19.4 / 1.4), math.log(1.4 / 0.4), 0]
+        assert logits[:6] == pytest.approx(expect, abs=1e-5)
+    for levels in known.levels:
+        assert levels[:6].tolist() == [1, 2, 3, 3, 1, 0]
