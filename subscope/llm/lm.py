@@ -25,6 +25,7 @@ predict them.
 
 from __future__ import annotations
 
+import copy
 import heapq
 from collections.abc import Iterator
 
@@ -170,16 +171,34 @@ class Setting:
     def tree_bits(self, leaf: np.ndarray, topic: np.ndarray, ending: np.ndarray, past: np.ndarray):
         """(token of each bit, bit, slots of the four tables) in the first tree."""
         at, entry = self.tree.entries(leaf)
+        size = self.tree.size[leaf]
         node = self.tree.nodes.take(entry)
         far = node * _K[5]
         contexts = (
             node,
-            node * np.uint64(TOPICS) + topic.take(at),
-            _mixed(_ending(ending, topic).take(at) + far),
-            _mixed(_past(past).take(at) + far),
+            node * np.uint64(TOPICS) + np.repeat(topic, size),
+            _mixed(np.repeat(_ending(ending, topic), size) + far),
+            _mixed(np.repeat(_past(past), size) + far),
         )
         return at, self.tree.bits.take(entry), [_slot(c, k) for c, (_, k) in zip(contexts, TREE, strict=True)]
 
+    def byte_bits(self, key: np.ndarray):
+        """(symbol of each bit, bit, slots of the four tables) in the second tree; see ``Bits.symbols``."""
+        at, entry = self.bytes.entries(key & 255)
+        node = self.bytes.nodes.take(entry)
+        return at, self.bytes.bits.take(entry), [self.byte_slots(k, key, node) for k in range(4)]
+
+    def byte_slots(self, k: int, key: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Slots of all bits of symbols in a table of the second tree."""
+        of = key.view(np.uint64)
+        # a context's fields have bits of their own: their products by an odd number add up
+        if k == 3:
+            context = of & np.uint64(0xFFFFFFFF00)
+        else:
+            context = of >> np.uint64(40) << np.uint64(16) | of & np.uint64(0xFF00) | (of & np.uint64((0, 0xFF0000, 0xFFFF0000)[k])) << np.uint64(8)
+        by = _K[(6, 2, 3, 4)[k]]
+        return _slot(_mixed(np.repeat(context * by, self.bytes.size[key & 255]) + node * by), BYTES[k][1])
+
     def leaves(self, words: pa.Array) -> np.ndarray:
         """Leaves of words; the escape (the last but one) if a word is none."""
         if not len(self.words):
@@ -248,12 +267,13 @@ def fit_topics(train: DataFrame, setting: Setting) -> None:
 class Bits:
     """The bits of a few texts' tokens, ends put in: token by token, tree bits then byte bits."""
 
-    def __init__(self, setting: Setting, words: pa.Array, number: np.ndarray, per_text: np.ndarray):
+    def __init__(self, setting: Setting, words: pa.Array, number: np.ndarray, per_text: np.ndarray, leaf: np.ndarray | None = None):
+        """``leaf``: the words' leaves, if they are known."""
         self.setting = setting
         n = len(words)
         data, offsets = _raw(words)
         self.data, self.offsets = data, offsets
-        leaf = np.append(setting.leaves(words), len(setting.words) + 1)
+        leaf = np.append(setting.leaves(words) if leaf is None else leaf, len(setting.words) + 1)
         ending = np.append(data[offsets[1:] - 1] if n else data[:0], 0).astype(np.uint64)
         self.number = np.insert(number.astype(np.int64), np.cumsum(per_text), n)
         self.per_text = per_text + 1
@@ -266,8 +286,8 @@ class Bits:
         self.ending[first] = self.past[first] = 0
         # the topic before each token: the first of the likeliest
         self.topic, best = np.zeros(len(self.leaf), np.uint64), None
-        for k in range(TOPICS):
-            gain = setting.topics[leaf, k].take(self.number)
+        for k, gain in enumerate(setting.topics[leaf].T.copy()):
+            gain = gain.take(self.number)
             total = np.cumsum(gain, dtype=np.float64)
             total -= gain
             total -= np.repeat(total[first], self.per_text)
@@ -278,6 +298,15 @@ class Bits:
                 self.topic[total > best] = k
                 np.maximum(best, total, out=best)
 
+    def cut(self, texts: slice) -> Bits:
+        """Those of some of the texts."""
+        out = copy.copy(self)
+        start = int(self.per_text[: texts.start].sum())
+        out.per_text = self.per_text[texts]
+        own = slice(start, start + int(out.per_text.sum()))
+        out.number, out.leaf, out.topic, out.ending, out.past = (x[own] for x in (self.number, self.leaf, self.topic, self.ending, self.past))
+        return out
+
     def pieces(self) -> Iterator[slice]:
         for a in range(0, len(self.leaf), _TOKENS):
             yield slice(a, a + _TOKENS)
@@ -308,33 +337,30 @@ class Bits:
 
     def letters(self, word: np.ndarray, topic: np.ndarray):
         """(place of each bit, bit, slots) in the second tree of words by their numbers and topics."""
-        code = self.setting.bytes
+        owner, key = self.symbols(word, topic)
+        of, bit, slots = self.setting.byte_bits(key)
+        return owner.take(of), bit, slots
+
+    def symbols(self, word: np.ndarray, topic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the word, what the second tree's bits and slots depend on) of every symbol of words
+        by their numbers and topics. The latter is a number: topic, the fourth to the first byte before
+        the symbol (none: 0, for the first a blank), the symbol."""
         size = self.offsets[word + 1] - self.offsets[word] + 1
         total = np.cumsum(size)
         owner = np.repeat(np.arange(len(word)), size)
         place = np.arange(len(owner)) - np.repeat(total - size, size)
-        last = place == size[owner] - 1
-        at = np.minimum(self.offsets[word][owner] + place, max(0, len(self.data) - 1))
-        symbol = np.where(last, _BLANK, self.data[at] if len(self.data) else 0).astype(np.uint64)
-        before = []
+        at = np.minimum(np.repeat(self.offsets[word], size) + place, max(0, len(self.data) - 1))
+        symbol = self.data.take(at).astype(np.int64) if len(self.data) else np.zeros(len(at), np.int64)
+        symbol[total - 1] = _BLANK
+        key = np.repeat(topic.astype(np.int64) << 40, size)
+        key |= symbol
         for k in (1, 2, 3, 4):
-            past = np.zeros(len(symbol), np.uint64)
+            past = np.zeros(len(symbol), np.int64)
             past[k:] = symbol[:-k] if len(symbol) > k else past[k:]
             past[place < k] = _BLANK if k == 1 else 0
-            before.append(past)
-        one, two, three, four = before
-        # a context's fields have bits of their own: their products by an odd number add up
-        near = (topic.take(owner) << np.uint64(16)) | (one << np.uint64(8))
-        two_ = near | (two << np.uint64(24))
-        three_ = two_ | (three << np.uint64(32))
-        four_ = (four << np.uint64(32)) | (three << np.uint64(24)) | (two << np.uint64(16)) | (one << np.uint64(8))
-        of, entry = code.entries(symbol.astype(np.int64))
-        node = code.nodes.take(entry)
-        slots = [
-            _slot(_mixed((context * key).take(of) + node * key), size)
-            for context, key, (_, size) in zip((near, two_, three_, four_), (_K[6], _K[2], _K[3], _K[4]), BYTES, strict=True)
-        ]
-        return owner.take(of), code.bits.take(entry), slots
+            past <<= 8 * k
+            key |= past
+        return owner, key
 
 
 def _raw(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -377,6 +403,17 @@ def _gather(shared):
                 )
             table[:] = 0
 
+    def spelled(setting: Setting, tables: list[np.ndarray], held: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """The second tree's bits of all symbols held, each different symbol of a table once."""
+        key, times = _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        for k, seen in enumerate((7 << 40 | 0xFFFF, 7 << 40 | 0xFFFFFF, 7 << 40 | 0xFFFFFFFF, (1 << 40) - 1)):
+            own, often = _summed(key & seen, times)
+            for a in range(0, len(own), 4 * _TOKENS):
+                x = own[a : a + 4 * _TOKENS]
+                at, entry = setting.bytes.entries(x & 255)
+                slot = setting.byte_slots(k, x, setting.bytes.nodes.take(entry))
+                np.add.at(tables[4 + k], 2 * slot + setting.bytes.bits.take(entry), often[a : a + 4 * _TOKENS].astype(np.int32).take(at))
+
     def counted(setting: Setting, tables: list[np.ndarray], held: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """The first tree's bits of all tokens held, each different token of a table once."""
         key, times = _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
@@ -397,27 +434,37 @@ def _gather(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         setting: Setting = shared.value
-        tables, seen, held = [np.zeros(2 << size, np.int32) for _, size in TABLES], 0, []
+        tables, seen, held, rare = [np.zeros(2 << size, np.int32) for _, size in TABLES], 0, [], []
         for part in common.slices(batches, limit=2 * common.SLICE_BYTES):
             bits = Bits(setting, *tokens(part.column("text")))
             key = bits.keys()
             for a in range(0, len(key), HELD):
-                own = key[a : a + HELD]
-                held.append(np.unique(own, return_counts=True))
-                seen += int(setting.tree.size[bits.leaf[a : a + HELD]].sum())
-                for b in range(a, a + len(own), _TOKENS):
-                    _, bit, slots = bits.spelled(slice(b, min(b + _TOKENS, a + len(own))))
-                    seen += len(bit)
-                    for table, slot in zip(tables[4:], slots, strict=True):
-                        np.add.at(table, 2 * slot + bit, np.int32(1))
+                piece = slice(a, a + HELD)
+                held.append(np.unique(key[piece], return_counts=True))
+                seen += int(setting.tree.size[bits.leaf[piece]].sum())
+                escaped = bits.rare(piece)
+                # not too many letters at a time
+                for b in range(0, len(escaped), 8 * _TOKENS):
+                    some = escaped[b : b + 8 * _TOKENS]
+                    symbol = bits.symbols(bits.number[piece][some], bits.topic[piece][some])[1]
+                    seen += int(setting.bytes.size[symbol & 255].sum())
+                    rare.append(np.unique(symbol, return_counts=True))
+                    if sum(len(x) for x, _ in rare) > HELD:
+                        spelled(setting, tables, rare)
+                        rare = []
                 if seen > HANDED or sum(len(x) for x, _ in held) > HELD:
                     counted(setting, tables, held)
                     held = []
                 if seen > HANDED:
+                    if rare:
+                        spelled(setting, tables, rare)
+                        rare = []
                     yield from handed(tables)
                     seen = 0
         if held:
             counted(setting, tables, held)
+        if rare:
+            spelled(setting, tables, rare)
         yield from handed(tables)
 
     return run
@@ -482,60 +529,137 @@ def _seen(total: np.ndarray) -> np.ndarray:
     return (total > 0).astype(np.int8) + (total > 2) + (total > 15)
 
 
+#: Logits are 0 or of 2**-24 to 10.5 in size: scaled down they leave two bits of a float's exponent free.
+_DOWN, _UP, _LEVEL = np.float32(2.0**-100), np.float32(2.0**100), np.uint32(29)
+_PLAIN = np.uint32(0xFFFFFFFF ^ (3 << 29))
+
+
 class Before:
     """What the tables say of a bit that they have not seen: logits by slot and bit, and levels of the
-    two longest contexts. A text is part of the counts, so the bit itself is taken out."""
+    two longest contexts, in the same 32 bits. A text is part of the counts, so the bit itself is
+    taken out."""
 
     def __init__(self, counts: list[np.ndarray]):
-        self.logits, self.levels = Tables(), Tables()
+        self.tables, self.room = Tables(), (np.empty((0, 4), np.float32), np.empty(0, np.uint8))
         for k, table in enumerate(counts):
-            logit, level = np.empty(len(table), np.float32), np.empty(len(table), np.int8)
+            own = np.empty(len(table), np.uint32)
             zero, one = table[::2], table[1::2]
             for bit in range(2):
                 left = (np.maximum(zero - 1, 0), one) if bit == 0 else (zero, np.maximum(one - 1, 0))
-                logit[bit::2], level[bit::2] = _logit(*left), _seen(left[0] + left[1])
-            self.logits.append(logit)
-            if k % 4 > 1:
-                self.levels.append(level)
+                logit = _logit(*left).astype(np.float32)
+                if k % 4 > 1:
+                    logit *= _DOWN
+                own[bit::2] = logit.view(np.uint32)
+                if k % 4 > 1:
+                    own[bit::2] |= _seen(left[0] + left[1]).astype(np.uint32) << _LEVEL
+            self.tables.append(own)
+
+    @property
+    def logits(self) -> list[np.ndarray]:
+        return [_apart(t)[0] if k % 4 > 1 else t.view(np.float32) for k, t in enumerate(self.tables)]
+
+    @property
+    def levels(self) -> list[np.ndarray]:
+        return [_apart(t)[1] for k, t in enumerate(self.tables) if k % 4 > 1]
+
+    def _room(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Room for n bits' four logits side by side, and for their gates and bits; used again and again."""
+        if len(self.room[0]) < n:
+            self.room = np.empty((n + n // 8, 4), np.float32), np.empty(n + n // 8, np.uint8)
+        return self.room[0][:n], self.room[1][:n]
+
+    def __reduce__(self):
+        return _known, (self.tables,)
 
     def _inputs(self, tree: int, bit: np.ndarray, slots: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
         """(the four predictors' logits, gates)."""
-        at = []
-        for slot in slots:
+        found = []
+        for table, slot in zip(self.tables[4 * tree : 4 * tree + 4], slots, strict=True):
             slot = slot << 1
             slot += bit
-            at.append(slot)
-        third, fourth = (self.levels[2 * tree + k].take(at[2 + k]) for k in range(2))
-        return [self.logits[4 * tree + k].take(at[k]) for k in range(4)], (fourth << 2) + third
+            found.append(table.take(slot))
+        third, fourth = (_apart(v) for v in found[2:])
+        return [*(v.view(np.float32) for v in found[:2]), third[0], fourth[0]], (fourth[1] << np.uint8(2)) | third[1]
 
-    def tree(self, bits: Bits) -> Iterator[tuple[int, list[int], np.ndarray, list[np.ndarray], np.ndarray]]:
+    def tree(self, bits: Bits) -> Iterator[tuple[int, list[int], np.ndarray, np.ndarray, np.ndarray]]:
         """(first token, ends of its blocks but the last, bits, logits, gates) of pieces of a text's
         tokens in the first tree; tokens that all tables see alike are looked up once a window."""
         setting = bits.setting
         for w in range(0, len(bits.leaf), _WINDOW):
             key, of = np.unique(bits.keys(slice(w, w + _WINDOW)), return_inverse=True)
-            found = []
+            size = setting.tree.size[Bits.parts(key)[0]]
+            first = np.cumsum(size) - size
+            rows, code = self._room(int(size.sum()))
             for a in range(0, len(key), _TOKENS):
                 _, bit, slots = setting.tree_bits(*Bits.parts(key[a : a + _TOKENS]))
                 x, gate = self._inputs(0, bit, slots)
-                found.append((bit, gate, *x))
-            bit, gate, *x = (np.concatenate(c) for c in zip(*found, strict=True))
-            size = setting.tree.size[Bits.parts(key)[0]]
-            first = np.cumsum(size) - size
+                gate <<= 1
+                gate |= bit.view(np.uint8)
+                own = slice(first[a], first[a] + len(bit))
+                code[own] = gate
+                for k, c in enumerate(x):
+                    rows[own, k] = c
             for a in range(0, len(of), _TOKENS):
-                own = of[a : a + _TOKENS]
-                many = size[own]
-                total = np.cumsum(many)
-                at = np.arange(int(total[-1])) + np.repeat(first[own] - total + many, many)
-                yield w + a, total[_STEP - 1 : -1 : _STEP].tolist(), bit.take(at), [c.take(at).astype(np.float64) for c in x], gate.take(at).astype(np.int64)
-
-    def spelled(self, bits: Bits) -> Iterator[tuple[int, list[int], np.ndarray, list[np.ndarray], np.ndarray]]:
-        """The same in the second tree."""
-        for a in range(0, len(bits.leaf), _TOKENS):
-            at, bit, slots = bits.spelled(slice(a, a + _TOKENS))
-            if len(bit):
+                at, total = _places(of[a : a + _TOKENS], first, size)
+                each = code.take(at)
+                yield w + a, total[_STEP - 1 : -1 : _STEP].tolist(), each & np.uint8(1), _rows(rows, at).T, each >> np.uint8(1)
+
+    def spelled(self, bits: Bits) -> Iterator[tuple[int, list[int], np.ndarray, np.ndarray, np.ndarray]]:
+        """The same in the second tree, where symbols that all tables see alike are looked up once."""
+        setting = bits.setting
+        for w in range(0, len(bits.leaf), _WINDOW):
+            window = slice(w, w + _WINDOW)
+            token = bits.rare(window)
+            if not len(token):
+                continue
+            owner, key = bits.symbols(bits.number[window][token], bits.topic[window][token])
+            key, of = np.unique(key, return_inverse=True)
+            size = setting.bytes.size[key & 255]
+            first = np.cumsum(size) - size
+            rows, code = self._room(int(size.sum()))
+            for a in range(0, len(key), 4 * _TOKENS):
+                _, bit, slots = setting.byte_bits(key[a : a + 4 * _TOKENS])
                 x, gate = self._inputs(1, bit, slots)
-                yield a, np.searchsorted(at, np.arange(_STEP, _TOKENS, _STEP)).tolist(), bit, [c.astype(np.float64) for c in x], gate.astype(np.int64)
+                gate <<= 1
+                gate |= bit.view(np.uint8)
+                own = slice(first[a], first[a] + len(bit))
+                code[own] = gate
+                for k, c in enumerate(x):
+                    rows[own, k] = c
+            # the first symbol of each block of tokens
+            place = np.searchsorted(token[owner], np.arange(0, min(_WINDOW, len(bits.leaf) - w) + _TOKENS, _STEP)).tolist()
+            blocks = _TOKENS // _STEP
+            for a in range(0, len(place) - blocks, blocks):
+                cuts = place[a : a + blocks + 1]
+                if cuts[0] < cuts[-1]:
+                    at, total = _places(of[cuts[0] : cuts[-1]], first, size)
+                    each = code.take(at)
+                    yield w + a * _STEP, [int(total[c - cuts[0] - 1]) if c > cuts[0] else 0 for c in cuts[1:-1]], each & np.uint8(1), _rows(rows, at).T, each >> np.uint8(1)
+
+
+def _known(tables: Tables) -> Before:
+    out = Before([])
+    out.tables = tables
+    return out
+
+
+def _places(own: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all bits of ``own``, where those of i are ``size[i]`` from ``first[i]`` on; bits up to each."""
+    many = size[own]
+    total = np.cumsum(many)
+    return np.arange(int(total[-1])) + np.repeat(first[own] - total + many, many), total
+
+
+def _apart(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(logits, levels) of what a table of ``Before`` holds in the same 32 bits."""
+    logit = (v & _PLAIN).view(np.float32)
+    logit *= _UP
+    return logit, (v >> _LEVEL).astype(np.uint8) & np.uint8(3)
+
+
+def _rows(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Rows of four logits, which move as one number of 16 bytes."""
+    return x.view(np.complex128).ravel().take(at).view(np.float32).reshape(-1, 4)
 
 
 class Learned:
@@ -557,21 +681,30 @@ class Learned:
         """Online: blocks of bits in their order, each predicted before it teaches; the map learns
         from the token ``settled`` on."""
         for a, ends, bit, x, gate in known.spelled(bits) if tree else known.tree(bits):
-            z, start = np.empty(len(bit)), len(bit)
+            # of each bit, by gate within each block: the mixed logit, and a place for its gate and bit
+            z, own, start = np.empty(len(bit)), np.empty(len(bit), np.int64), len(bit)
             cuts = [0, *ends, len(bit)]
             for k, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                 if a + k * _STEP >= settled:
                     start = min(start, low)
                 if low < high:
-                    self._step(tree, self.weights[tree], [c[low:high] for c in x], gate[low:high], bit[low:high], z[low:high])
+                    self._step(tree, x.T[low:high], gate[low:high], bit[low:high], z[low:high], own[low:high])
             if start < len(bit):
-                self._mapped(tree, gate[start:], bit[start:], z[start:])
-
-    def _step(self, tree: int, weights: np.ndarray, x: list[np.ndarray], gate: np.ndarray, bit: np.ndarray, z: np.ndarray) -> None:
-        own = weights.T.copy()
-        z[:] = own[0].take(gate)
-        for k, c in enumerate(x, 1):
-            part = own[k].take(gate)
+                self._mapped(tree, own[start:], z[start:])
+
+    def _step(self, tree: int, x: np.ndarray, gate: np.ndarray, bit: np.ndarray, z: np.ndarray, own: np.ndarray) -> None:
+        """A block of bits: what is predicted, and what its errors teach; the bits of a gate lie together."""
+        weights = self.weights[tree]
+        order = np.argsort(gate, kind="stable")
+        x = _rows(x, order).T.astype(np.float64, order="C")
+        bit = bit.take(order)
+        cuts = np.searchsorted(gate, np.arange(GATES + 1, dtype=gate.dtype), sorter=order)
+        seen = np.diff(cuts)
+        own[:] = np.repeat(np.arange(GATES) * (2 * MAP), seen)
+        own += bit
+        each = np.repeat(weights.T, seen, axis=1)
+        z[:] = each[0]
+        for part, c in zip(each[1:], x, strict=True):
             part *= c
             z += part
         np.clip(z, -12, 12, out=z)
@@ -581,22 +714,25 @@ class Learned:
         np.divide(-1, gap, out=gap)
         gap += bit
         self.steps[tree] += 1
-        seen = np.bincount(gate, minlength=GATES)
         self.bits[tree] += seen
-        rate = RATE / (1 + self.steps[tree] / 20) ** 0.5
-        for k in range(len(x) + 1):
-            weights[:, k] += rate * np.bincount(gate, weights=gap * x[k - 1] if k else gap, minlength=GATES) / (seen + 50.0)
-
-    def _mapped(self, tree: int, gate: np.ndarray, bit: np.ndarray, z: np.ndarray) -> None:
+        some = np.flatnonzero(seen)
+        at, error = cuts[some], np.zeros((GATES, 5))
+        error[some, 0] = np.add.reduceat(gap, at)
+        x *= gap
+        error[some, 1:] = np.add.reduceat(x, at, axis=1).T
+        weights += RATE / (1 + self.steps[tree] / 20) ** 0.5 * error / (seen + 50.0)[:, None]
+
+    def _mapped(self, tree: int, own: np.ndarray, z: np.ndarray) -> None:
         """A bit is shared by the two places of the map beside its logit."""
         low, share = _place(z)
-        cell = ((gate * MAP + low) << 1) + bit
-        many = np.bincount(cell, minlength=2 * GATES * MAP).reshape(GATES, MAP, 2)
-        upper = np.bincount(cell, weights=share, minlength=2 * GATES * MAP).reshape(GATES, MAP, 2)
+        low <<= 1
+        low += own
+        many = np.bincount(low, minlength=2 * GATES * MAP).reshape(GATES, MAP, 2)
+        upper = np.bincount(low, weights=share, minlength=2 * GATES * MAP).reshape(GATES, MAP, 2)
         lower = many - upper
-        for out, own in ((self.hits[tree], lambda y: y[:, :, 1]), (self.mass[tree], lambda y: y.sum(2))):
-            out += own(lower)
-            out[:, 1:] += own(upper)[:, :-1]
+        for out, of in ((self.hits[tree], lambda y: y[:, :, 1]), (self.mass[tree], lambda y: y.sum(2))):
+            out += of(lower)
+            out[:, 1:] += of(upper)[:, :-1]
 
     def sums(self) -> np.ndarray:
         """What groups add up, in fixed-point numbers."""
@@ -636,12 +772,18 @@ def _taught(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = None
-        for part in common.slices(batches):
+        for batch in batches:
             setting, known, start = shared.value
             own = own or Learned(start)
-            bits = Bits(setting, *tokens(part.column("text")))
-            for tree in range(2):
-                own.learn(tree, bits, known)
+            rows = np.cumsum([0, *(part.num_rows for part in common.slices(iter([batch])))]).tolist()
+            for a in range(0, len(rows) - 1, 4):
+                # words are looked up once for a few slices
+                ends = rows[a : a + 5]
+                whole = Bits(setting, *tokens(batch.column("text").slice(ends[0], ends[-1] - ends[0])))
+                for low, high in zip(ends[:-1], ends[1:], strict=True):
+                    bits = whole.cut(slice(low - ends[0], high - ends[0]))
+                    for tree in range(2):
+                        own.learn(tree, bits, known)
         if own is not None:
             sums = own.sums()
             used = np.flatnonzero(sums)
@@ -677,22 +819,24 @@ class Mixer:
             self.tables.append((_seen(zero + one).astype(np.uint16) << np.uint16(8)) | logit.astype(np.uint16))
         self._settle()
 
-    def cost(self, words: pa.Array, number: np.ndarray, per_text: np.ndarray) -> np.ndarray:
+    def cost(self, words: pa.Array, number: np.ndarray, per_text: np.ndarray, leaf: np.ndarray | None = None) -> np.ndarray:
         """Natural-log cost of every text, its end included."""
-        bits = Bits(self.setting, words, number, per_text)
+        bits = Bits(self.setting, words, number, per_text, leaf)
         # tokens that all tables see alike cost the same
         key, of = np.unique(bits.keys(), return_inverse=True)
         each = self._costs(0, key, lambda x: self.setting.tree_bits(*Bits.parts(x)))[of]
         rare = bits.rare(slice(0, None))
-        if len(rare):
-            key, of = np.unique(bits.number[rare] * TOPICS + bits.topic[rare].view(np.int64), return_inverse=True)
-            each[rare] += self._costs(1, key, lambda x: bits.letters(x // TOPICS, (x % TOPICS).view(np.uint64)))[of]
+        for a in range(0, len(rare), 16 * _TOKENS):
+            some = rare[a : a + 16 * _TOKENS]
+            owner, key = bits.symbols(bits.number[some], bits.topic[some])
+            key, of = np.unique(key, return_inverse=True)
+            each[some] += np.bincount(owner, weights=self._costs(1, key, self.setting.byte_bits)[of], minlength=len(some))
         return np.bincount(np.repeat(np.arange(len(bits.per_text)), bits.per_text), weights=each, minlength=len(per_text))
 
     def _costs(self, tree: int, key: np.ndarray, bits) -> np.ndarray:
         out = np.zeros(len(key))
-        for a in range(0, len(key), _TOKENS):
-            own = key[a : a + _TOKENS]
+        for a in range(0, len(key), step := (1 + 3 * tree) * _TOKENS):
+            own = key[a : a + step]
             at, bit, slots = bits(own)
             out[a : a + len(own)] = np.bincount(at, weights=self._nats(tree, bit, slots), minlength=len(own))
         return out
@@ -712,19 +856,19 @@ class Mixer:
 
     def _nats(self, tree: int, bit: np.ndarray, slots: list[np.ndarray]) -> np.ndarray:
         value = [table.take(slot) for table, slot in zip(self.tables[4 * tree : 4 * tree + 4], slots, strict=True)]
-        gate = (value[3] >> np.uint16(8) << np.uint16(2)) + (value[2] >> np.uint16(8))
-        row = (gate << np.uint16(8)).astype(np.int64)
+        row = ((value[3] >> np.uint16(8) << np.uint16(2)) + (value[2] >> np.uint16(8))) << np.uint16(8)
         z = None
         for share, v in zip(self.shares[tree], value, strict=True):
-            part = share.take(row + (v & np.uint16(255)))
+            v &= np.uint16(255)
+            v |= row
+            part = share.take(v)
             z = part if z is None else np.add(z, part, out=z)
         z += 12
         z *= PLACES / 24
         np.clip(z, 0, PLACES - 1, out=z)
-        at = z.astype(np.int64)
-        row *= 2 * PLACES // 256
+        at = z.astype(np.int32)
+        at += row.astype(np.int32) * (PLACES // 256)
         at <<= 1
-        at += row
         at += bit
         return self.costs[tree].take(at)
 
@@ -735,7 +879,8 @@ _LOGITS = ((np.arange(256) - 128) / 12).astype(np.float32)
 def _place(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     x = (z + 12) * np.float32((MAP - 1) / 24)
     low = np.minimum(x.astype(np.int64), MAP - 2)
-    return low, (x - low).astype(z.dtype)
+    x -= low
+    return low, x.astype(z.dtype, copy=False)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -768,6 +913,8 @@ def _scored(model, frequent, total: tuple[int, int, int]):
             texts = part.column("text")
             words, number, per_text = tokens(texts)
             place = pc.index_in(words, value_set=known_words.cast(words.type)).fill_null(-1).to_numpy()
+            # leaves are the first of the frequent words
+            leaf = np.where((place >= 0) & (place < len(mixer.setting.words)), place, len(mixer.setting.words)).astype(np.int64)
             times = np.where(place >= 0, known_times[place], 0) if len(known_times) else np.zeros(len(words), np.int64)
             text = np.repeat(np.arange(len(per_text)), per_text)
             common_ = times[number] > 0
@@ -784,7 +931,7 @@ def _scored(model, frequent, total: tuple[int, int, int]):
             )
             size = pc.binary_length(texts).to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("row"), pa.array(per_text + 1, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base), pa.array(-mixer.cost(words, number, per_text) / np.log(10)), pa.array(size, pa.int64()), rare],
+                [part.column("doc_id"), part.column("row"), pa.array(per_text + 1, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base), pa.array(-mixer.cost(words, number, per_text, leaf) / np.log(10)), pa.array(size, pa.int64()), rare],
                 names=["doc_id", "row", "n_tokens", "n_known", "base_score", "score", "n_bytes", "rare"],
             )
 
