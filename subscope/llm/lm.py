@@ -59,6 +59,10 @@ TABLES = [*TREE, *BYTES]
 #: Slots that travel together.
 BLOCK = 1 << 13
 GATES, MAP, RATE = 16, 33, 3.0
+#: Different tokens, and symbols of rare words, whose costs a scoring task keeps at most for its next texts.
+KEPT = 1 << 20
+#: Bits of rare words' symbols whose logits a learning task keeps for its next texts.
+KEPT_BITS = 1 << 19
 #: Places of the mixed logit that scoring tells apart.
 PLACES = 2048
 _BLANK = 0x20
@@ -285,18 +289,27 @@ class Bits:
         self.ending[1:], self.past[1:] = ending[self.number[:-1]], stands[self.number[:-1]]
         self.ending[first] = self.past[first] = 0
         # the topic before each token: the first of the likeliest
-        self.topic, best = np.zeros(len(self.leaf), np.uint64), None
-        for k, gain in enumerate(setting.topics[leaf].T.copy()):
-            gain = gain.take(self.number)
-            total = np.cumsum(gain, dtype=np.float64)
-            total -= gain
-            total -= np.repeat(total[first], self.per_text)
-            total += setting.prior[k]
-            if best is None:
-                best = total
-            else:
-                self.topic[total > best] = k
-                np.maximum(best, total, out=best)
+        self.topic = np.zeros(len(self.leaf), np.uint64)
+        gains = setting.topics[leaf].T.copy()
+        ends = np.append(first, len(self.leaf))
+        a = 0
+        while a < len(first):
+            # texts of so many tokens at a time that sums stay in the cache
+            b = max(a + 1, int(np.searchsorted(ends, first[a] + 8 * _TOKENS, "right")) - 1)
+            own = slice(int(ends[a]), int(ends[b]))
+            start, many, number, topic, best = first[a:b] - first[a], self.per_text[a:b], self.number[own], self.topic[own], None
+            for k in range(TOPICS):
+                gain = gains[k].take(number).astype(np.float64)
+                total = np.cumsum(gain)
+                total -= gain
+                total -= np.repeat(total[start], many)
+                total += setting.prior[k]
+                if best is None:
+                    best = total
+                else:
+                    topic[total > best] = k
+                    np.maximum(best, total, out=best)
+            a = b
 
     def cut(self, texts: slice) -> Bits:
         """Those of some of the texts."""
@@ -540,7 +553,10 @@ class Before:
     taken out."""
 
     def __init__(self, counts: list[np.ndarray]):
-        self.tables, self.room = Tables(), (np.empty((0, 4), np.float32), np.empty(0, np.uint8))
+        self.tables = Tables()
+        self.room = [(np.empty((0, 4), np.float32), np.empty(0, np.uint8)) for _ in range(2)]
+        # symbols kept, the first of their bits, and how many bits these are
+        self.kept = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
         for k, table in enumerate(counts):
             own = np.empty(len(table), np.uint32)
             zero, one = table[::2], table[1::2]
@@ -562,11 +578,15 @@ class Before:
     def levels(self) -> list[np.ndarray]:
         return [_apart(t)[1] for k, t in enumerate(self.tables) if k % 4 > 1]
 
-    def _room(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+    def _room(self, tree: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Room for n bits' four logits side by side, and for their gates and bits; used again and again."""
-        if len(self.room[0]) < n:
-            self.room = np.empty((n + n // 8, 4), np.float32), np.empty(n + n // 8, np.uint8)
-        return self.room[0][:n], self.room[1][:n]
+        rows, code = self.room[tree]
+        if len(rows) < n:
+            self.room[tree] = np.empty((n + n // 8, 4), np.float32), np.empty(n + n // 8, np.uint8)
+            for old, now in zip((rows, code), self.room[tree], strict=True):
+                now[: len(old)] = old
+            rows, code = self.room[tree]
+        return rows[:n], code[:n]
 
     def __reduce__(self):
         return _known, (self.tables,)
@@ -589,7 +609,7 @@ class Before:
             key, of = np.unique(bits.keys(slice(w, w + _WINDOW)), return_inverse=True)
             size = setting.tree.size[Bits.parts(key)[0]]
             first = np.cumsum(size) - size
-            rows, code = self._room(int(size.sum()))
+            rows, code = self._room(0, int(size.sum()))
             for a in range(0, len(key), _TOKENS):
                 _, bit, slots = setting.tree_bits(*Bits.parts(key[a : a + _TOKENS]))
                 x, gate = self._inputs(0, bit, slots)
@@ -615,17 +635,31 @@ class Before:
             owner, key = bits.symbols(bits.number[window][token], bits.topic[window][token])
             key, of = np.unique(key, return_inverse=True)
             size = setting.bytes.size[key & 255]
-            first = np.cumsum(size) - size
-            rows, code = self._room(int(size.sum()))
-            for a in range(0, len(key), 4 * _TOKENS):
-                _, bit, slots = setting.byte_bits(key[a : a + 4 * _TOKENS])
+            kept, kept_first, used = self.kept
+            first, new = np.zeros(len(key), np.int64), np.ones(len(key), bool)
+            if len(kept):
+                place = np.searchsorted(kept, key)
+                new = kept.take(place, mode="clip") != key
+                first[~new] = kept_first[place[~new]]
+            fresh, many = key[new], size[new]
+            total = used + np.cumsum(many)
+            first[new] = total - many
+            filled = int(total[-1]) if len(total) else used
+            rows, code = self._room(1, filled)
+            for a in range(0, len(fresh), 4 * _TOKENS):
+                _, bit, slots = setting.byte_bits(fresh[a : a + 4 * _TOKENS])
                 x, gate = self._inputs(1, bit, slots)
                 gate <<= 1
                 gate |= bit.view(np.uint8)
-                own = slice(first[a], first[a] + len(bit))
+                start = int(total[a] - many[a])
+                own = slice(start, start + len(bit))
                 code[own] = gate
                 for k, c in enumerate(x):
                     rows[own, k] = c
+            if filled <= KEPT_BITS and len(fresh):
+                kept, kept_first = np.concatenate([kept, fresh]), np.concatenate([kept_first, first[new]])
+                order = np.argsort(kept, kind="stable")
+                self.kept = kept[order], kept_first[order], filled
             # the first symbol of each block of tokens
             place = np.searchsorted(token[owner], np.arange(0, min(_WINDOW, len(bits.leaf) - w) + _TOKENS, _STEP)).tolist()
             blocks = _TOKENS // _STEP
@@ -776,9 +810,9 @@ def _taught(shared):
             setting, known, start = shared.value
             own = own or Learned(start)
             rows = np.cumsum([0, *(part.num_rows for part in common.slices(iter([batch])))]).tolist()
-            for a in range(0, len(rows) - 1, 4):
-                # words are looked up once for a few slices
-                ends = rows[a : a + 5]
+            for a in range(0, len(rows) - 1, 2):
+                # words are looked up once for two slices
+                ends = rows[a : a + 3]
                 whole = Bits(setting, *tokens(batch.column("text").slice(ends[0], ends[-1] - ends[0])))
                 for low, high in zip(ends[:-1], ends[1:], strict=True):
                     bits = whole.cut(slice(low - ends[0], high - ends[0]))
@@ -817,22 +851,37 @@ class Mixer:
             zero, one = table[::2].astype(np.float64), table[1::2].astype(np.float64)
             logit = np.rint(_logit(zero, one) * 12).astype(np.int16) + 128
             self.tables.append((_seen(zero + one).astype(np.uint16) << np.uint16(8)) | logit.astype(np.uint16))
+        self.kept = [(np.zeros(0, np.int64), np.zeros(0)) for _ in range(2)]
         self._settle()
 
     def cost(self, words: pa.Array, number: np.ndarray, per_text: np.ndarray, leaf: np.ndarray | None = None) -> np.ndarray:
         """Natural-log cost of every text, its end included."""
         bits = Bits(self.setting, words, number, per_text, leaf)
         # tokens that all tables see alike cost the same
-        key, of = np.unique(bits.keys(), return_inverse=True)
-        each = self._costs(0, key, lambda x: self.setting.tree_bits(*Bits.parts(x)))[of]
+        each = self._alike(0, bits.keys(), lambda x: self.setting.tree_bits(*Bits.parts(x)))
         rare = bits.rare(slice(0, None))
         for a in range(0, len(rare), 16 * _TOKENS):
             some = rare[a : a + 16 * _TOKENS]
             owner, key = bits.symbols(bits.number[some], bits.topic[some])
-            key, of = np.unique(key, return_inverse=True)
-            each[some] += np.bincount(owner, weights=self._costs(1, key, self.setting.byte_bits)[of], minlength=len(some))
+            each[some] += np.bincount(owner, weights=self._alike(1, key, self.setting.byte_bits), minlength=len(some))
         return np.bincount(np.repeat(np.arange(len(bits.per_text)), bits.per_text), weights=each, minlength=len(per_text))
 
+    def _alike(self, tree: int, key: np.ndarray, bits) -> np.ndarray:
+        """Costs of all keys: each different one is made once, and the first of them are kept."""
+        key, of, times = np.unique(key, return_inverse=True, return_counts=True)
+        known, cost = self.kept[tree]
+        place = np.searchsorted(known, key)
+        found = known.take(place, mode="clip") == key if len(known) else np.zeros(len(key), bool)
+        out = cost.take(place, mode="clip") if len(known) else np.zeros(len(key))
+        new = np.flatnonzero(~found)
+        out[new] = self._costs(tree, key[new], bits)
+        again = (new if len(known) < KEPT // 2 else new[times[new] > 1])[: max(0, KEPT - len(known))]
+        if len(again):
+            known, cost = np.concatenate([known, key[again]]), np.concatenate([cost, out[again]])
+            order = np.argsort(known, kind="stable")
+            self.kept[tree] = known[order], cost[order]
+        return out[of]
+
     def _costs(self, tree: int, key: np.ndarray, bits) -> np.ndarray:
         out = np.zeros(len(key))
         for a in range(0, len(key), step := (1 + 3 * tree) * _TOKENS):

@@ -265,3 +265,86 @@ def test_what_predicts_a_bit_has_not_seen_it():
         assert logits[:6] == pytest.approx(expect, abs=1e-5)
     for levels in known.levels:
         assert levels[:6].tolist() == [1, 2, 3, 3, 1, 0]
+
+
+def spelled_prose(n, seed=0):
+    # words that few texts share, of syllables that many do
+    rng = np.random.default_rng(seed)
+    return [" ".join("".join(rng.choice(["ba", "né", "to", "ri"], 5)) for _ in range(40)) + " the" * 9 for _ in range(n)]
+
+
+def test_symbols_that_tables_see_alike_are_counted_looked_up_and_scored_once(monkeypatch):
+    setting, sample = small_model(spelled_prose(40))
+    counts = counted(setting, sample)
+    bits = lm.Bits(setting, *lm.tokens(sample))
+    rare = bits.rare(slice(None))
+    symbols = len(bits.symbols(bits.number[rare], bits.topic[rare])[0]) if hasattr(bits, "symbols") else int((np.diff(bits.offsets)[bits.number[rare]] + 1).sum())
+    known, model = lm.Before(counts), lm.Mixer(setting, counts, lm.started(setting, counts, sample))
+    spelled, entries = [], lm.Code.entries
+    monkeypatch.setattr(lm.Code, "entries", lambda code, leaves: (spelled.append(len(leaves) * (code is setting.bytes)), entries(code, leaves))[1])
+    # four tables, each by itself
+    for work, times in ((lambda: counted(setting, sample), 4), (lambda: list(known.spelled(bits)), 1), (lambda: model.cost(*lm.tokens(sample)), 1)):
+        spelled.clear()
+        work()
+        assert 0 < sum(spelled) < times * symbols / 4, (sum(spelled), symbols)
+
+
+def test_what_is_kept_for_the_next_texts_changes_nothing(monkeypatch):
+    setting, sample = small_model([*prose(30), *spelled_prose(30)])
+    counts, parts = counted(setting, sample), [pa.array(prose(20, s) + spelled_prose(20, s), pa.large_string()) for s in (1, 2, 3, 1)]
+    learned, costs = [], []
+    for most, most_bits in ((1 << 20, 1 << 19), (100, 300), (0, 0)):
+        monkeypatch.setattr(lm, "KEPT", most)
+        monkeypatch.setattr(lm, "KEPT_BITS", most_bits)
+        known, lessons = lm.Before(counts), lm.Learned()
+        for part in parts:
+            for tree in range(2):
+                lessons.learn(tree, lm.Bits(setting, *lm.tokens(part)), known)
+        learned.append(lessons.sums())
+        model, made = lm.Mixer(setting, counts, lessons), []
+        for part in parts:
+            plain = model._costs
+            monkeypatch.setattr(model, "_costs", lambda tree, key, bits, plain=plain: (made.append(len(key)), plain(tree, key, bits))[1])
+            made.clear()
+            costs.append(model.cost(*lm.tokens(part)))
+            monkeypatch.setattr(model, "_costs", plain)
+            assert all(len(key) <= most and (np.diff(key) > 0).all() for key, _ in model.kept)
+        assert known.kept[2] <= most_bits
+        # the last texts came before
+        assert (sum(made) == 0) == (most > 100)
+        costs[-4:] = [np.concatenate(costs[-4:])]
+    assert all((x == learned[0]).all() for x in learned) and all((x == costs[0]).all() for x in costs)
+
+
+def test_logits_and_levels_lie_in_the_same_bits():
+    rng = np.random.default_rng(5)
+    counts = [np.zeros(2 << size, np.float32) for _, size in lm.TABLES]
+    for table in counts:
+        table[:4000] = np.where(rng.random(4000) < 0.2, rng.integers(0, 1 << 24, 4000), rng.integers(0, 20, 4000))
+        table[4000:4008] = [2, 1, 1 << 24, (1 << 24) - 2, 0, 1 << 30, 1, 0]
+    known = lm.Before(counts)
+    for back in (known, pickle.loads(pickle.dumps(known))):
+        for k, table in enumerate(counts):
+            for bit in range(2):
+                zero, one = (np.maximum(table[b::2] - (b == bit), 0) for b in range(2))
+                assert np.array_equal(back.logits[k][bit::2], lm._logit(zero, one).astype(np.float32))
+                if k % 4 > 1:
+                    assert np.array_equal(back.levels[k // 4 * 2 + k % 4 - 2][bit::2], lm._seen(zero + one))
+    assert sum(t.nbytes for t in known.tables) == sum(4 * len(t) for t in counts)
+
+
+def test_slices_that_share_their_words_teach_as_before(monkeypatch):
+    setting, sample = small_model([*prose(30), *spelled_prose(30)])
+    counts, start = counted(setting, sample), lm.Learned()
+    known, slices = lm.Before(counts), lm.common.slices
+    texts = pa.array([*prose(40, 4), "", None, *spelled_prose(41, 4), "x" * 9000], pa.string())
+    batches = [pa.RecordBatch.from_arrays([t], names=["text"]) for t in (texts, texts.slice(3, 30))]
+    monkeypatch.setattr(lm.common, "slices", lambda batches, column="text", limit=4000: slices(batches, column, 4000))
+    expect = lm.Learned(start)
+    for part in lm.common.slices(iter(batches)):
+        for tree in range(2):
+            expect.learn(tree, lm.Bits(setting, *lm.tokens(part.column("text"))), known)
+    (out,) = lm._taught(Given((setting, known, start)))(iter(batches))
+    sums = np.zeros_like(start.sums())
+    sums[out.column(0).to_numpy()] = out.column(1).to_numpy()
+    assert (sums == expect.sums()).all()
