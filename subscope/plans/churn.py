@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.ml import Model
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.classification import LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseVector
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subscope.operators import conform, scoring, stats
@@ -27,6 +29,9 @@ LABEL, KEY = "churn_label", "customer_id"
 CATEGORICAL = [name for _, name, how in conform.CUSTOMER_SPEC if how in ("lower", "trim") and name in FEATURES]
 NUMERIC = [c for c in FEATURES if c not in CATEGORICAL]
 METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
+#: A forest of more rows times trees grows in parts: a row keeps 12 bytes for each tree of a fit. A part
+#: has ``PART_TREES`` trees at least, so that the number of parts does not follow the rows.
+GROWN, PART_TREES = 1 << 25, 25
 
 
 def prepared(features: DataFrame) -> DataFrame:
@@ -44,7 +49,7 @@ class ChurnModel(NamedTuple):
     """A fitted classifier and the encoding it was fitted on."""
 
     encoding: encoding.Encoding
-    classifier: Model
+    classifier: Model | Forest
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Predictions for encoded rows, or for rows of the feature table."""
@@ -68,7 +73,8 @@ def logistic_regression(train_rows: int, c: float = 1.0, max_iter: int = 1000) -
 def random_forest(trees: int = 300, depth: int = 12, min_split: int = 5, seed: int = 42) -> RandomForestClassifier:
     """Balanced forest. Spark bounds the size of children, not of split nodes; half of the
     split bound is the nearest equivalent. More memory per task means fewer passes over the
-    rows, since each pass grows as many tree nodes as fit. Every row keeps the node it has reached in
+    rows, since each pass grows as many tree nodes as fit; every task of an executor takes that memory,
+    and a level of ``PART_TREES`` trees fits. Every row keeps the node it has reached in
     each tree, so that no pass walks all trees from their roots again; the trees are the same."""
     return RandomForestClassifier(
         labelCol=LABEL,
@@ -77,12 +83,71 @@ def random_forest(trees: int = 300, depth: int = 12, min_split: int = 5, seed: i
         maxDepth=depth,
         minInstancesPerNode=max(1, min_split // 2),
         featureSubsetStrategy="sqrt",
-        maxMemoryInMB=1024,
+        maxMemoryInMB=256,
         cacheNodeIds=True,
         seed=seed,
     )
 
 
+def part_sizes(trees: int, rows: int) -> list[int]:
+    """Trees of every part of a forest over so many rows; one part if the whole is small."""
+    most = max(PART_TREES, GROWN // max(1, rows))
+    parts = -(-trees // most)
+    return [trees // parts + (k < trees % parts) for k in range(parts)]
+
+
+class Forest(NamedTuple):
+    """A forest grown in parts, each a saved model. The parts are read one after another, so neither the
+    driver nor a task ever holds all trees; their votes meet in tables."""
+
+    parts: Sequence[str]
+
+    def _read(self) -> Iterator[RandomForestClassificationModel]:
+        return map(RandomForestClassificationModel.load, self.parts)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with the columns that a single model adds; every tree votes alike."""
+        spark, folder = df.sparkSession, work_dir(df.sparkSession, "votes")
+        df.withColumn("_row", F.monotonically_increasing_id()).write.parquet(f"{folder}/rows")
+        rows = spark.read.parquet(f"{folder}/rows")
+        for k, model in enumerate(self._read()):
+            classes = model.numClasses
+            votes = vector_to_array(model.getRawPredictionCol())
+            model.transform(rows.select("_row", model.getFeaturesCol())).select("_row", *[votes[c].alias(f"_{c}") for c in range(classes)]).write.parquet(f"{folder}/votes/_part={k}")
+        # a row has one vote of a part, and adds them in the order of the parts
+        cell = lambda k, c: F.max(F.when(F.col("_part") == k, F.col(f"_{c}")))
+        total = [reduce(Column.__add__, [cell(k, c) for k in range(len(self.parts))]).alias(f"_{c}") for c in range(classes)]
+        raw = F.array(*[f"_{c}" for c in range(classes)])
+        most = reduce(Column.__add__, [F.col(f"_{c}") for c in range(classes)])
+        return rows.join(spark.read.parquet(f"{folder}/votes").groupBy("_row").agg(*total), "_row").select(
+            *df.columns,
+            array_to_vector(raw).alias(model.getRawPredictionCol()),
+            array_to_vector(F.transform(raw, lambda v: F.when(most == 0, v).otherwise(v / most))).alias(model.getProbabilityCol()),
+            (F.array_position(raw, F.array_max(raw)) - 1).cast("double").alias(model.getPredictionCol()),
+        )
+
+    @property
+    def featureImportances(self) -> DenseVector:
+        """The mean over the trees that split, as a single model has it."""
+        total = 0
+        for model in self._read():
+            total = total + model.featureImportances.toArray() * sum(tree.depth > 0 for tree in model.trees)
+        return DenseVector(total / (total.sum() or 1.0))
+
+
+def grown(forest: RandomForestClassifier, train: DataFrame, rows: int, path: str) -> Model | Forest:
+    """The forest fitted to ``train``, which has ``rows`` rows, saved to ``path`` and read back. A large one
+    is fitted in parts, each with a seed of its own: executors keep what the trees of a part need."""
+    sizes = part_sizes(forest.getNumTrees(), rows)
+    if len(sizes) == 1:
+        forest.fit(train).write().save(path)
+        return RandomForestClassificationModel.load(path)
+    parts = [f"{path}/part_{k:03d}" for k in range(len(sizes))]
+    for k, (part, trees) in enumerate(zip(parts, sizes, strict=True)):
+        forest.copy({forest.numTrees: trees, forest.seed: forest.getSeed() + 1_000_003 * k}).fit(train).write().save(part)
+    return Forest(parts)
+
+
 def score(model: ChurnModel, df: DataFrame) -> DataFrame:
     """Predicted label and probability of class 1 for every row."""
     out = model.transform(df)
@@ -106,16 +171,22 @@ def train_and_log(name: str, estimator, params: Mapping[str, object], ready: Pre
     the run (L10).
 
     What is evaluated is the saved model read back: it carries no training summary, so it
-    ships to the executors as the bare model it will be in production.
+    ships to the executors as the bare model it will be in production. A large forest is saved
+    as several models, in the folders ``part_*`` of the run's path.
     """
     example = ready.split.select(*CATEGORICAL, *NUMERIC)
     spark = example.sparkSession
     run_id = uuid.uuid4().hex
     path = f"{ready.folder}/{run_id}"
     table = spark.read.parquet(ready.rows)
-    fitted = estimator.fit(table.filter("is_test = 0"))
-    fitted.write().save(path)
-    model = ChurnModel(ready.encoding, type(fitted).load(path))
+    train = table.filter("is_test = 0")
+    if isinstance(estimator, RandomForestClassifier):
+        classifier = grown(estimator, train, train.count(), path)
+    else:
+        fitted = estimator.fit(train)
+        fitted.write().save(path)
+        classifier = type(fitted).load(path)
+    model = ChurnModel(ready.encoding, classifier)
     scored = score(model, table.filter("is_test = 1"))
     scored.write.parquet(f"{path}/test_scores")
     return {

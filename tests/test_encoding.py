@@ -96,3 +96,54 @@ def test_a_forest_that_keeps_reached_nodes_grows_the_same_trees(spark):
     kept, walked = forest.fit(rows), forest.copy({forest.cacheNodeIds: False}).fit(rows)
     text = lambda model: model.toDebugString.split("\n", 1)[1]  # noqa: E731 - the first line names the model
     assert text(kept) == text(walked)
+
+
+def test_a_large_forest_grows_in_parts_that_make_one_model(spark, tmp_path, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassificationModel
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from subscope.plans import churn
+
+    assert churn.part_sizes(300, 12_000) == [300] and churn.part_sizes(300, 0) == [300]
+    for rows in (200_000, 4_320_000, 10**12):
+        sizes = churn.part_sizes(300, rows)
+        assert sum(sizes) == 300 and len(sizes) <= 12 and max(sizes) <= max(churn.PART_TREES, churn.GROWN // rows)
+    columns = [F.randn(k).alias(f"x{k}") for k in range(4)]
+    rows = spark.range(0, 600, 1, 3).select("id", (F.rand(9) < 0.3).cast("int").alias(churn.LABEL), F.lit(1.5).alias("weight"), *columns)
+    rows = VectorAssembler(inputCols=[f"x{k}" for k in range(4)], outputCol="features").transform(rows)
+    forest = churn.random_forest(5, 4)
+    whole = churn.grown(forest, rows, 600, str(tmp_path / "whole"))
+    assert whole.toDebugString.split("\n", 1)[1] == forest.fit(rows).toDebugString.split("\n", 1)[1]
+    fits = []
+    monkeypatch.setattr(churn, "GROWN", 1)
+    monkeypatch.setattr(churn, "PART_TREES", 2)
+    monkeypatch.setattr(type(forest), "fit", lambda self, df, fit=type(forest).fit: fits.append(fit(self, df)) or fits[-1])
+    made = churn.grown(forest, rows, 600, str(tmp_path / "parts"))
+    assert [m.getNumTrees for m in fits] == [2, 2, 1] and {m.getMaxDepth() for m in fits} == {4}
+    assert len({tree.toDebugString.split("\n", 1)[1] for m in fits for tree in m.trees}) == 5
+    twice = rows.unionByName(rows.limit(50))  # rows that come twice are scored twice
+    scored = made.transform(twice)
+    assert scored.dtypes == fits[0].transform(twice).dtypes and scored.count() == 650
+    columns = lambda m: zip(*m.transform(twice).orderBy("id").select(vector_to_array("rawPrediction"), vector_to_array("probability"), "prediction").collect(), strict=True)
+    raw, probability, prediction = columns(made)
+    for votes, p, label, *parts in zip(raw, probability, prediction, *[next(columns(m)) for m in fits], strict=True):
+        assert votes == pytest.approx([sum(v) for v in zip(*parts, strict=True)])
+        assert p == pytest.approx([v / 5 for v in votes]) and label == float(votes[1] > votes[0])
+    share = [sum(m.featureImportances[k] * m.getNumTrees for m in fits) / 5 for k in range(4)]
+    assert list(made.featureImportances.toArray()) == pytest.approx(share)
+
+
+def test_the_chain_publishes_a_forest_grown_in_parts(spark, wh, monkeypatch):
+    from subscope.plans import churn
+
+    monkeypatch.setattr(churn, "GROWN", 1)
+    monkeypatch.setattr(churn, "PART_TREES", 2)
+    features = wh.gold("customer_ml_features")
+    runs, _ = churn.train_all(features, trees=4, depth=3, max_iter=5)
+    forest = runs[1]
+    assert isinstance(forest["model"].classifier, churn.Forest) and len(forest["model"].classifier.parts) == 2
+    own, other = churn.publish(forest), churn.publish(forest, features)
+    shown = lambda df: sorted(tuple(r) for r in df.select("customer_id", "predicted_churn_label", "churn_probability", "split").collect())
+    assert shown(own) == shown(other) and own.count() == features.count()
+    assert churn.importance(spark, forest).count() == len(forest["model"].encoding.names().collect())
