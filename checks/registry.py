@@ -536,7 +536,7 @@ add(
 add(
     "u2_any_per_key",
     lambda w: conform.any_per_key(
-        w.gold("fact_billing").join(w.gold("dim_customer").select("customer_key", "internet_service"), "customer_key"),
+        w.gold("fact_billing").join(w.gold("dim_customer").select("customer_key", "internet_service").hint("merge"), "customer_key"),
         ["customer_key"],
     ).select("customer_id", "internet_service"),
     "SELECT DISTINCT b.customer_id, internet_service FROM billing b JOIN dim_customer d ON b.customer_id = d.customer_id",

@@ -104,6 +104,17 @@ def test_facts_get_their_key_without_an_exchange(wh, plan, conf, name, table):
     assert df.filter("customer_key is null").count() > 0
 
 
+def test_no_table_of_customers_is_sent_because_its_files_are_small(spark, plan, conf):
+    conf(autoBroadcastJoinThreshold="10MB")
+    ids = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "customer_id string")
+    dim = spark.createDataFrame([("a",), (None,)], "customer_id string")
+    df = star.unknown_customers(ids, dim)
+    assert "SortMergeJoin" in plan(df) and "Broadcast" not in plan(df)
+    assert sorted((r.customer_id for r in df.collect()), key=str) == [None, "b"]
+    text = plan(registry.QUERIES["u2_any_per_key"](spark, "/root/testdata/sf0.001"))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
 def test_many_unknown_customers_are_joined_not_sent(wh, plan, conf, monkeypatch):
     conf(autoBroadcastJoinThreshold="-1")
     monkeypatch.setattr(star, "SENT", 0)
