@@ -10,6 +10,8 @@ from subscope.sources import lookups
 from subscope.store import Sink
 
 FIBER = ("fiber optic", "fiber", "fiber-optic")
+# Customers up to which their services may be sent to every task, if Spark finds them small.
+FEW = 100_000
 
 
 def access_technology(service: str | Column) -> Column:
@@ -33,8 +35,11 @@ def new_region(region: str | Column) -> Column:
 
 
 def with_service(events: DataFrame, dim: DataFrame) -> DataFrame:
-    """Left lookup of the customer's internet service by surrogate key (J3), which is unique."""
-    return events.join(dim.select("customer_key", "internet_service"), "customer_key", "left")
+    """Left lookup of the customer's internet service by surrogate key (J3), which is unique.
+
+    Customers are counted first: packed files make them look small, and more than ``FEW`` are not sent."""
+    service = dim.select("customer_key", "internet_service")
+    return events.join(service if service.count() <= FEW else service.hint("merge"), "customer_key", "left")
 
 
 CABINET = ["access_technology", "cabinet_id", "cabinet_type"]

@@ -147,7 +147,7 @@ def network_events_raw(
     )
     return (
         events.withColumn("k", k)
-        .join(home, F.col("user_id") == F.col("c_custkey"), "left")
+        .join(home.hint("merge"), F.col("user_id") == F.col("c_custkey"), "left")
         .select(
             F.concat_ws("-", F.lit("NET"), "event_id").alias("event_id"),
             customer_id("user_id").alias("customerID"),

@@ -106,8 +106,8 @@ def test_facts_get_their_key_without_an_exchange(wh, plan, conf, name, table):
 
 def test_no_table_of_customers_is_sent_because_its_files_are_small(spark, plan, conf):
     conf(autoBroadcastJoinThreshold="10MB")
-    ids = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "customer_id string")
-    dim = spark.createDataFrame([("a",), (None,)], "customer_id string")
+    ids = spark.sql("SELECT * FROM VALUES ('a'), ('a'), ('b'), (NULL) t(customer_id)")
+    dim = spark.sql("SELECT * FROM VALUES ('a'), (NULL) t(customer_id)")
     df = star.unknown_customers(ids, dim)
     assert "SortMergeJoin" in plan(df) and "Broadcast" not in plan(df)
     assert sorted((r.customer_id for r in df.collect()), key=str) == [None, "b"]
@@ -115,6 +115,23 @@ def test_no_table_of_customers_is_sent_because_its_files_are_small(spark, plan,
     assert "SortMergeJoin" in text and "Broadcast" not in text
 
 
+def test_gold_counts_send_no_table_of_customers(spark, plan, conf, monkeypatch):
+    conf(autoBroadcastJoinThreshold="10MB")
+    events = spark.sql("SELECT * FROM VALUES (1), (1), (3), (NULL) t(customer_key)")
+    dim = spark.sql("SELECT * FROM VALUES (1, 'DSL'), (2, 'No') t(customer_key, internet_service)")
+    assert "BroadcastHashJoin" in plan(enrich.with_service(events, dim))
+    monkeypatch.setattr(enrich, "FEW", 1, raising=False)
+    df = enrich.with_service(events, dim)
+    assert "SortMergeJoin" in plan(df) and "Broadcast" not in plan(df)
+    assert sorted((tuple(r) for r in df.collect()), key=str) == [(1, "DSL"), (1, "DSL"), (3, None), (None, None)]
+    sides = [spark.sql(f"SELECT * FROM VALUES ('a', {k}), ('c', {k}) t(customer_id, n{k})") for k in range(3)]
+    df = rollup.assemble(spark.sql("SELECT * FROM VALUES ('a'), ('b') t(customer_id)"), *sides)
+    assert plan(df).count("SortMergeJoin") == 3 and "Broadcast" not in plan(df)
+    assert sorted(tuple(r) for r in df.collect()) == [("a", 0, 1, 2), ("b", None, None, None)]
+    text = plan(tables.raw_frames(spark, "/root/testdata/sf0.001")["network_events_raw"]())
+    assert re.search(r"SortMergeJoin \[user_id#\d+L?\], \[c_custkey", text)
+
+
 def test_many_unknown_customers_are_joined_not_sent(wh, plan, conf, monkeypatch):
     conf(autoBroadcastJoinThreshold="-1")
     monkeypatch.setattr(star, "SENT", 0)
