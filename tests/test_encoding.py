@@ -122,6 +122,7 @@ def test_a_large_forest_grows_in_parts_that_make_one_model(spark, tmp_path, monk
     made = churn.grown(forest, rows, 600, str(tmp_path / "parts"))
     assert [m.getNumTrees for m in fits] == [2, 2, 1] and {m.getMaxDepth() for m in fits} == {4}
     assert len({tree.toDebugString.split("\n", 1)[1] for m in fits for tree in m.trees}) == 5
+    fits = [RandomForestClassificationModel.load(p) for p in made.parts]  # a fitted model's summary holds the session
     twice = rows.unionByName(rows.limit(50))  # rows that come twice are scored twice
     scored = made.transform(twice)
     assert scored.dtypes == fits[0].transform(twice).dtypes and scored.count() == 650
